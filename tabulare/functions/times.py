@@ -28,9 +28,14 @@ def seconds_interval(seconds: int) -> Column:
     return F.make_dt_interval(secs=F.lit(seconds))
 
 
+def month_start(column: str) -> Column:
+    """First day of the month of a date or time column."""
+    return F.trunc(F.col(column).cast("date"), "month")
+
+
 def month_label(column: str) -> Column:
-    """``yyyy-MM`` of a date or time column."""
-    return F.substring(F.col(column).cast("date").cast("string"), 1, 7)
+    """``yyyy-MM`` of a date column."""
+    return F.substring(F.col(column).cast("string"), 1, 7)
 
 
 def day_label(column: str) -> Column:

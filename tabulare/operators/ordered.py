@@ -35,7 +35,7 @@ def period_change(df: DataFrame, period: Column, keys: list[str] | None = None)
 
 
 def running_sums(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], cell_seconds: int = 3_600
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], cell_seconds: int = 60
 ) -> DataFrame:
     """Running sums per key in the given order, whose first column is a time.
 

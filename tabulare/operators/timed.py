@@ -49,7 +49,7 @@ def sessions(df: DataFrame, keys: list[str], time: str, gap_seconds: int, amount
             F.min("_first").alias("session_start"),
             F.max("_last").alias("session_end"),
             F.sum("_rows").alias("rows"),
-            F.sum("_amount").cast("double").alias("amount"),
+            F.sum("_amount").alias("amount"),
         )
         .drop("_session")
     )
@@ -63,7 +63,7 @@ def interval_match(
     time: str,
     within_seconds: int,
     amount: Column,
-    cell_seconds: int = 3_600,
+    cell_seconds: int = 60,
 ) -> DataFrame:
     """For each left row, the right rows of its key that come after it, up to ``within_seconds`` later.
 
@@ -96,6 +96,6 @@ def interval_match(
         .groupBy(*keys, left_id, time)
         .agg(
             F.sum(F.col("_seen") * F.col("_sign")).alias("matches"),
-            F.sum(F.col("_worth") * F.col("_sign")).cast("double").alias("matched_amount"),
+            F.sum(F.col("_worth") * F.col("_sign")).alias("matched_amount"),
         )
     )

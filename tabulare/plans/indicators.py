@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulare.functions.money import discounted
-from tabulare.functions.times import month_label
+from tabulare.functions.money import discounted, from_discounted
+from tabulare.functions.times import month_label, month_start
 from tabulare.operators.rows import literal_like
 
 
@@ -26,7 +26,7 @@ def indicator_table(
     in_period = orders.where(
         (F.col("o_orderdate") >= literal_like(orders, "o_orderdate", start))
         & (F.col("o_orderdate") < literal_like(orders, "o_orderdate", end))
-    ).select("o_orderkey", "o_custkey", month_label("o_orderdate").alias("month"))
+    ).select("o_orderkey", "o_custkey", month_start("o_orderdate").alias("month"))
     per_customer = (
         per_order.join(in_period, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey", "month")
@@ -40,8 +40,9 @@ def indicator_table(
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("region", "nation", "month")
         .agg(
-            F.sum("revenue").cast("double").alias("revenue"),
+            from_discounted(F.sum("revenue")).alias("revenue"),
             F.sum("lines").alias("lines"),
             F.sum("orders").alias("orders"),
         )
+        .withColumn("month", month_label("month"))
     )

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.functions.money import amount, total
+from tabulare.functions.money import cents, from_cents, total
 from tabulare.functions.text import clean_text, json_field, url_host
-from tabulare.functions.times import day_label, month_label
+from tabulare.functions.times import day_label, month_label, month_start
 from tabulare.operators import compare, groups, lookups, ordered, quality, rows, timed
 from tabulare.plans import indicators
 from tabulare.session import run_folder
@@ -73,7 +73,7 @@ def orphan_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def indicator_rollup(spark: SparkSession, folder: str) -> DataFrame:
     per_nation = read_table(spark, folder, "customer").groupBy("c_nationkey").agg(
-        F.count("*").alias("customers"), F.sum(amount("c_acctbal")).alias("balance")
+        F.count("*").alias("customers"), F.sum(cents("c_acctbal")).alias("balance")
     )
     nations = lookups.code_lookup(
         read_table(spark, folder, "nation"), "n_regionkey",
@@ -84,7 +84,7 @@ def indicator_rollup(spark: SparkSession, folder: str) -> DataFrame:
     )
     return groups.rollup_totals(
         labelled, ["region", "nation"],
-        {"customers": F.sum("customers"), "balance": F.sum("balance").cast("double")},
+        {"customers": F.sum("customers"), "balance": from_cents(F.sum("balance"))},
     )
 
 
@@ -101,9 +101,9 @@ def crosstab(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def median_by_group(spark: SparkSession, folder: str) -> DataFrame:
-    events = read_table(spark, folder, "events").withColumn("value", amount("value"))
+    events = read_table(spark, folder, "events").withColumn("value", cents("value"))
     median = groups.median_by_group(events, ["event_type"], "value")
-    return median.withColumn("median", F.col("median").cast("double"))
+    return median.withColumn("median", from_cents(F.col("median")))
 
 
 def top_per_group(spark: SparkSession, folder: str) -> DataFrame:
@@ -113,13 +113,14 @@ def top_per_group(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def period_change(spark: SparkSession, folder: str) -> DataFrame:
-    return ordered.period_change(read_table(spark, folder, "orders"), month_label("o_orderdate"))
+    months = ordered.period_change(read_table(spark, folder, "orders"), month_start("o_orderdate"))
+    return months.withColumn("period", month_label("period"))
 
 
 def running_total(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
-    totals = ordered.running_sums(events, ["user_id"], ["ts", "event_id"], {"running_value": amount("value")})
-    return totals.withColumn("running_value", F.col("running_value").cast("double"))
+    totals = ordered.running_sums(events, ["user_id"], ["ts", "event_id"], {"running_value": cents("value")})
+    return totals.withColumn("running_value", from_cents(F.col("running_value")))
 
 
 def latest_record(spark: SparkSession, folder: str) -> DataFrame:
@@ -133,13 +134,15 @@ def time_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sessions(spark: SparkSession, folder: str) -> DataFrame:
-    return timed.sessions(read_table(spark, folder, "events"), ["user_id"], "ts", 1_800, amount("value"))
+    found = timed.sessions(read_table(spark, folder, "events"), ["user_id"], "ts", 1_800, cents("value"))
+    return found.withColumn("amount", from_cents(F.col("amount")))
 
 
 def interval_match(spark: SparkSession, folder: str) -> DataFrame:
     """Per event, the number and value of the same user's events in the hour after it."""
     events = read_table(spark, folder, "events")
-    return timed.interval_match(events, events, ["user_id"], "event_id", "ts", 3_600, amount("value"))
+    matched = timed.interval_match(events, events, ["user_id"], "event_id", "ts", 3_600, cents("value"))
+    return matched.withColumn("matched_amount", from_cents(F.col("matched_amount")))
 
 
 def json_fields(spark: SparkSession, folder: str) -> DataFrame:
