@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulare.functions.times import time_cell
+from tabulare.operators.skew import split_time
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
@@ -35,19 +35,19 @@ def period_change(df: DataFrame, period: Column, keys: list[str] | None = None)
 
 
 def running_sums(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], cell_seconds: int = 60
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], cell_rows: float = 5_000_000
 ) -> DataFrame:
     """Running sums per key in the given order, whose first column is a time.
 
-    Time is cut into cells. Each cell's total is carried to the cells after it,
-    and the rows are then summed one (key, cell) at a time, with the carried
-    amount as the first row. So a key that holds much of the table is spread
-    over as many tasks as it has cells; a narrower cell spreads it further.
+    A key of more than ``cell_rows`` rows is cut into cells of time. Each cell's
+    total is carried to the cells after it, and the rows are then summed one
+    (key, cell) at a time, with the carried amount as the first row. So a key
+    that holds much of the table is spread over as many tasks as it needs.
     """
-    parts = df.withColumns({f"_in_{name}": value for name, value in sums.items()}).withColumn(
-        "_cell", time_cell(df, order[0], cell_seconds)
+    parts = split_time(df, keys, order[0], cell_rows).withColumns(
+        {f"_in_{name}": value for name, value in sums.items()}
     )
-    cells = parts.groupBy(*keys, "_cell").agg(*(F.sum(f"_in_{name}").alias(f"_in_{name}") for name in sums))
+    cells = parts.where("_busy").groupBy(*keys, "_cell").agg(*(F.sum(f"_in_{name}").alias(f"_in_{name}") for name in sums))
     earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     carried = cells.withColumns({f"_in_{name}": F.sum(f"_in_{name}").over(earlier) for name in sums})
     both = parts.withColumn("_is_row", F.lit(True)).unionByName(
@@ -59,7 +59,7 @@ def running_sums(
     return (
         both.withColumns({name: F.sum(f"_in_{name}").over(so_far) for name in sums})
         .where("_is_row")
-        .drop("_is_row", "_cell", *(f"_in_{name}" for name in sums))
+        .drop("_is_row", "_busy", "_cell", *(f"_in_{name}" for name in sums))
     )
 
 

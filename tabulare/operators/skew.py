@@ -1,4 +1,4 @@
-"""Joins that keep one hot key from landing in one task."""
+"""Ways to keep one hot key from landing in one task."""
 
 from __future__ import annotations
 
@@ -7,6 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulare.functions.times import epoch_seconds
+
+DAY, HOUR, MINUTE = 86_400, 3_600, 60
+BURST = 8
+
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: int = 16) -> DataFrame:
     """Attach to each row the columns of the one ``per_key`` row with its key; null keys match.
@@ -23,3 +28,33 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: i
     same = [F.col(key).eqNullSafe(F.col(f"_k{i}")) for i, key in enumerate(keys)]
     matched = reduce(lambda a, b: a & b, same, F.col("_share") == F.col("_share_k"))
     return spread_rows.join(shares, matched).drop("_share", "_share_k", *(f"_k{i}" for i in range(len(keys))))
+
+
+def split_time(df: DataFrame, keys: list[str], time: str, cell_rows: float) -> DataFrame:
+    """Add ``_busy``, whether the key has more than ``cell_rows`` rows, and ``_cell``, the piece of time a row is in.
+
+    A key that is not busy is one piece. The time of a busy one is cut into
+    days, hours, minutes or seconds, by how many rows it has per second, with
+    room for ``BURST`` times as many. Only busy keys are looked up: there is at
+    most one for each ``cell_rows`` rows of the table, which is what makes the
+    list safe to broadcast.
+    """
+    second = epoch_seconds(df, time)
+    rate = F.col("_rows") / (F.col("_last") - F.col("_first") + 1) * BURST
+    width = F.when(rate * DAY <= cell_rows, DAY).when(rate * HOUR <= cell_rows, HOUR)
+    busy = (
+        df.groupBy(*(F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)))
+        .agg(F.count("*").alias("_rows"), F.min(second).alias("_first"), F.max(second).alias("_last"))
+        .where(F.col("_rows") > cell_rows)
+        .withColumn("_width", width.when(rate * MINUTE <= cell_rows, MINUTE).otherwise(1))
+        .drop("_rows", "_first", "_last")
+    )
+    same = reduce(lambda a, b: a & b, (F.col(key).eqNullSafe(F.col(f"_k{i}")) for i, key in enumerate(keys)))
+    is_busy = F.col("_width").isNotNull()
+    return (
+        df.withColumn("_second", second)
+        .join(F.broadcast(busy), same, "left")
+        .withColumn("_busy", is_busy)
+        .withColumn("_cell", F.when(is_busy, F.col("_second") - F.pmod("_second", "_width")).otherwise(0))
+        .drop("_second", "_width", *(f"_k{i}" for i in range(len(keys))))
+    )

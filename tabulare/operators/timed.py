@@ -59,43 +59,40 @@ def interval_match(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
-    left_id: str,
     time: str,
     within_seconds: int,
     amount: Column,
-    cell_seconds: int = 60,
+    cell_rows: float = 5_000_000,
 ) -> DataFrame:
-    """For each left row, the right rows of its key that come after it, up to ``within_seconds`` later.
+    """Each left row with the number and total amount of the right rows of its key that come after it,
+    up to ``within_seconds`` later. Left rows without a time match none.
 
-    Gives their number and total amount. No pair of rows is formed: with the
-    right rows counted up in time, the answer is the count at the end of the
-    interval less the count at its start, so the work grows with the rows even
-    for a key that holds much of the table. ``left_id`` must be unique.
+    No pair of rows is formed. A right row is within reach of a left row from
+    the start of its interval on, and no longer from its own time on: it is
+    added to a running sum at the one and taken off at the other. The sum at
+    the time of a left row is its answer, so the work grows with the rows, even
+    for a key that holds much of the table.
     """
-    arrivals = right.where(F.col(time).isNotNull()).select(
-        *keys, F.col(time).alias("_at"), F.lit(0).alias("_probe"), F.lit(1).cast("bigint").alias("_n"), amount.alias("_x")
+    reach = F.array(
+        F.struct((F.col(time) - seconds_interval(within_seconds)).alias("at"), F.lit(1).cast("bigint").alias("sign")),
+        F.struct(F.col(time).alias("at"), F.lit(-1).cast("bigint").alias("sign")),
     )
-    interval_ends = F.array(
-        F.struct(F.col(time).alias("_at"), F.lit(-1).alias("_sign")),
-        F.struct((F.col(time) + seconds_interval(within_seconds)).alias("_at"), F.lit(1).alias("_sign")),
-    )
-    probes = (
-        left.where(F.col(time).isNotNull())
-        .select(*keys, left_id, time, F.explode(interval_ends).alias("_end"))
-        .select(*keys, left_id, time, "_end._at", "_end._sign", F.lit(1).alias("_probe"), F.lit(0).cast("bigint").alias("_n"))
+    steps = (
+        right.where(F.col(time).isNotNull())
+        .select(*keys, F.coalesce(amount, F.lit(0)).alias("_amount"), F.explode(reach).alias("_step"))
+        .select(
+            *keys,
+            F.col("_step.at").alias(time),
+            F.lit(False).alias("_is_left"),
+            F.col("_step.sign").alias("_rows"),
+            (F.col("_amount") * F.col("_step.sign")).alias("_amount"),
+        )
     )
-    counted = running_sums(
-        arrivals.unionByName(probes, allowMissingColumns=True),
+    summed = running_sums(
+        left.withColumn("_is_left", F.lit(True)).unionByName(steps, allowMissingColumns=True),
         keys,
-        ["_at", "_probe"],
-        {"_seen": F.col("_n"), "_worth": F.coalesce(F.col("_x"), F.lit(0))},
-        cell_seconds,
-    )
-    return (
-        counted.where(F.col("_probe") == 1)
-        .groupBy(*keys, left_id, time)
-        .agg(
-            F.sum(F.col("_seen") * F.col("_sign")).alias("matches"),
-            F.sum(F.col("_worth") * F.col("_sign")).alias("matched_amount"),
-        )
+        [time, "_is_left"],
+        {"matches": F.coalesce("_rows", F.lit(0)), "matched_amount": F.coalesce("_amount", F.lit(0))},
+        cell_rows,
     )
+    return summed.where("_is_left").drop("_is_left", "_rows", "_amount")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulare.functions.money import discounted, from_discounted
+from tabulare.functions.money import discounted, from_discounted, wide
 from tabulare.functions.times import month_label, month_start
 from tabulare.operators.rows import literal_like
 
@@ -21,7 +21,7 @@ def indicator_table(
     must be unique; an order counts if it has lines.
     """
     per_order = lineitem.groupBy("l_orderkey").agg(
-        F.sum(discounted("l_extendedprice", "l_discount")).alias("revenue"), F.count("*").alias("lines")
+        F.sum(wide(discounted("l_extendedprice", "l_discount"))).alias("revenue"), F.count("*").alias("lines")
     )
     in_period = orders.where(
         (F.col("o_orderdate") >= literal_like(orders, "o_orderdate", start))

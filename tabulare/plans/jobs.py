@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.functions.money import cents, from_cents, total
+from tabulare.functions.money import cents, from_cents, total, wide
 from tabulare.functions.text import clean_text, json_field, url_host
 from tabulare.functions.times import day_label, month_label, month_start
 from tabulare.operators import compare, groups, lookups, ordered, quality, rows, timed
@@ -73,7 +73,7 @@ def orphan_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def indicator_rollup(spark: SparkSession, folder: str) -> DataFrame:
     per_nation = read_table(spark, folder, "customer").groupBy("c_nationkey").agg(
-        F.count("*").alias("customers"), F.sum(cents("c_acctbal")).alias("balance")
+        F.count("*").alias("customers"), F.sum(wide(cents("c_acctbal"))).alias("balance")
     )
     nations = lookups.code_lookup(
         read_table(spark, folder, "nation"), "n_regionkey",
@@ -141,7 +141,9 @@ def sessions(spark: SparkSession, folder: str) -> DataFrame:
 def interval_match(spark: SparkSession, folder: str) -> DataFrame:
     """Per event, the number and value of the same user's events in the hour after it."""
     events = read_table(spark, folder, "events")
-    matched = timed.interval_match(events, events, ["user_id"], "event_id", "ts", 3_600, cents("value"))
+    matched = timed.interval_match(
+        events.select("event_id", "user_id", "ts"), events, ["user_id"], "ts", 3_600, cents("value")
+    )
     return matched.withColumn("matched_amount", from_cents(F.col("matched_amount")))
 
 

@@ -172,8 +172,8 @@ def test_running_sums_with_ties_missing_values_and_missing_times(spark):
         (5, 1, None, 8), (6, None, at("00:00"), 16), (7, None, at("09:00"), 32), (8, 2, at("00:00"), None),
     )
     expected = [(1, 9), (2, 11), (3, 11), (4, 15), (5, 8), (6, 16), (7, 48), (8, None)]
-    for cell in (1, 60, 3_600, 86_400):
-        sums = ordered.running_sums(df, ["u"], ["t", "id"], {"s": F.col("v")}, cell)
+    for cell_rows in (0, 0.1, 1, 100):
+        sums = ordered.running_sums(df, ["u"], ["t", "id"], {"s": F.col("v")}, cell_rows)
         assert sums.columns == ["id", "u", "t", "v", "s"]
         assert result(sums, "id", "s") == expected
 
@@ -251,8 +251,10 @@ def test_interval_match_leaves_the_start_and_takes_the_end(spark):
         (1, at("00:00"), 1), (1, at("00:30"), 2), (1, at("01:00"), 4), (1, at("01:00:00.000001"), 8),
         (1, at("01:30"), None), (3, at("00:10"), 1), (1, None, 16),
     )
-    found = timed.interval_match(left, right, ["u"], "id", "t", 3_600, F.col("v"))
-    assert result(found, "id", "matches", "matched_amount") == [(1, 2, 6), (2, 3, 12), (3, 0, 0), (4, 0, 0)]
+    found = timed.interval_match(left, right, ["u"], "t", 3_600, F.col("v"))
+    assert result(found, "id", "matches", "matched_amount") == [
+        (1, 2, 6), (2, 3, 12), (3, 0, 0), (4, 0, 0), (5, 0, 0),
+    ]
 
 
 # text
@@ -379,7 +381,7 @@ def test_a_table_with_other_columns_is_refused(spark):
         lambda e: ordered.running_sums(e, ["u"], ["t", "id"], {"s": F.col("v")}),
         lambda e: ordered.latest_record(e, ["u"], ["t", "id"]),
         lambda e: timed.sessions(e, ["u"], "t", 60, F.col("v")),
-        lambda e: timed.interval_match(e, e, ["u"], "id", "t", 60, F.col("v")),
+        lambda e: timed.interval_match(e, e, ["u"], "t", 60, F.col("v")),
         lambda e: compare.snapshot_diff(e, e, ["id"], ["v"]),
         lambda e: rows.dataset_page(e, "t", "id", None, 5),
     ],

@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabulare.operators import compare, groups, ordered, timed
-from tabulare.operators.skew import join_per_key
+from tabulare.operators.skew import join_per_key, split_time
 
 START = datetime(2024, 1, 1)
 
@@ -40,15 +40,19 @@ def by_key(rows):
     return grouped
 
 
-@pytest.mark.parametrize("cell", [1, 60, 86_400])
-def test_running_sums(stepped, steps, cell):
+# The number of rows from which a key is split: all by the second, some by a wider step, none.
+CELL_ROWS = [0, 1, 5, 100]
+
+
+@pytest.mark.parametrize("cell_rows", CELL_ROWS)
+def test_running_sums(stepped, steps, cell_rows):
     expected = {}
     for group in by_key(steps).values():
         so_far = 0
         for row in group:
             so_far += row[3]
             expected[row[0]] = so_far
-    found = ordered.running_sums(stepped, ["u"], ["t", "id"], {"s": F.col("v")}, cell).collect()
+    found = ordered.running_sums(stepped, ["u"], ["t", "id"], {"s": F.col("v")}, cell_rows).collect()
     assert {row["id"]: row["s"] for row in found} == expected and len(found) == len(steps)
 
 
@@ -67,7 +71,8 @@ def test_sessions(stepped, steps):
     assert sorted(tuple(row[c] for c in columns) for row in found.collect()) == sorted(expected)
 
 
-def test_interval_match(stepped, steps):
+@pytest.mark.parametrize("cell_rows", CELL_ROWS)
+def test_interval_match(stepped, steps, cell_rows):
     left = [row for row in steps if row[3] <= 0]
     right = by_key([row for row in steps if row[3] >= 0])
     hour = timedelta(seconds=600)
@@ -75,7 +80,9 @@ def test_interval_match(stepped, steps):
     for row in left:
         later = [r for r in right.get(row[1], []) if row[2] < r[2] <= row[2] + hour]
         expected[row[0]] = (len(later), sum(r[3] for r in later))
-    found = timed.interval_match(stepped.where("v <= 0"), stepped.where("v >= 0"), ["u"], "id", "t", 600, F.col("v"))
+    found = timed.interval_match(
+        stepped.where("v <= 0"), stepped.where("v >= 0"), ["u"], "t", 600, F.col("v"), cell_rows
+    )
     assert {row["id"]: (row["matches"], row["matched_amount"]) for row in found.collect()} == expected
 
 
@@ -134,10 +141,11 @@ def test_hot_key_holds_a_third(hot):
     assert share > 1 / 3
 
 
-def test_hot_running_sums_equal_a_plain_window(hot):
+@pytest.mark.parametrize("cell_rows", [10, 5_000_000])
+def test_hot_running_sums_equal_a_plain_window(hot, cell_rows):
     plain = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     same_rows(
-        ordered.running_sums(hot, ["user_id"], ["ts", "event_id"], {"s": F.col("cents")}),
+        ordered.running_sums(hot, ["user_id"], ["ts", "event_id"], {"s": F.col("cents")}, cell_rows),
         hot.withColumn("s", F.sum("cents").over(plain)),
     )
 
@@ -177,6 +185,23 @@ def test_set_comparisons_equal_set_operators(hot):
     same_rows(compare.rows_in_both(first, second), first.intersect(second))
 
 
+@pytest.mark.parametrize("cell_rows, width", [(2_000, 86_400), (200, 3_600), (2, 60), (0.01, 1)])
+def test_a_busy_key_is_split_by_its_rate(hot, cell_rows, width):
+    cells = split_time(hot, ["user_id"], "ts", cell_rows)
+    assert cells.count() == hot.count()
+    busiest = cells.where("user_id = 0")
+    assert busiest.where("NOT _busy").count() == 0
+    assert busiest.where(F.col("_cell") % width != 0).count() == 0
+    assert width == 86_400 or busiest.where(F.col("_cell") % (width * 2) != 0).count() > 0
+    if cell_rows >= 200:
+        assert busiest.groupBy("_cell").count().agg(F.max("count")).first()[0] <= cell_rows
+
+
+def test_a_key_of_few_rows_is_one_piece(hot):
+    cells = split_time(hot, ["user_id"], "ts", 2_000).where("user_id <> 0")
+    assert cells.where("_busy OR _cell <> 0").count() == 0
+
+
 def test_join_per_key_spreads_a_hot_key(spark, hot):
     per_key = hot.groupBy("user_id").agg(F.max("ts").alias("last"))
     joined = join_per_key(hot, per_key, ["user_id"], spread=16)
