@@ -41,13 +41,14 @@ def crosstab(df: DataFrame, rows: list[str], column: str, values: list[str]) ->
     return df.groupBy(*rows).agg(*(F.count_if(F.col(column) == value).alias(value) for value in values))
 
 
-def median_by_group(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_000) -> DataFrame:
+def median_by_group(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_000, cells: int = 1_024) -> DataFrame:
     """Exact median per group, nulls ignored, without holding a group in one task.
 
-    A sketch gives each group two cut points close to its middle. Exact counts
-    below and between them tell which of the three ranges holds the middle
-    ranks, and only that range is ordered: some 4/accuracy of a group. The
-    sketch decides how much is ordered, not what comes out.
+    A sketch gives each group two cut points close to its middle. The range
+    between them is cut into cells of equal width, and an exact count per cell
+    tells which of them, or which of the two ranges outside, holds the middle
+    ranks. Only the values of that cell are ordered. The sketch decides how few
+    they are, about 4/accuracy/cells of a group, and not what comes out.
     """
     present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
     margin = 2 / accuracy
@@ -56,36 +57,34 @@ def median_by_group(df: DataFrame, keys: list[str], value: str, accuracy: int =
         .agg(F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_cut"))
         .select(*keys, F.col("_cut")[0].alias("_low"), F.col("_cut")[1].alias("_high"))
     )
+    low, high, v = (F.col(name).cast("double") for name in ("_low", "_high", "_v"))
+    within = F.when(high > low, F.least(F.floor((v - low) / (high - low) * cells), F.lit(cells - 1))).otherwise(0)
+    cell = F.when(F.col("_v") < F.col("_low"), -1).when(F.col("_v") <= F.col("_high"), within).otherwise(cells)
     counted = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    in_range = F.when(F.col("_v") < F.col("_low"), 0).when(F.col("_v") <= F.col("_high"), 1).otherwise(2)
-    ranged = join_per_key(counted, cuts, keys).withColumn("_range", in_range)
-
-    def range_of(rank: str) -> Column:
-        return F.when(F.col(rank) <= F.col("_n0"), 0).when(F.col(rank) <= F.col("_n0") + F.col("_n1"), 1).otherwise(2)
+    in_cells = join_per_key(counted, cuts, keys).select(*keys, "_v", "_n", cell.alias("_cell"))
 
+    group = Window.partitionBy(*keys)
+    upward = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    lower_rank, upper_rank = F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")
     middle = (
-        ranged.groupBy(*keys)
+        in_cells.groupBy(*keys, "_cell")
+        .agg(F.sum("_n").alias("_n"))
+        .select(*keys, "_cell", "_n", F.sum("_n").over(group).alias("_all"), F.sum("_n").over(upward).alias("_upto"))
+        .groupBy(*keys)
         .agg(
-            F.sum("_n").alias("_all"),
-            F.sum(F.when(F.col("_range") == 0, F.col("_n")).otherwise(0)).alias("_n0"),
-            F.sum(F.when(F.col("_range") == 1, F.col("_n")).otherwise(0)).alias("_n1"),
-        )
-        .withColumn("_lower", F.expr("(_all + 1) div 2"))
-        .withColumn("_upper", F.expr("_all div 2 + 1"))
-        .withColumn("_from", range_of("_lower"))
-        .withColumn("_to", range_of("_upper"))
-        .withColumn(
-            "_before",
-            F.when(F.col("_from") == 0, 0).when(F.col("_from") == 1, F.col("_n0")).otherwise(F.col("_n0") + F.col("_n1")),
+            F.first(lower_rank).alias("_lower"),
+            F.first(upper_rank).alias("_upper"),
+            F.min(F.when(F.col("_upto") >= lower_rank, F.col("_cell"))).alias("_from"),
+            F.min(F.when(F.col("_upto") >= upper_rank, F.col("_cell"))).alias("_to"),
+            F.min(F.when(F.col("_upto") >= lower_rank, F.col("_upto") - F.col("_n"))).alias("_before"),
         )
-        .select(*keys, "_lower", "_upper", "_from", "_to", "_before")
     )
-    ordered = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    near = (
-        join_per_key(ranged.select(*keys, "_v", "_n", "_range"), middle, keys)
-        .where(F.col("_range").between(F.col("_from"), F.col("_to")))
-        .withColumn("_rank", F.col("_before") + F.sum("_n").over(ordered))
+    by_value = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (
+        join_per_key(in_cells, middle, keys)
+        .where(F.col("_cell").between(F.col("_from"), F.col("_to")))
+        .withColumn("_rank", F.col("_before") + F.sum("_n").over(by_value))
     )
     lower = F.min(F.when(F.col("_rank") >= F.col("_lower"), F.col("_v")))
     upper = F.min(F.when(F.col("_rank") >= F.col("_upper"), F.col("_v")))
-    return near.groupBy(*keys).agg(((lower + upper) / 2).alias("median"))
+    return ranked.groupBy(*keys).agg(((lower + upper) / 2).alias("median"))

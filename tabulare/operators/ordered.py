@@ -7,12 +7,17 @@ from pyspark.sql import functions as F
 
 from tabulare.operators.skew import split_time
 
+MAX_TOP = 1_000
+
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each group, numbered from 1. ``order`` must end with a unique key.
 
-    Spark cuts each group to ``n`` rows in every input task before the shuffle.
+    Spark cuts each group to ``n`` rows in every input task before the shuffle,
+    which it does for ``n`` up to ``MAX_TOP``.
     """
+    if not 0 < n <= MAX_TOP:
+        raise ValueError(f"the number of rows per group must be between 1 and {MAX_TOP}")
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("rank", F.row_number().over(ranked))

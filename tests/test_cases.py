@@ -58,6 +58,25 @@ def test_pages_cover_every_row_once_with_missing_values_last(spark, paged, size)
     assert seen == [7, 1, 2, 5, 3, 9, 4, 6, 8]
 
 
+@pytest.mark.parametrize("data_type", ["double", "decimal(12,2)", "bigint", "float"])
+def test_median_of_wide_and_special_values(spark, data_type):
+    values = [-(10**9), 10**9, 0, 1, 2, 3, 5]
+    df = spark.createDataFrame([(v,) for v in values], "v bigint").select(
+        F.lit(1).alias("g"), F.col("v").cast(data_type).alias("v")
+    )
+    for accuracy in (4, 10_000):
+        assert float(groups.median_by_group(df, ["g"], "v", accuracy).first()["median"]) == 2
+    if data_type == "double":
+        special = spark.createDataFrame([(float("inf"),), (float("-inf"),), (float("nan"),), (1.0,)], "v double")
+        odd = special.union(special.where("v = 1")).withColumn("g", F.lit(1))
+        assert groups.median_by_group(odd, ["g"], "v").first()["median"] == 1.0
+
+
+def test_top_per_group_is_bounded(paged):
+    with pytest.raises(ValueError):
+        ordered.top_per_group(paged, ["k"], [F.col("v")], ordered.MAX_TOP + 1)
+
+
 @pytest.mark.parametrize("size", [0, rows.MAX_PAGE_SIZE + 1])
 def test_page_size_is_bounded(paged, size):
     with pytest.raises(ValueError):

@@ -86,18 +86,18 @@ def test_interval_match(stepped, steps, cell_rows):
     assert {row["id"]: (row["matches"], row["matched_amount"]) for row in found.collect()} == expected
 
 
-@pytest.mark.parametrize("accuracy", [4, 10_000])
-def test_median(stepped, steps, accuracy):
+@pytest.mark.parametrize("accuracy, cells", [(4, 1), (4, 2), (5, 1_024), (10_000, 1_024)])
+def test_median(stepped, steps, accuracy, cells):
     from statistics import median
 
     values = defaultdict(list)
     for row in steps:
         values[row[1]].append(row[3])
-    found = groups.median_by_group(stepped, ["u"], "v", accuracy).collect()
+    found = groups.median_by_group(stepped, ["u"], "v", accuracy, cells).collect()
     assert {row["u"]: row["median"] for row in found} == {key: median(vs) for key, vs in values.items()}
 
 
-@pytest.mark.parametrize("cuts", [(-9, -9), (-9, 9), (9, 9), (0, 0), (-1, 2)])
+@pytest.mark.parametrize("cuts", [(-9, -9), (-9, 9), (9, 9), (0, 0), (-1, 2), (2, 3), (-3, -2)])
 def test_median_does_not_rest_on_the_sketch(monkeypatch, stepped, steps, cuts):
     """With cut points that miss the middle altogether, the answer stays the same."""
     from statistics import median
