@@ -22,8 +22,6 @@ def test_job_equals_sql(spark, folder, duck, name):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_types_equal_sql(spark, folder, duck, name):
-    if name == "stream_buckets" or name == "export_partitioned":
-        pytest.skip("schema is stated where the result is read back")
     found = {field.name: TYPES[field.dataType.simpleString()] for field in QUERIES[name](spark, folder).schema}
     described = duck.execute(f"DESCRIBE {ORACLES[name]}").fetchall()
     expected = {row[0]: str(row[1]).replace("HUGEINT", "BIGINT") for row in described}
@@ -57,3 +55,35 @@ def test_broken_sql_is_noticed(spark, folder, duck, name, right, wrong):
         broken = broken.replace("LIMIT 50", "LIMIT 49")
     with pytest.raises(AssertionError):
         assert_same(spark_rows(QUERIES[name](spark, folder)), duck_rows(duck, broken))
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["filtered_rows", "indicator_table", "interval_match", "period_change", "running_total", "sessions", "time_buckets"],
+)
+def test_results_do_not_depend_on_the_session_zone(spark, folder, duck, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        assert_same(spark_rows(QUERIES[name](spark, folder)), duck_rows(duck, ORACLES[name]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLES) - {"stream_buckets", "export_partitioned"}))
+def test_results_do_not_depend_on_the_partitioning(spark, folder, duck, name):
+    """More tasks per scan, more shuffle partitions and no broadcast joins give the same rows."""
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.shuffle.partitions": "13",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        assert_same(spark_rows(QUERIES[name](spark, folder)), duck_rows(duck, ORACLES[name]))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
