@@ -41,50 +41,74 @@ def crosstab(df: DataFrame, rows: list[str], column: str, values: list[str]) ->
     return df.groupBy(*rows).agg(*(F.count_if(F.col(column) == value).alias(value) for value in values))
 
 
-def median_by_group(df: DataFrame, keys: list[str], value: str, accuracy: int = 10_000, cells: int = 1_024) -> DataFrame:
+def median_by_group(df: DataFrame, keys: list[str], value: str, cells: int = 4_096) -> DataFrame:
     """Exact median per group, nulls ignored, without holding a group in one task.
 
-    A sketch gives each group two cut points close to its middle. The range
-    between them is cut into cells of equal width, and an exact count per cell
-    tells which of them, or which of the two ranges outside, holds the middle
-    ranks. Only the values of that cell are ordered. The sketch decides how few
-    they are, about 4/accuracy/cells of a group, and not what comes out.
+    Different values are counted, and the counts summed per cell of a
+    logarithmic scale: running sums over the cells of a group tell which one
+    holds the middle ranks. That one is cut into ``cells`` cells of equal
+    width, and the same is done again. Only the values of the cell found then
+    are ordered. Every step is an exact count that comes out the same when a
+    lost task is run again, which a sketch's cut points need not.
     """
-    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    margin = 2 / accuracy
-    cuts = (
-        present.groupBy(*keys)
-        .agg(F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_cut"))
-        .select(*keys, F.col("_cut")[0].alias("_low"), F.col("_cut")[1].alias("_high"))
+    counted = (
+        df.where(F.col(value).isNotNull())
+        .select(*keys, F.col(value).alias("_v"))
+        .groupBy(*keys, "_v")
+        .agg(F.count("*").alias("_n"))
+        .withColumn("_cell", _log_cell("_v"))
     )
-    low, high, v = (F.col(name).cast("double") for name in ("_low", "_high", "_v"))
-    within = F.when(high > low, F.least(F.floor((v - low) / (high - low) * cells), F.lit(cells - 1))).otherwise(0)
-    cell = F.when(F.col("_v") < F.col("_low"), -1).when(F.col("_v") <= F.col("_high"), within).otherwise(cells)
-    counted = present.groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
-    in_cells = join_per_key(counted, cuts, keys).select(*keys, "_v", "_n", cell.alias("_cell"))
-
-    group = Window.partitionBy(*keys)
-    upward = group.orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    lower_rank, upper_rank = F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")
-    middle = (
-        in_cells.groupBy(*keys, "_cell")
-        .agg(F.sum("_n").alias("_n"))
-        .select(*keys, "_cell", "_n", F.sum("_n").over(group).alias("_all"), F.sum("_n").over(upward).alias("_upto"))
+    of_cell = [F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    all_rows = F.sum("_n").over(Window.partitionBy(*keys))
+    coarse = (
+        counted.groupBy(*keys, "_cell")
+        .agg(*of_cell)
+        .withColumns({"_all": all_rows, "_before": F.lit(0).cast("bigint")})
+        .withColumns({"_lower": F.expr("(_all + 1) div 2"), "_upper": F.expr("_all div 2 + 1")})
+    )
+    near = _in_middle(counted, _middle(coarse, keys), keys).withColumn("_cell", _even_cell("_v", cells))
+    fine = near.groupBy(*keys, "_cell", "_before", "_lower", "_upper").agg(*of_cell)
+    nearest = _in_middle(near.select(*keys, "_v", "_n", "_cell"), _middle(fine, keys), keys)
+
+    by_value = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    rank = F.col("_before") + F.sum("_n").over(by_value)
+    lower = F.min(F.when(F.col("_rank") >= F.col("_lower"), F.col("_v")))
+    upper = F.min(F.when(F.col("_rank") >= F.col("_upper"), F.col("_v")))
+    return nearest.withColumn("_rank", rank).groupBy(*keys).agg(((lower + upper) / 2).alias("median"))
+
+
+def _log_cell(value: str) -> Column:
+    """Number of the logarithmic cell, half a percent wide, that holds a value; it rises with the value."""
+    v = F.col(value).cast("double")
+    size = F.floor(F.least(F.log(F.abs(v)) * 200, F.lit(200_000.0))) + 200_000
+    return F.when(F.isnan(v), 1_000_000).when(v > 0, size).when(v < 0, -size).otherwise(0)
+
+
+def _even_cell(value: str, cells: int) -> Column:
+    """Number of the cell of equal width between ``_low`` and ``_high`` that holds a value."""
+    v, low, high = (F.col(name).cast("double") for name in (value, "_low", "_high"))
+    return F.when(high > low, F.least(F.floor((v - low) / (high - low) * cells), F.lit(cells - 1))).otherwise(0)
+
+
+def _middle(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Per group the cells that hold the ranks ``_lower`` and ``_upper``, their bounds, and the rows before them."""
+    upward = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    up_to_lower, up_to_upper = (F.col("_upto") >= F.col(rank) for rank in ("_lower", "_upper"))
+    return (
+        cells.withColumn("_upto", F.col("_before") + F.sum("_n").over(upward))
         .groupBy(*keys)
         .agg(
-            F.first(lower_rank).alias("_lower"),
-            F.first(upper_rank).alias("_upper"),
-            F.min(F.when(F.col("_upto") >= lower_rank, F.col("_cell"))).alias("_from"),
-            F.min(F.when(F.col("_upto") >= upper_rank, F.col("_cell"))).alias("_to"),
-            F.min(F.when(F.col("_upto") >= lower_rank, F.col("_upto") - F.col("_n"))).alias("_before"),
+            F.min("_lower").alias("_lower"),
+            F.min("_upper").alias("_upper"),
+            F.min(F.when(up_to_lower, F.col("_upto") - F.col("_n"))).alias("_before"),
+            F.min(F.when(up_to_lower, F.col("_cell"))).alias("_from"),
+            F.min(F.when(up_to_upper, F.col("_cell"))).alias("_to"),
+            F.min(F.when(up_to_lower, F.col("_low"))).alias("_low"),
+            F.min(F.when(up_to_upper, F.col("_high"))).alias("_high"),
         )
     )
-    by_value = group.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (
-        join_per_key(in_cells, middle, keys)
-        .where(F.col("_cell").between(F.col("_from"), F.col("_to")))
-        .withColumn("_rank", F.col("_before") + F.sum("_n").over(by_value))
-    )
-    lower = F.min(F.when(F.col("_rank") >= F.col("_lower"), F.col("_v")))
-    upper = F.min(F.when(F.col("_rank") >= F.col("_upper"), F.col("_v")))
-    return ranked.groupBy(*keys).agg(((lower + upper) / 2).alias("median"))
+
+
+def _in_middle(values: DataFrame, middle: DataFrame, keys: list[str]) -> DataFrame:
+    found = join_per_key(values, middle, keys)
+    return found.where(F.col("_cell").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")

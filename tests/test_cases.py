@@ -64,8 +64,8 @@ def test_median_of_wide_and_special_values(spark, data_type):
     df = spark.createDataFrame([(v,) for v in values], "v bigint").select(
         F.lit(1).alias("g"), F.col("v").cast(data_type).alias("v")
     )
-    for accuracy in (4, 10_000):
-        assert float(groups.median_by_group(df, ["g"], "v", accuracy).first()["median"]) == 2
+    for cells in (2, 4_096):
+        assert float(groups.median_by_group(df, ["g"], "v", cells).first()["median"]) == 2
     if data_type == "double":
         special = spark.createDataFrame([(float("inf"),), (float("-inf"),), (float("nan"),), (1.0,)], "v double")
         odd = special.union(special.where("v = 1")).withColumn("g", F.lit(1))

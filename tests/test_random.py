@@ -86,32 +86,42 @@ def test_interval_match(stepped, steps, cell_rows):
     assert {row["id"]: (row["matches"], row["matched_amount"]) for row in found.collect()} == expected
 
 
-@pytest.mark.parametrize("accuracy, cells", [(4, 1), (4, 2), (5, 1_024), (10_000, 1_024)])
-def test_median(stepped, steps, accuracy, cells):
+@pytest.mark.parametrize("cells", [1, 2, 3, 4_096])
+def test_median(stepped, steps, cells):
     from statistics import median
 
     values = defaultdict(list)
     for row in steps:
         values[row[1]].append(row[3])
-    found = groups.median_by_group(stepped, ["u"], "v", accuracy, cells).collect()
+    found = groups.median_by_group(stepped, ["u"], "v", cells).collect()
     assert {row["u"]: row["median"] for row in found} == {key: median(vs) for key, vs in values.items()}
 
 
-@pytest.mark.parametrize("cuts", [(-9, -9), (-9, 9), (9, 9), (0, 0), (-1, 2), (2, 3), (-3, -2)])
-def test_median_does_not_rest_on_the_sketch(monkeypatch, stepped, steps, cuts):
-    """With cut points that miss the middle altogether, the answer stays the same."""
+@pytest.mark.parametrize("cells", [1, 7, 4_096])
+def test_median_of_values_of_very_different_size(spark, cells):
     from statistics import median
 
+    chance = random.Random(11)
+    rows = []
+    for key in range(200):
+        centre, spread = chance.choice([(0.0, 1.0), (1e9, 1e-3), (-5.0, 1e6), (1e-9, 1e-9), (1.7e9, 1e6)])
+        for _ in range(chance.randint(1, 30)):
+            rows.append((key, chance.choice([centre, centre + chance.uniform(-1, 1) * spread, chance.gauss(0, 1e12)])))
     values = defaultdict(list)
-    for row in steps:
-        values[row[1]].append(row[3])
-    sketch = groups.F.percentile_approx
-    monkeypatch.setattr(
-        groups.F, "percentile_approx", lambda *_: F.array(*(F.max(F.lit(c).cast("bigint")) for c in cuts))
-    )
-    frame = groups.median_by_group(stepped, ["u"], "v")
-    monkeypatch.setattr(groups.F, "percentile_approx", sketch)
-    assert {row["u"]: row["median"] for row in frame.collect()} == {key: median(vs) for key, vs in values.items()}
+    for key, value in rows:
+        values[key].append(value)
+    df = spark.createDataFrame(rows, "u int, v double").repartition(8, "v")
+    found = {row["u"]: row["median"] for row in groups.median_by_group(df, ["u"], "v", cells).collect()}
+    assert found == {key: median(vs) for key, vs in values.items()}
+
+
+def test_log_cells_rise_with_the_value(spark):
+    chance = random.Random(3)
+    sizes = [10.0 ** chance.uniform(-300, 300) for _ in range(2_000)] + [5e-324, 1.7976931348623157e308, float("inf"), 1, 999.9999, 1000]
+    values = sorted([*sizes, 0.0, *(-size for size in sizes)])
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([*values, float("nan")])], "i int, v double")
+    cells = [row[0] for row in df.orderBy("i").select(groups._log_cell("v")).collect()]
+    assert cells == sorted(cells) and len(set(cells)) > 3_000
 
 
 @pytest.fixture(scope="module")
