@@ -59,22 +59,27 @@ def median_by_group(df: DataFrame, keys: list[str], value: str, cells: int = 4_0
         .withColumn("_cell", _log_cell("_v"))
     )
     of_cell = [F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
-    all_rows = F.sum("_n").over(Window.partitionBy(*keys))
+    middle_ranks = F.array_distinct(F.array(F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")))
     coarse = (
         counted.groupBy(*keys, "_cell")
         .agg(*of_cell)
-        .withColumns({"_all": all_rows, "_before": F.lit(0).cast("bigint")})
-        .withColumns({"_lower": F.expr("(_all + 1) div 2"), "_upper": F.expr("_all div 2 + 1")})
+        .withColumns({"_all": F.sum("_n").over(Window.partitionBy(*keys)), "_before": F.lit(0).cast("bigint")})
+        .withColumn("_rank", F.explode(middle_ranks))
     )
-    near = _in_middle(counted, _middle(coarse, keys), keys).withColumn("_cell", _even_cell("_v", cells))
-    fine = near.groupBy(*keys, "_cell", "_before", "_lower", "_upper").agg(*of_cell)
-    nearest = _in_middle(near.select(*keys, "_v", "_n", "_cell"), _middle(fine, keys), keys)
+    ranks = [*keys, "_rank"]
+    near = _in_cell_of_rank(counted, keys, coarse, ranks).withColumn("_cell", _even_cell("_v", cells))
+    fine = near.groupBy(*ranks, "_cell", "_before").agg(*of_cell)
+    nearest = _in_cell_of_rank(near.select(*ranks, "_v", "_n", "_cell"), ranks, fine, ranks)
 
-    by_value = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.col("_before") + F.sum("_n").over(by_value)
-    lower = F.min(F.when(F.col("_rank") >= F.col("_lower"), F.col("_v")))
-    upper = F.min(F.when(F.col("_rank") >= F.col("_upper"), F.col("_v")))
-    return nearest.withColumn("_rank", rank).groupBy(*keys).agg(((lower + upper) / 2).alias("median"))
+    by_value = Window.partitionBy(*ranks).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        nearest.withColumn("_upto", F.col("_before") + F.sum("_n").over(by_value))
+        .where(F.col("_upto") >= F.col("_rank"))
+        .groupBy(*ranks)
+        .agg(F.min("_v").alias("_v"))
+        .groupBy(*keys)
+        .agg(((F.min("_v") + F.max("_v")) / 2).alias("median"))
+    )
 
 
 def _log_cell(value: str) -> Column:
@@ -90,25 +95,23 @@ def _even_cell(value: str, cells: int) -> Column:
     return F.when(high > low, F.least(F.floor((v - low) / (high - low) * cells), F.lit(cells - 1))).otherwise(0)
 
 
-def _middle(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Per group the cells that hold the ranks ``_lower`` and ``_upper``, their bounds, and the rows before them."""
-    upward = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    up_to_lower, up_to_upper = (F.col("_upto") >= F.col(rank) for rank in ("_lower", "_upper"))
-    return (
+def _in_cell_of_rank(values: DataFrame, keys: list[str], cells: DataFrame, ranks: list[str]) -> DataFrame:
+    """The values in the cell that holds each rank, with the bounds of that cell and the rows before it.
+
+    ``cells`` has the rows ``_n`` of each cell, in each group and for each rank
+    looked for, and the rows ``_before`` all of its cells.
+    """
+    upward = Window.partitionBy(*ranks).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
+    reached = F.col("_upto") >= F.col("_rank")
+    holding = (
         cells.withColumn("_upto", F.col("_before") + F.sum("_n").over(upward))
-        .groupBy(*keys)
+        .where(reached)
+        .groupBy(*ranks)
         .agg(
-            F.min("_lower").alias("_lower"),
-            F.min("_upper").alias("_upper"),
-            F.min(F.when(up_to_lower, F.col("_upto") - F.col("_n"))).alias("_before"),
-            F.min(F.when(up_to_lower, F.col("_cell"))).alias("_from"),
-            F.min(F.when(up_to_upper, F.col("_cell"))).alias("_to"),
-            F.min(F.when(up_to_lower, F.col("_low"))).alias("_low"),
-            F.min(F.when(up_to_upper, F.col("_high"))).alias("_high"),
+            F.min("_cell").alias("_holding"),
+            F.min(F.col("_upto") - F.col("_n")).alias("_before"),
+            F.min("_low").alias("_low"),
+            F.min("_high").alias("_high"),
         )
     )
-
-
-def _in_middle(values: DataFrame, middle: DataFrame, keys: list[str]) -> DataFrame:
-    found = join_per_key(values, middle, keys)
-    return found.where(F.col("_cell").between(F.col("_from"), F.col("_to"))).drop("_from", "_to")
+    return join_per_key(values, holding, keys).where(F.col("_cell") == F.col("_holding")).drop("_holding")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_PAGE_SIZE = 10_000
+MAX_PAGE_SIZE = 1_000
 
 
 def literal_like(df: DataFrame, column: str, value) -> Column:
@@ -29,6 +29,7 @@ def dataset_page(df: DataFrame, value: str, key: str, after: tuple | None, size:
 
     ``after`` is the (value, key) of the last row already seen, or ``None`` for
     the first page. Rows without a value come last. ``key`` must be unique.
+    Each task hands on at most one page to the task that merges them.
     """
     if not 0 < size <= MAX_PAGE_SIZE:
         raise ValueError(f"page size must be between 1 and {MAX_PAGE_SIZE}")

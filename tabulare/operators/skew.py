@@ -14,7 +14,7 @@ BURST = 8
 
 
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: int = 16) -> DataFrame:
-    """Attach to each row the columns of the one ``per_key`` row with its key; null keys match.
+    """Attach to each row the columns of the few ``per_key`` rows with its key; null keys match.
 
     Each key is split over ``spread`` shares: rows pick theirs by a hash of
     their content, and every ``per_key`` row is repeated once per share.

@@ -13,7 +13,13 @@ from tabulare.session import require_utc
 def file_stream(
     spark: SparkSession, path: str, schema: StructType, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Parquet files at ``path`` as a stream; new files are picked up by later runs."""
+    """Parquet files at ``path`` as a stream; new files are picked up by later runs.
+
+    Without a limit all files that wait form one batch, in which no row is
+    late. A limit keeps batches small, and then files should arrive in the
+    order of their times: rows older than the watermark of an earlier batch
+    are dropped.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)

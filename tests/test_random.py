@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tabulare.functions.money import cents
 from tabulare.operators import compare, groups, ordered, timed
 from tabulare.operators.skew import join_per_key, split_time
 
@@ -117,13 +118,28 @@ def test_median_of_values_of_very_different_size(spark, cells):
 
 def test_log_cells_rise_with_the_value(spark):
     chance = random.Random(3)
-    sizes = [10.0 ** chance.uniform(-300, 300) for _ in range(2_000)] + [5e-324, 1.7976931348623157e308, float("inf"), 1, 999.9999, 1000]
+    edges = [5e-324, 1.7976931348623157e308, float("inf"), 1, 999.9999, 1000]
+    sizes = [10.0 ** chance.uniform(-300, 300) for _ in range(2_000)] + edges
     values = sorted([*sizes, 0.0, *(-size for size in sizes)])
     df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([*values, float("nan")])], "i int, v double")
     cells = [row[0] for row in df.orderBy("i").select(groups._log_cell("v")).collect()]
     assert cells == sorted(cells) and len(set(cells)) > 3_000
 
 
+def test_median_between_two_far_clusters_orders_little(spark, monkeypatch):
+    """Half of the values far below and half far above: both middle values are found without ordering either half."""
+    values = spark.range(20_000).select(
+        F.lit(1).alias("g"), F.when(F.col("id") < 10_000, F.col("id") - 10**9).otherwise(F.col("id") + 10**9).alias("v")
+    )
+    ordered_rows = []
+    holding = groups._in_cell_of_rank
+    monkeypatch.setattr(
+        groups, "_in_cell_of_rank", lambda *a: [frame := holding(*a), ordered_rows.append(frame.count())][0]
+    )
+    assert groups.median_by_group(values, ["g"], "v").first()["median"] == (9_999 - 10**9 + 10_000 + 10**9) / 2
+    assert ordered_rows[-1] < 20
+
+
 @pytest.fixture(scope="module")
 def hot(spark, folder):
     """The given events with a third of all rows moved to one user and one value."""
@@ -133,7 +149,7 @@ def hot(spark, folder):
     is_hot = F.col("event_type").isin("click", "view")
     return (
         events.withColumn("user_id", F.when(is_hot, 0).otherwise(F.col("user_id")))
-        .withColumn("cents", F.when(is_hot & (F.col("value") < 50), 700).otherwise(F.rint(F.col("value") * 100)).cast("bigint"))
+        .withColumn("cents", F.when(is_hot & (F.col("value") < 50), 700).otherwise(cents("value")))
         .select("event_id", "user_id", "event_type", "ts", "cents")
         .cache()
     )
