@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 UTC_ZONES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
@@ -24,24 +23,36 @@ def local_session(cpus: int = 8, memory: str = "12g", name: str = "tabulare") ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``, which every executor can reach.
+    """The folder for checkpoints and written results, which every executor must be able to reach.
 
-    Only a local session may go without it: there a temporary folder is made
-    once and kept in the session settings.
+    It is the one that the cluster names in ``spark.checkpoint.dir``. Where
+    that is not set it is a folder in the warehouse, which Spark needs to be
+    shared too; a folder of one machine is never made up.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tabulare.folder", None)
-    if folder:
-        return folder
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="tabulare-")
-    spark.conf.set("tabulare.folder", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tabulare-work"
 
 
 def run_folder(spark: SparkSession, job: str) -> str:
-    """A folder no other run has used, below the shared one."""
-    return f"{shared_folder(spark).rstrip('/')}/{job}-{uuid.uuid4().hex}"
+    """A folder no other run has used, below the shared one; it is deleted when the session's JVM ends.
+
+    So nothing piles up from run to run, and a result that is still to be read
+    is not taken away.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/{job}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder
+
+
+def work_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    """``df``, written to the shared folder and read back: its lineage ends there, on files that outlive executors."""
+    spark = df.sparkSession
+    path = f"{run_folder(spark, name)}/rows"
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def require_utc(spark: SparkSession) -> None:
