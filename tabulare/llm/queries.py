@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.llm import bpe, pii
+from tabulare.llm import bpe, exact, license, mixing, pii, quality
+from tabulare.llm.oracles import LLM_ORACLES  # noqa: F401
 from tabulare.llm.rows import read_documents
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +30,13 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = exact.exact_dedup(read_documents(spark, folder))
+    return found.select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     def listed(spans: Column) -> Column:
         parts = F.transform(
@@ -48,8 +56,30 @@ def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license.scan_licenses(read_documents(spark, folder))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("bigint").alias("n_matches"),
+        F.get("matches", F.lit(0))["name"].alias("license"),
+        F.get("matches", F.lit(0))["score"].alias("score"),
+        F.array_join(F.sort_array(F.array_distinct(F.transform("matches", lambda m: m["name"]))), ",").alias("names"),
+    )
+
+
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_rules(read_documents(spark, folder), read_documents(spark, folder, "labels"))
+
+
+def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(read_documents(spark, folder))
+
+
 LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_exact_dedup": op4_exact_dedup,
     "op5_pii": op5_pii,
+    "op6_license_scan": op6_license_scan,
+    "op9_quality_rules": op9_quality_rules,
+    "op10_mix_sources": op10_mix_sources,
 }
-LLM_ORACLES: dict[str, str] = {}

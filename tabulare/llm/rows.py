@@ -22,6 +22,14 @@ def id_and_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return docs.select(F.col(key).cast("bigint").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
 
+def packed(docs: DataFrame, **needed: str) -> DataFrame:
+    """All columns in one struct ``_row``, beside the needed ones under own names: nothing an operator adds can clash."""
+    return docs.select(
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("_row"),
+        *(F.col(column).alias(name) for name, column in needed.items()),
+    )
+
+
 def id_and_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The same with the text as its UTF-8 bytes."""
     return id_and_text(docs, key, text).select("_id", F.col("_text").cast("binary").alias("_text"))
