@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.llm import bpe, exact, license, mixing, pii, quality
+from tabulare.llm import bpe, exact, license, mixing, near, pii, quality
 from tabulare.llm.oracles import LLM_ORACLES  # noqa: F401
 from tabulare.llm.rows import read_documents
 
@@ -30,6 +30,10 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_minhash_near(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_groups(read_documents(spark, folder))
+
+
 def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = exact.exact_dedup(read_documents(spark, folder))
     return found.select(
@@ -77,6 +81,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_minhash_near": op3_minhash_near,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_pii": op5_pii,
     "op6_license_scan": op6_license_scan,
