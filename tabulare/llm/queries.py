@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.llm import bpe, exact, license, mixing, near, pii, quality
+from tabulare.llm import bpe, exact, license, mixing, near, pii, quality, scoring
 from tabulare.llm.oracles import LLM_ORACLES  # noqa: F401
 from tabulare.llm.rows import read_documents
 
@@ -71,6 +71,10 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.score_documents(read_documents(spark, folder))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(read_documents(spark, folder), read_documents(spark, folder, "labels"))
 
@@ -85,6 +89,7 @@ LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_pii": op5_pii,
     "op6_license_scan": op6_license_scan,
+    "op7_lm_score": op7_lm_score,
     "op9_quality_rules": op9_quality_rules,
     "op10_mix_sources": op10_mix_sources,
 }
