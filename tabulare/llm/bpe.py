@@ -24,10 +24,13 @@ from pyspark.sql import functions as F
 
 from tabulare.llm.lexicon import Lexicon, compile_lexicon
 from tabulare.llm.rows import id_and_bytes, slices
-from tabulare.session import run_folder
+from tabulare.session import run_folder, work_table
 
 LEXICON_WORDS = 65_536
+CLASSES = 8  # of counts, for each factor of two
 CACHE_ENTRIES = 400_000
+NO_MERGE = 1 << 60
+ID_BITS, ID_MASK = 24, (1 << 24) - 1
 COUNTED_WORDS = 400_000
 ODD_SPACES = re.compile("[\x1c-\x1f]")  # str.split() splits here, the vocabulary's pattern does not
 SPACES = regex.compile(r"\p{White_Space}+")
@@ -52,11 +55,17 @@ class Model:
             raise ValueError("only vocabularies with NFC, lower case and kept pieces are supported")
         self.vocabulary: dict[str, int] = model["vocab"]
         self.suffix: str = model["end_of_word_suffix"]
-        self.ranks = {tuple(pair): rank for rank, pair in enumerate(model["merges"])}
+        ids = self.vocabulary
+        # What two neighbours become: rank and id in one number, so that the smallest is the best.
+        self.pairs = {
+            ids[a] << ID_BITS | ids[b]: rank << ID_BITS | ids[a + b] for rank, (a, b) in enumerate(model["merges"])
+        }
         self.special = {token["content"]: token["id"] for token in config["added_tokens"]}
         self.pieces = regex.compile(cut["pattern"]["Regex"])
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.symbols = byte_symbols()
+        symbols = byte_symbols()
+        self.first_ids = [ids[symbol] for symbol in symbols]
+        self.last_ids = {ids[symbol]: ids[symbol + self.suffix] for symbol in symbols}
         size = 1 + max([*self.vocabulary.values(), *self.special.values()])
         self.tokens = [""] * size
         for token, i in chain(self.vocabulary.items(), self.special.items()):
@@ -73,45 +82,50 @@ class Model:
                 # Letters are lowered one by one: no special form of sigma at the end of a word.
                 yield False, unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()
 
-    def chunks(self, text: str) -> list[str]:
-        """The parts of a normalised text between white space; no piece crosses it."""
+    def words(self, text: str) -> list[str]:
+        """The parts of a normalised text between white space, with their marks; no piece crosses it."""
         return SPACES.split(text) if ODD_SPACES.search(text) else text.split()
 
+    def word_ids(self, word: str) -> list[int]:
+        """The ids of all pieces of a word; a word that holds no piece, such as a lone space, has none."""
+        if word.isalpha():  # just the letters of the pattern
+            return self.merge(word)
+        return list(chain.from_iterable(map(self.merge, self.pieces.findall(word))))
+
     def merge(self, piece: str) -> list[int]:
-        """The ids of one piece by its merges, best rank first and from the left."""
-        parts = [self.symbols[b] for b in piece.encode()]
-        parts[-1] += self.suffix
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:], strict=False), key=lambda pair: self.ranks.get(pair, 1 << 60))
-            if best not in self.ranks:
+        """The ids of one piece by its merges: the best rank first, the leftmost of equal ones."""
+        parts = [self.first_ids[b] for b in piece.encode()]
+        parts[-1] = self.last_ids[parts[-1]]
+        find = self.pairs.get
+        steps = [find(a << ID_BITS | b, NO_MERGE) for a, b in zip(parts, parts[1:], strict=False)]
+        while steps:
+            best = min(steps)
+            if best == NO_MERGE:
                 break
-            merged, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    merged.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    merged.append(parts[i])
-                    i += 1
-            parts = merged
-        return [self.vocabulary[part] for part in parts]
+            i = steps.index(best)
+            merged = parts[i] = best & ID_MASK
+            del parts[i + 1], steps[i]
+            if i:
+                steps[i - 1] = find(parts[i - 1] << ID_BITS | merged, NO_MERGE)
+            if i < len(steps):
+                steps[i] = find(merged << ID_BITS | parts[i + 1], NO_MERGE)
+        return parts
 
 
 class Encoder(dict):
-    """Ids by chunk of text: pieces are looked up in the lexicon, and merged if they are not there."""
+    """Ids by word: looked up in the lexicon, and merged piece by piece if it is not there."""
 
     def __init__(self, model: Model, lexicon: Lexicon | None) -> None:
         super().__init__()
         self.model, self.lexicon = model, lexicon
 
-    def __missing__(self, chunk: str) -> list[int]:
-        found: list[int] = []
-        for piece in self.model.pieces.findall(chunk):
-            ids = self.lexicon.find(piece.encode()) if self.lexicon else None
-            found += self.model.merge(piece) if ids is None else ids
+    def __missing__(self, word: str) -> list[int]:
+        found = self.lexicon.find(word.encode()) if self.lexicon else None
+        if found is None:
+            found = self.model.word_ids(word)
         if len(self) >= CACHE_ENTRIES:  # memory is bounded; what is dropped is looked up again
             self.clear()
-        self[chunk] = found
+        self[word] = found
         return found
 
     def encode(self, text: str) -> list[int]:
@@ -120,7 +134,7 @@ class Encoder(dict):
             if is_special:
                 found.append(self.model.special[part])
             else:
-                found.extend(chain.from_iterable(map(self.__getitem__, self.model.chunks(part))))
+                found.extend(chain.from_iterable(map(self.__getitem__, self.model.words(part))))
         return found
 
 
@@ -129,36 +143,33 @@ def decode(model: Model, ids: list[int]) -> str:
     return " ".join(map(model.tokens.__getitem__, ids))
 
 
-def piece_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """How often each piece occurs in all texts. Each task sums what it reads before the shuffle, in bounded memory."""
+def word_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """How often each normalised word, up to white space, occurs in all texts. Each task sums what it reads before the shuffle, in bounded memory."""
     source = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = Model(source.value), Counter()
 
         def counted() -> pa.RecordBatch:
-            pieces: Counter = Counter()
-            for chunk, n in seen.items():
-                for piece in model.pieces.findall(chunk):
-                    pieces[piece] += n
-            seen.clear()
-            return pa.RecordBatch.from_pydict(
-                {"piece": pa.array(list(pieces), pa.string()), "n": pa.array(list(pieces.values()), pa.int64())}
+            batch = pa.RecordBatch.from_pydict(
+                {"word": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())}
             )
+            seen.clear()
+            return batch
 
         for part in slices(batches):
             for raw in part.column("_text"):
                 for is_special, segment in model.segments(raw.as_py().decode()):
                     if not is_special:
-                        seen.update(model.chunks(segment))
+                        seen.update(model.words(segment))
             if len(seen) > COUNTED_WORDS:
                 yield counted()
         yield counted()
 
     return (
         id_and_bytes(docs, key, text)
-        .mapInArrow(count, "piece string, n bigint")
-        .groupBy("piece")
+        .mapInArrow(count, "word string, n bigint")
+        .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
 
@@ -166,16 +177,25 @@ def piece_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
 def build_lexicon(
     docs: DataFrame, vocabulary: str, size: int = LEXICON_WORDS, key: str = "doc_id", text: str = "text"
 ) -> str:
-    """Compile the ``size`` most frequent pieces of all texts; returns the name under which tasks find the file.
+    """Compile the most frequent words of all texts; returns the name under which tasks find the file.
 
-    The counts cover every text. At most ``size`` pieces, a parameter, come to
-    the driver. The file goes to the shared folder, from which Spark hands a
-    copy to each executor.
+    The counts cover every text. They are counted by size class first, which
+    tells from which class on there are at most ``size`` words, a parameter:
+    no more come to the driver. The file goes to the shared folder, from which
+    Spark hands a copy to each executor.
     """
     spark = docs.sparkSession
     model = Model(_read(vocabulary))
-    top = piece_counts(docs, vocabulary, key, text).orderBy(F.col("n").desc(), "piece").limit(size).collect()
-    compiled = compile_lexicon({row.piece.encode(): model.merge(row.piece) for row in top})
+    counted = word_counts(docs, vocabulary, key, text).where("n > 1")
+    counts = work_table(counted.withColumn("class", F.floor(F.log2("n") * CLASSES).cast("int")), "words")
+    room, least = size, 64 * CLASSES
+    for row in counts.groupBy("class").count().orderBy(F.col("class").desc()).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["class"]
+    top = counts.where(F.col("class") >= least).select("word").collect()
+    compiled = compile_lexicon({row.word.encode(): model.word_ids(row.word) for row in top})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{run_folder(spark, 'lexicon')}/{name}")
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
