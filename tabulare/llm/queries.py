@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.llm import bpe, exact, license, mixing, near, pii, quality, scoring
+from tabulare.llm import bpe, exact, license, mixing, near, pii, quality, repeats, scoring
 from tabulare.llm.oracles import LLM_ORACLES  # noqa: F401
 from tabulare.llm.rows import read_documents
 
@@ -30,6 +30,18 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.remove_repeats(read_documents(spark, folder))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_minhash_near(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_groups(read_documents(spark, folder))
 
@@ -85,6 +97,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash_near": op3_minhash_near,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_pii": op5_pii,
