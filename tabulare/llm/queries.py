@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.llm import bpe, exact, license, mixing, near, pii, quality, repeats, scoring
+from tabulare.llm import attribution, bpe, exact, license, mixing, near, pii, quality, repeats, scoring
 from tabulare.llm.oracles import LLM_ORACLES  # noqa: F401
 from tabulare.llm.rows import read_documents
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -87,6 +88,10 @@ def op7_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.score_documents(read_documents(spark, folder))
 
 
+def op8_token_attribution(spark: SparkSession, folder: str) -> DataFrame:
+    return attribution.attribute_tokens(read_documents(spark, folder), BYTE_BPE, public_tokenizers.PATTERN)
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_rules(read_documents(spark, folder), read_documents(spark, folder, "labels"))
 
@@ -103,6 +108,7 @@ LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pii": op5_pii,
     "op6_license_scan": op6_license_scan,
     "op7_lm_score": op7_lm_score,
+    "op8_token_attribution": op8_token_attribution,
     "op9_quality_rules": op9_quality_rules,
     "op10_mix_sources": op10_mix_sources,
 }
