@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulare.llm.rows import packed
@@ -133,6 +133,7 @@ def calibrate(
         F.col(stratum).alias("_stratum"), "_good", F.array(*badness()).alias("_values")
     )
     good = labelled.groupBy("_stratum").agg(F.count_if("_good").alias("_n"))
+    good = good.withColumn("_strata", F.count("*").over(Window.partitionBy()))  # one row per stratum
     grids = F.array(*(F.array(*map(F.lit, cutoffs)) for _, cutoffs in RULES.values()))
     above = (
         labelled.select("_stratum", "_good", F.posexplode("_values").alias("_rule", "_value"))
@@ -147,15 +148,12 @@ def calibrate(
         .agg(F.sum("_g").alias("_k"), F.sum("_b").alias("_bad"))
         .withColumn("_cutoff", F.get(F.get(grids, F.col("_rule")), F.col("_at")))
     )
-    strata = good.select(F.count("*").alias("_strata"), F.lit(1).alias("_one"))
     level = F.lit(error) / (F.col("_strata") * len(RULES))
     rate = false_rejections / len(RULES)
     same = F.col("_stratum").eqNullSafe(F.col("_of"))
     tested = (
         above.join(good.withColumnRenamed("_stratum", "_of"), same)
         .drop("_of")
-        .withColumn("_one", F.lit(1))
-        .join(strata, "_one")
         .where(binomial_at_most(F.col("_k"), F.col("_n"), rate) <= level)
         .groupBy("_stratum", "_rule")
         .agg(F.max_by("_cutoff", F.struct("_bad", "_cutoff")).alias("_cutoff"))
