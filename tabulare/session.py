@@ -47,11 +47,23 @@ def run_folder(spark: SparkSession, job: str) -> str:
     return folder
 
 
-def work_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """``df``, written to the shared folder and read back: its lineage ends there, on files that outlive executors."""
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def work_table(df: DataFrame, name: str) -> DataFrame:
+    """``df``, written to the shared folder and read back: its lineage ends there, on files that outlive executors.
+
+    The shuffle files that it took are no longer needed then and are removed at
+    once, where Spark can do that.
+    """
     spark = df.sparkSession
     path = f"{run_folder(spark, name)}/rows"
-    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
