@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 from tabulare.llm.rows import id_and_text, packed
 from tabulare.session import run_folder, work_table
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = "spark.sql.streaming.stateStore"
+STATE_SETTINGS = {
+    f"{STATE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Only what a batch changes is written to the shared folder, and no disk is set aside for what may come.
+    f"{STATE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{STATE}.rocksdb.allowFAllocate": "false",
+}
 SALTS = 64
 
 
@@ -28,8 +33,9 @@ def keyed_state(rows: DataFrame, state_folder: str) -> None:
     the files that came since, so a stopped run is resumed where it was.
     """
     spark = rows.sparkSession
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKS_DB)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         (
             rows.groupBy("_digest")
@@ -42,7 +48,8 @@ def keyed_state(rows: DataFrame, state_folder: str) -> None:
             .awaitTermination()
         )
     finally:
-        spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def read_state(spark: SparkSession, state_folder: str) -> DataFrame:
