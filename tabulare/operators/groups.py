@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType
 
-from tabulare.operators.skew import join_per_key
+from tabulare.operators.skew import prefixed, same_keys
+from tabulare.session import work_table
 
 
 def rollup_totals(df: DataFrame, levels: list[str], measures: dict[str, Column]) -> DataFrame:
@@ -32,86 +36,92 @@ def distinct_entities_approx(df: DataFrame, keys: list[str], entity: str, error:
     return df.groupBy(*keys).agg(F.approx_count_distinct(entity, error).alias("entities"))
 
 
-def crosstab(df: DataFrame, rows: list[str], column: str, values: list[str]) -> DataFrame:
-    """Number of rows per group with one column for each listed value, zero where there is none.
+def distinct_within_bound(df: DataFrame, keys: list[str], entity: str, error: float = 0.02) -> DataFrame:
+    """The exact number per group, and whether the sketch's is within three times its relative error of it."""
+    exact, near = F.count_distinct(entity), F.approx_count_distinct(entity, error)
+    within = F.abs(F.col("_near") - F.col("entities")) <= F.col("entities") * (3 * error)
+    return (
+        df.groupBy(*keys)
+        .agg(exact.alias("entities"), near.alias("_near"))
+        .withColumn("within_bound", within)
+        .drop("_near")
+    )
+
+
+def crosstab(df: DataFrame, rows: list[str], column: str, values: list[str], other: str = "other") -> DataFrame:
+    """Number of rows per group with one column for each listed value, zero where there is none, and one for the rest.
 
-    Counting by condition needs one shuffle of partial counts; ``pivot`` groups
-    by the category first and so needs two.
+    Rows with a value that is not listed, or none, are counted as ``other``, so
+    that the columns of a group add up to its rows. Counting by condition needs
+    one shuffle of partial counts; ``pivot`` groups by the category first and
+    so needs two.
     """
-    return df.groupBy(*rows).agg(*(F.count_if(F.col(column) == value).alias(value) for value in values))
+    if other in values:
+        raise ValueError(f"{other} is a listed value; name the column of the rest differently")
+    listed = F.coalesce(F.col(column).isin(values), F.lit(False))
+    return df.groupBy(*rows).agg(
+        *(F.count_if(F.col(column) == value).alias(value) for value in values), F.count_if(~listed).alias(other)
+    )
 
 
-def median_by_group(df: DataFrame, keys: list[str], value: str, cells: int = 4_096) -> DataFrame:
+def median_by_group(df: DataFrame, keys: list[str], value: str, ranges: int | None = None) -> DataFrame:
     """Exact median per group, nulls ignored, without holding a group in one task.
 
-    Different values are counted, and the counts summed per cell of a
-    logarithmic scale: running sums over the cells of a group tell which one
-    holds the middle ranks. That one is cut into ``cells`` cells of equal
-    width, and the same is done again. Only the values of the cell found then
-    are ordered. Every step is an exact count that comes out the same when a
-    lost task is run again, which a sketch's cut points need not.
+    Different values are counted, and what is left is cut into ``ranges`` of
+    keys and values, as many as there are shuffle partitions if not said
+    otherwise. The ranges hold equally many values, however these are spread.
+    Sums per range tell which one holds the middle ranks of a group, and only
+    its values are ordered. The ranges are written to the shared folder when
+    this is called, so that a task that runs again finds them unchanged.
+
+    The mean of two whole numbers or decimals is a decimal, and exact.
     """
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = (
         df.where(F.col(value).isNotNull())
         .select(*keys, F.col(value).alias("_v"))
         .groupBy(*keys, "_v")
         .agg(F.count("*").alias("_n"))
-        .withColumn("_cell", _log_cell("_v"))
     )
-    of_cell = [F.sum("_n").alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high")]
+    cells = work_table(
+        counted.repartitionByRange(ranges, *keys, "_v").withColumn("_cell", F.spark_partition_id()), "median"
+    )
+    upward = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     middle_ranks = F.array_distinct(F.array(F.expr("(_all + 1) div 2"), F.expr("_all div 2 + 1")))
-    coarse = (
-        counted.groupBy(*keys, "_cell")
-        .agg(*of_cell)
-        .withColumns({"_all": F.sum("_n").over(Window.partitionBy(*keys)), "_before": F.lit(0).cast("bigint")})
-        .withColumn("_rank", F.explode(middle_ranks))
+    holding = (
+        cells.groupBy(*keys, "_cell")
+        .agg(F.sum("_n").alias("_in"))
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_in").over(upward), F.lit(0)),
+                "_all": F.sum("_in").over(Window.partitionBy(*keys)),
+            }
+        )
+        .withColumn("_ranks", F.filter(middle_ranks, lambda r: r.between(F.col("_before") + 1, F.col("_before") + F.col("_in"))))
+        .where(F.size("_ranks") > 0)
+        .select(*prefixed(keys, "_k"), F.col("_cell").alias("_held"), "_before", "_ranks")
     )
-    ranks = [*keys, "_rank"]
-    near = _in_cell_of_rank(counted, keys, coarse, ranks).withColumn("_cell", _even_cell("_v", cells))
-    fine = near.groupBy(*ranks, "_cell", "_before").agg(*of_cell)
-    nearest = _in_cell_of_rank(near.select(*ranks, "_v", "_n", "_cell"), ranks, fine, ranks)
-
-    by_value = Window.partitionBy(*ranks).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        nearest.withColumn("_upto", F.col("_before") + F.sum("_n").over(by_value))
-        .where(F.col("_upto") >= F.col("_rank"))
-        .groupBy(*ranks)
-        .agg(F.min("_v").alias("_v"))
+    matched = same_keys(keys, "_k") & (F.col("_cell") == F.col("_held")) if keys else F.col("_cell") == F.col("_held")
+    by_value = Window.partitionBy(*keys, "_cell").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    found = (
+        cells.join(holding, matched)
+        .withColumn("_upto", F.col("_before") + F.sum("_n").over(by_value))
+        .where(F.exists("_ranks", lambda r: (r > F.col("_upto") - F.col("_n")) & (r <= F.col("_upto"))))
         .groupBy(*keys)
-        .agg(((F.min("_v") + F.max("_v")) / 2).alias("median"))
+        .agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
     )
+    return found.select(*keys, _mean(df.schema[value].dataType).alias("median"))
 
 
-def _log_cell(value: str) -> Column:
-    """Number of the logarithmic cell, half a percent wide, that holds a value; it rises with the value."""
-    v = F.col(value).cast("double")
-    size = F.floor(F.least(F.log(F.abs(v)) * 200, F.lit(200_000.0))) + 200_000
-    return F.when(F.isnan(v), 1_000_000).when(v > 0, size).when(v < 0, -size).otherwise(0)
-
-
-def _even_cell(value: str, cells: int) -> Column:
-    """Number of the cell of equal width between ``_low`` and ``_high`` that holds a value."""
-    v, low, high = (F.col(name).cast("double") for name in (value, "_low", "_high"))
-    return F.when(high > low, F.least(F.floor((v - low) / (high - low) * cells), F.lit(cells - 1))).otherwise(0)
-
-
-def _in_cell_of_rank(values: DataFrame, keys: list[str], cells: DataFrame, ranks: list[str]) -> DataFrame:
-    """The values in the cell that holds each rank, with the bounds of that cell and the rows before it.
-
-    ``cells`` has the rows ``_n`` of each cell, in each group and for each rank
-    looked for, and the rows ``_before`` all of its cells.
-    """
-    upward = Window.partitionBy(*ranks).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
-    reached = F.col("_upto") >= F.col("_rank")
-    holding = (
-        cells.withColumn("_upto", F.col("_before") + F.sum("_n").over(upward))
-        .where(reached)
-        .groupBy(*ranks)
-        .agg(
-            F.min("_cell").alias("_holding"),
-            F.min(F.col("_upto") - F.col("_n")).alias("_before"),
-            F.min("_low").alias("_low"),
-            F.min("_high").alias("_high"),
+def _mean(kind: DataType) -> Column:
+    """The mean of the two middle values: exact where the type allows, and the value itself where both are equal."""
+    low, high = F.col("_low"), F.col("_high")
+    if isinstance(kind, (FloatType, DoubleType)):
+        low, high = low.cast("double"), high.cast("double")
+        return F.when(low.eqNullSafe(high), low).when(F.abs(low) + F.abs(high) < 1e308, (low + high) / 2).otherwise(
+            low / 2 + high / 2
         )
-    )
-    return join_per_key(values, holding, keys).where(F.col("_cell") == F.col("_holding")).drop("_holding")
+    scale = kind.scale if isinstance(kind, DecimalType) else 0
+    wide = f"decimal(38,{scale + 1})"
+    return ((low.cast(wide) + high.cast(wide)) * F.lit(Decimal("0.5"))).cast(wide)

@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulare.operators.skew import split_time
+from tabulare.operators.skew import split_busy
 
-MAX_TOP = 1_000
+CUT_IN_TASKS = 1_000  # rows per group up to which Spark cuts groups in its input tasks
+SHARES = 64
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each group, numbered from 1. ``order`` must end with a unique key.
 
-    Spark cuts each group to ``n`` rows in every input task before the shuffle,
-    which it does for ``n`` up to ``MAX_TOP``.
+    Up to ``CUT_IN_TASKS`` rows Spark cuts each group to ``n`` rows in every
+    input task, before the shuffle. For more, each group is dealt to ``SHARES``
+    shares and cut to ``n`` rows in each, and then to ``n`` of what is left.
     """
-    if not 0 < n <= MAX_TOP:
-        raise ValueError(f"the number of rows per group must be between 1 and {MAX_TOP}")
+    if n < 1:
+        raise ValueError("at least one row per group must be asked for")
+    if n > CUT_IN_TASKS:
+        share = F.pmod(F.xxhash64(*(F.struct(F.col(c)) for c in df.columns)), F.lit(SHARES))
+        in_share = Window.partitionBy(*keys, "_share").orderBy(*order)
+        df = (
+            df.withColumn("_share", share)
+            .withColumn("_n", F.row_number().over(in_share))
+            .where(F.col("_n") <= n)
+            .drop("_share", "_n")
+        )
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("rank", F.row_number().over(ranked))
@@ -39,33 +52,49 @@ def period_change(df: DataFrame, period: Column, keys: list[str] | None = None)
     )
 
 
-def running_sums(
-    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], cell_rows: float = 5_000_000
+def running(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    function: Callable[[str], Column],
+    values: dict[str, Column],
+    cell_rows: float,
+    itself: bool = True,
 ) -> DataFrame:
-    """Running sums per key in the given order, whose first column is a time.
+    """A running sum or extreme of each value per key in the given order, over the rows before and the row itself.
 
-    A key of more than ``cell_rows`` rows is cut into cells of time. Each cell's
-    total is carried to the cells after it, and the rows are then summed one
-    (key, cell) at a time, with the carried amount as the first row. So a key
-    that holds much of the table is spread over as many tasks as it needs.
+    A key of more than ``cell_rows`` rows is cut into pieces of its order, see
+    ``split_busy``. The result of each piece is carried to those after it, and
+    the rows are then taken one (key, piece) at a time, with what is carried as
+    the first row. So a key that holds much of the table is spread over as many
+    tasks as it needs.
     """
-    parts = split_time(df, keys, order[0], cell_rows).withColumns(
-        {f"_in_{name}": value for name, value in sums.items()}
-    )
-    cells = parts.where("_busy").groupBy(*keys, "_cell").agg(*(F.sum(f"_in_{name}").alias(f"_in_{name}") for name in sums))
-    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    carried = cells.withColumns({f"_in_{name}": F.sum(f"_in_{name}").over(earlier) for name in sums})
-    both = parts.withColumn("_is_row", F.lit(True)).unionByName(
-        carried.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
-    )
-    so_far = (
-        Window.partitionBy(*keys, "_cell").orderBy("_is_row", *order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        both.withColumns({name: F.sum(f"_in_{name}").over(so_far) for name in sums})
-        .where("_is_row")
-        .drop("_is_row", "_busy", "_cell", *(f"_in_{name}" for name in sums))
-    )
+    last = 0 if itself else -1
+    plain, cut = split_busy(df, keys, order, cell_rows)
+    inputs = {f"_in_{name}": value for name, value in values.items()}
+    in_order = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
+    found = plain.withColumns(inputs).withColumns({name: function(f"_in_{name}").over(in_order) for name in values})
+    if cut is not None:
+        parts = cut.withColumns(inputs)
+        cells = parts.groupBy(*keys, "_cell").agg(*(function(name).alias(name) for name in inputs))
+        earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+        carried = cells.withColumns({name: function(name).over(earlier) for name in inputs})
+        both = parts.withColumn("_is_row", F.lit(True)).unionByName(
+            carried.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
+        )
+        in_cell = Window.partitionBy(*keys, "_cell").orderBy("_is_row", *order).rowsBetween(
+            Window.unboundedPreceding, last
+        )
+        split = both.withColumns({name: function(f"_in_{name}").over(in_cell) for name in values}).where("_is_row")
+        found = found.unionByName(split.drop("_is_row", "_cell"))
+    return found.drop(*inputs)
+
+
+def running_sums(
+    df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], cell_rows: float = 5_000_000
+) -> DataFrame:
+    """Running sums per key in the given order, which must end with a unique key. Busy keys are looked for when called."""
+    return running(df, keys, order, F.sum, sums, cell_rows)
 
 
 def latest_record(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -1,60 +1,50 @@
-"""Ways to keep one hot key from landing in one task."""
+"""Keeping the rows of one busy key from landing in one task."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulare.functions.times import epoch_seconds
+from tabulare.session import work_table
 
-DAY, HOUR, MINUTE = 86_400, 3_600, 60
-BURST = 8
 
+def same_keys(keys: list[str], prefix: str) -> Column:
+    """Whether the keys equal those of a table whose key columns were given a prefix; null keys match."""
+    return reduce(lambda a, b: a & b, (F.col(key).eqNullSafe(F.col(f"{prefix}{i}")) for i, key in enumerate(keys)))
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: int = 16) -> DataFrame:
-    """Attach to each row the columns of the few ``per_key`` rows with its key; null keys match.
 
-    Each key is split over ``spread`` shares: rows pick theirs by a hash of
-    their content, and every ``per_key`` row is repeated once per share.
-    """
-    shares = per_key.select(
-        *(F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)),
-        *(F.col(c) for c in per_key.columns if c not in keys),
-        F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_share_k"),
-    )
-    spread_rows = rows.withColumn("_share", F.pmod(F.xxhash64(*rows.columns), F.lit(spread)).cast("int"))
-    same = [F.col(key).eqNullSafe(F.col(f"_k{i}")) for i, key in enumerate(keys)]
-    matched = reduce(lambda a, b: a & b, same, F.col("_share") == F.col("_share_k"))
-    return spread_rows.join(shares, matched).drop("_share", "_share_k", *(f"_k{i}" for i in range(len(keys))))
+def prefixed(keys: list[str], prefix: str) -> list[Column]:
+    return [F.col(key).alias(f"{prefix}{i}") for i, key in enumerate(keys)]
 
 
-def split_time(df: DataFrame, keys: list[str], time: str, cell_rows: float) -> DataFrame:
-    """Add ``_busy``, whether the key has more than ``cell_rows`` rows, and ``_cell``, the piece of time a row is in.
+def split_busy(df: DataFrame, keys: list[str], order: list[str], cell_rows: float) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of keys with up to ``cell_rows`` rows, and those of all others cut into pieces, if there are any.
 
-    A key that is not busy is one piece. The time of a busy one is cut into
-    days, hours, minutes or seconds, by how many rows it has per second, with
-    room for ``BURST`` times as many. Only busy keys are looked up: there is at
-    most one for each ``cell_rows`` rows of the table, which is what makes the
-    list safe to broadcast.
+    The others get a column ``_cell``, which rises with the order of a key's
+    rows. Their rows are cut where their number asks for it, by Spark's own
+    range partitioning over keys and order: into ranges of half of
+    ``cell_rows`` rows on average, whatever the values in between are. Rows
+    without a time, or many in one second, are cut like others as long as the
+    columns of ``order`` tell them apart. The ranges are written to the shared
+    folder, so that a task that runs again finds them unchanged.
+
+    Rows are counted per key when this is called; nothing but that count is
+    computed early if no key is busy. A key is busy at most once for each
+    ``cell_rows`` rows of the table; Spark chooses how to join that list, whose
+    size it knows.
     """
-    second = epoch_seconds(df, time)
-    rate = F.col("_rows") / (F.col("_last") - F.col("_first") + 1) * BURST
-    width = F.when(rate * DAY <= cell_rows, DAY).when(rate * HOUR <= cell_rows, HOUR)
-    busy = (
-        df.groupBy(*(F.col(key).alias(f"_k{i}") for i, key in enumerate(keys)))
-        .agg(F.count("*").alias("_rows"), F.min(second).alias("_first"), F.max(second).alias("_last"))
-        .where(F.col("_rows") > cell_rows)
-        .withColumn("_width", width.when(rate * MINUTE <= cell_rows, MINUTE).otherwise(1))
-        .drop("_rows", "_first", "_last")
-    )
-    same = reduce(lambda a, b: a & b, (F.col(key).eqNullSafe(F.col(f"_k{i}")) for i, key in enumerate(keys)))
-    is_busy = F.col("_width").isNotNull()
-    return (
-        df.withColumn("_second", second)
-        .join(F.broadcast(busy), same, "left")
-        .withColumn("_busy", is_busy)
-        .withColumn("_cell", F.when(is_busy, F.col("_second") - F.pmod("_second", "_width")).otherwise(0))
-        .drop("_second", "_width", *(f"_k{i}" for i in range(len(keys))))
+    counted = df.groupBy(*prefixed(keys, "_k")).agg(F.count("*").alias("_rows")).where(F.col("_rows") > cell_rows)
+    busy = work_table(counted, "busy")
+    total = busy.agg(F.sum("_rows")).first()[0]
+    if not total:
+        return df, None
+    listed = busy.drop("_rows")
+    ranges = int(2 * total / max(cell_rows, 1)) + 1
+    cut = (
+        df.join(listed, same_keys(keys, "_k"), "left_semi")
+        .repartitionByRange(ranges, *keys, *order)
+        .withColumn("_cell", F.spark_partition_id())
     )
+    return df.join(listed, same_keys(keys, "_k"), "left_anti"), work_table(cut, "cells")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulare.functions.times import seconds_interval, time_cell
-from tabulare.operators.ordered import running_sums
+from tabulare.operators.ordered import running, running_sums
 
 
 def time_buckets(
@@ -21,16 +21,20 @@ def time_buckets(
     )
 
 
-def sessions(df: DataFrame, keys: list[str], time: str, gap_seconds: int, amount: Column) -> DataFrame:
+def sessions(
+    df: DataFrame, keys: list[str], time: str, gap_seconds: int, amount: Column, cell_rows: float = 5_000_000
+) -> DataFrame:
     """Runs of rows per key in which no step is longer than the gap.
 
     Rows of one key in one cell as wide as the gap are always in one session,
-    so they are first summed per cell. What a key then brings to the window is
-    bounded by the number of cells in the calendar, not by its number of rows.
+    so they are first summed per cell. What a key then brings is bounded by the
+    number of cells in the calendar, not by its number of rows. A key that
+    still brings more than ``cell_rows`` of them, as it can with a short gap, is
+    cut into pieces; busy keys are looked for when this is called.
     """
     pieces = (
         df.where(F.col(time).isNotNull())
-        .groupBy(*keys, time_cell(df, time, gap_seconds).alias("_cell"))
+        .groupBy(*keys, time_cell(df, time, gap_seconds).alias("_at"))
         .agg(
             F.min(time).alias("_first"),
             F.max(time).alias("_last"),
@@ -38,12 +42,10 @@ def sessions(df: DataFrame, keys: list[str], time: str, gap_seconds: int, amount
             F.sum(amount).alias("_amount"),
         )
     )
-    by_time = Window.partitionBy(*keys).orderBy("_cell")
-    before = F.lag("_last").over(by_time)
-    opens = F.when(F.col("_first") <= before + seconds_interval(gap_seconds), 0).otherwise(1)
+    before = running(pieces, keys, ["_at"], F.max, {"_before": F.col("_last")}, cell_rows, itself=False)
+    opens = F.when(F.col("_first") <= F.col("_before") + seconds_interval(gap_seconds), 0).otherwise(1)
     return (
-        pieces.withColumn("_opens", opens)
-        .withColumn("_session", F.sum("_opens").over(by_time.rowsBetween(Window.unboundedPreceding, 0)))
+        running(before, keys, ["_at"], F.sum, {"_session": opens}, cell_rows)
         .groupBy(*keys, "_session")
         .agg(
             F.min("_first").alias("session_start"),
@@ -88,11 +90,14 @@ def interval_match(
             (F.col("_amount") * F.col("_step.sign")).alias("_amount"),
         )
     )
+    both = left.withColumn("_is_left", F.lit(True)).unionByName(steps, allowMissingColumns=True)
+    # Which of the rows of one time comes first is of no matter, but a busy time can be cut between them.
+    tie = F.xxhash64(*(F.struct(F.col(c)) for c in both.columns), F.monotonically_increasing_id())
     summed = running_sums(
-        left.withColumn("_is_left", F.lit(True)).unionByName(steps, allowMissingColumns=True),
+        both.withColumn("_tie", tie),
         keys,
-        [time, "_is_left"],
+        [time, "_is_left", "_tie"],
         {"matches": F.coalesce("_rows", F.lit(0)), "matched_amount": F.coalesce("_amount", F.lit(0))},
         cell_rows,
     )
-    return summed.where("_is_left").drop("_is_left", "_rows", "_amount")
+    return summed.where("_is_left").drop("_is_left", "_tie", "_rows", "_amount")

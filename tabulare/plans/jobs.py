@@ -18,6 +18,7 @@ from tabulare.sources.tables import read_table, table_path, table_schema
 from tabulare.streaming.buckets import append_to_files, file_stream
 from tabulare.streaming.buckets import stream_buckets as bucket_stream
 
+FILES_PER_BATCH = 256  # a failure repeats one batch, not all that has arrived
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -93,7 +94,8 @@ def distinct_entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def distinct_entities_approx(spark: SparkSession, folder: str) -> DataFrame:
-    return groups.distinct_entities_approx(read_table(spark, folder, "events"), ["event_type"], "user_id")
+    """The exact number of users per type, and whether the sketch's estimate is within its bound of it."""
+    return groups.distinct_within_bound(read_table(spark, folder, "events"), ["event_type"], "user_id")
 
 
 def crosstab(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,16 +212,24 @@ def stacked_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_buckets(spark: SparkSession, folder: str) -> DataFrame:
+    """The finished buckets. Not lazy: the stream runs when this is called.
+
+    Buckets that may still get rows are held back until a later run has seen
+    times past their end and the delay: the last ones of the feed are not here.
+    """
     base = run_folder(spark, "stream_buckets")
     measures = {"events": F.count("*"), "value": total("value")}
     # Braces make it a pattern: a stream takes a folder or a pattern, not the path of one file.
-    stream = file_stream(spark, table_path(folder, "{events}"), table_schema("events"))
+    stream = file_stream(
+        spark, table_path(folder, "{events}"), table_schema("events"), max_files_per_trigger=FILES_PER_BATCH
+    )
     buckets = bucket_stream(stream, "ts", ["event_type"], "1 hour", "1 hour", measures)
     append_to_files(buckets, f"{base}/out", f"{base}/state").awaitTermination()
     return spark.read.schema(buckets.schema).parquet(f"{base}/out")
 
 
 def export_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """The export, read back. Not lazy: it is written when this is called."""
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")
     path = run_folder(spark, "export_partitioned")
     export_partitioned(events, path, "day", day_label("ts"))

@@ -1,7 +1,4 @@
-"""The same questions as SQL text, for an independent engine on the same tables.
-
-``distinct_entities_approx`` has none: a sketch gives an engine's own estimate.
-"""
+"""The same questions as SQL text, for an independent engine on the same tables."""
 
 from __future__ import annotations
 
@@ -55,13 +52,18 @@ ORACLES: dict[str, str] = {
         GROUP BY ROLLUP (r_name, n_name)""",
     "distinct_entities": """
         SELECT event_type, count(DISTINCT user_id) AS entities FROM events GROUP BY event_type""",
+    "distinct_entities_approx": """
+        SELECT event_type, count(DISTINCT user_id) AS entities, true AS within_bound
+        FROM events GROUP BY event_type""",
     "crosstab": """
         SELECT user_id,
                count(*) FILTER (WHERE event_type = 'click') AS click,
                count(*) FILTER (WHERE event_type = 'error') AS error,
                count(*) FILTER (WHERE event_type = 'purchase') AS purchase,
                count(*) FILTER (WHERE event_type = 'signup') AS signup,
-               count(*) FILTER (WHERE event_type = 'view') AS view
+               count(*) FILTER (WHERE event_type = 'view') AS view,
+               count(*) FILTER (WHERE event_type IS NULL
+                                OR event_type NOT IN ('click', 'error', 'purchase', 'signup', 'view')) AS other
         FROM events GROUP BY user_id""",
     "median_by_group": """
         WITH ranked AS (

@@ -4,12 +4,14 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import assert_same, duck_rows, spark_rows
-
-ORACLES = entry_points.oracle_sql()
-QUERIES = entry_points.queries()
+from tabulare.plans.jobs import JOBS as QUERIES
+from tabulare.plans.oracles import ORACLES
 
 # Spark type -> type the SQL engine names for the same column.
-TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP"}
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -28,8 +30,9 @@ def test_types_equal_sql(spark, folder, duck, name):
     assert found == expected
 
 
-def test_every_job_but_the_sketch_has_sql():
-    assert set(QUERIES) - set(ORACLES) == {"distinct_entities_approx"}
+def test_every_job_has_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):

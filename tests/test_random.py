@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabulare.functions.money import cents
 from tabulare.operators import compare, groups, ordered, timed
-from tabulare.operators.skew import join_per_key, split_time
+from tabulare.operators.skew import split_busy
 
 START = datetime(2024, 1, 1)
 
@@ -87,19 +87,19 @@ def test_interval_match(stepped, steps, cell_rows):
     assert {row["id"]: (row["matches"], row["matched_amount"]) for row in found.collect()} == expected
 
 
-@pytest.mark.parametrize("cells", [1, 2, 3, 4_096])
-def test_median(stepped, steps, cells):
+@pytest.mark.parametrize("ranges", [1, 2, 3, 50])
+def test_median(stepped, steps, ranges):
     from statistics import median
 
     values = defaultdict(list)
     for row in steps:
         values[row[1]].append(row[3])
-    found = groups.median_by_group(stepped, ["u"], "v", cells).collect()
+    found = groups.median_by_group(stepped, ["u"], "v", ranges).collect()
     assert {row["u"]: row["median"] for row in found} == {key: median(vs) for key, vs in values.items()}
 
 
-@pytest.mark.parametrize("cells", [1, 7, 4_096])
-def test_median_of_values_of_very_different_size(spark, cells):
+@pytest.mark.parametrize("ranges", [1, 7, 50])
+def test_median_of_values_of_very_different_size(spark, ranges):
     from statistics import median
 
     chance = random.Random(11)
@@ -112,32 +112,21 @@ def test_median_of_values_of_very_different_size(spark, cells):
     for key, value in rows:
         values[key].append(value)
     df = spark.createDataFrame(rows, "u int, v double").repartition(8, "v")
-    found = {row["u"]: row["median"] for row in groups.median_by_group(df, ["u"], "v", cells).collect()}
+    found = {row["u"]: row["median"] for row in groups.median_by_group(df, ["u"], "v", ranges).collect()}
     assert found == {key: median(vs) for key, vs in values.items()}
 
 
-def test_log_cells_rise_with_the_value(spark):
-    chance = random.Random(3)
-    edges = [5e-324, 1.7976931348623157e308, float("inf"), 1, 999.9999, 1000]
-    sizes = [10.0 ** chance.uniform(-300, 300) for _ in range(2_000)] + edges
-    values = sorted([*sizes, 0.0, *(-size for size in sizes)])
-    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate([*values, float("nan")])], "i int, v double")
-    cells = [row[0] for row in df.orderBy("i").select(groups._log_cell("v")).collect()]
-    assert cells == sorted(cells) and len(set(cells)) > 3_000
-
-
-def test_median_between_two_far_clusters_orders_little(spark, monkeypatch):
-    """Half of the values far below and half far above: both middle values are found without ordering either half."""
-    values = spark.range(20_000).select(
-        F.lit(1).alias("g"), F.when(F.col("id") < 10_000, F.col("id") - 10**9).otherwise(F.col("id") + 10**9).alias("v")
-    )
-    ordered_rows = []
-    holding = groups._in_cell_of_rank
-    monkeypatch.setattr(
-        groups, "_in_cell_of_rank", lambda *a: [frame := holding(*a), ordered_rows.append(frame.count())][0]
+def test_an_outlier_does_not_crowd_the_median(spark, monkeypatch):
+    """Many different values close together and one far away: only one range of them is ordered."""
+    values = spark.range(20_001).select(
+        F.lit(1).alias("g"), F.when(F.col("id") < 20_000, F.col("id") / 200 + 1e9).otherwise(1.0015e9).alias("v")
     )
-    assert groups.median_by_group(values, ["g"], "v").first()["median"] == (9_999 - 10**9 + 10_000 + 10**9) / 2
-    assert ordered_rows[-1] < 20
+    written = []
+    work_table = groups.work_table
+    monkeypatch.setattr(groups, "work_table", lambda *a: [table := work_table(*a), written.append(table)][0])
+    assert groups.median_by_group(values, ["g"], "v", 16).first()["median"] == 10_000 / 200 + 1e9
+    largest = written[0].groupBy("_cell").count().agg(F.max("count")).first()[0]
+    assert largest < 2 * 20_001 / 16
 
 
 @pytest.fixture(scope="module")
@@ -211,32 +200,50 @@ def test_set_comparisons_equal_set_operators(hot):
     same_rows(compare.rows_in_both(first, second), first.intersect(second))
 
 
-@pytest.mark.parametrize("cell_rows, width", [(2_000, 86_400), (200, 3_600), (2, 60), (0.01, 1)])
-def test_a_busy_key_is_split_by_its_rate(hot, cell_rows, width):
-    cells = split_time(hot, ["user_id"], "ts", cell_rows)
-    assert cells.count() == hot.count()
-    busiest = cells.where("user_id = 0")
-    assert busiest.where("NOT _busy").count() == 0
-    assert busiest.where(F.col("_cell") % width != 0).count() == 0
-    assert width == 86_400 or busiest.where(F.col("_cell") % (width * 2) != 0).count() > 0
-    if cell_rows >= 200:
-        assert busiest.groupBy("_cell").count().agg(F.max("count")).first()[0] <= cell_rows
-
-
-def test_a_key_of_few_rows_is_one_piece(hot):
-    cells = split_time(hot, ["user_id"], "ts", 2_000).where("user_id <> 0")
-    assert cells.where("_busy OR _cell <> 0").count() == 0
-
-
-def test_join_per_key_spreads_a_hot_key(spark, hot):
-    per_key = hot.groupBy("user_id").agg(F.max("ts").alias("last"))
-    joined = join_per_key(hot, per_key, ["user_id"], spread=16)
-    same_rows(joined, hot.join(per_key, "user_id"))
-    shares = (
-        hot.where("user_id = 0")
-        .groupBy(F.pmod(F.xxhash64(*hot.columns), F.lit(16)).alias("share"))
-        .count()
-        .agg(F.count("*").alias("n"), F.max("count").alias("most"), F.sum("count").alias("all"))
-        .first()
+def odd_times(spark, name):
+    """20,000 rows of one key and 500 of others, with times that do not help to split it evenly."""
+    second = F.expr("timestamp_ntz'2024-01-01 00:00:00'")
+    spread = second + F.make_dt_interval(secs=F.col("id"))
+    time = {
+        "one early row": F.when(F.col("id") == 0, F.expr("timestamp_ntz'1970-01-01 00:00:00'")).otherwise(spread),
+        "half in one second": F.when(F.col("id") % 2 == 0, second).otherwise(spread),
+        "half without a time": F.when(F.col("id") % 2 == 0, None).otherwise(spread),
+    }[name]
+    user = F.when(F.col("id") < 20_000, 0).otherwise(F.col("id") % 50 + 1)
+    return spark.range(20_500).select("id", user.alias("u"), time.alias("t"), (F.col("id") % 11).alias("v"))
+
+
+@pytest.mark.parametrize("name", ["one early row", "half in one second", "half without a time"])
+def test_a_busy_key_is_cut_by_its_rows(spark, name):
+    df = odd_times(spark, name)
+    plain, cut = split_busy(df, ["u"], ["t", "id"], 2_000)
+    assert plain.count() == 500 and cut.where("u <> 0").count() == 0 and cut.count() == 20_000
+    assert cut.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 2 * 2_000
+    overlap = cut.groupBy("_cell").agg(F.min(F.struct("t", "id")).alias("a"), F.max(F.struct("t", "id")).alias("b"))
+    cells = [(r["_cell"], r["a"], r["b"]) for r in overlap.orderBy("_cell").collect()]
+    assert len(cells) >= 10
+    window = Window.partitionBy("u").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
+    same_rows(
+        ordered.running_sums(df, ["u"], ["t", "id"], {"s": F.col("v")}, 2_000), df.withColumn("s", F.sum("v").over(window))
+    )
+    within = timed.interval_match(df, df, ["u"], "t", 5, F.col("v"), 2_000)
+    same_rows(within, timed.interval_match(df, df, ["u"], "t", 5, F.col("v"), 1e9))
+
+
+def test_a_key_of_few_rows_is_not_cut(hot):
+    plain, cut = split_busy(hot, ["user_id"], ["ts", "event_id"], 1e9)
+    assert plain is hot and cut is None
+
+
+def test_a_short_gap_does_not_put_a_key_in_one_task(spark):
+    """One session per row: the pieces of the busy key are cut, and sessions go on over the cuts."""
+    df = odd_times(spark, "half in one second").where("u = 0")
+    same_rows(
+        timed.sessions(df, ["u"], "t", 1, F.col("v"), cell_rows=500), timed.sessions(df, ["u"], "t", 1, F.col("v"))
     )
-    assert shares["n"] == 16 and shares["most"] < shares["all"] / 8
+    spaced = spark.range(9_000).select(
+        F.lit(1).alias("u"), (F.expr("timestamp_ntz'2024-01-01 00:00:00'") + F.make_dt_interval(secs=F.col("id") * 3 - F.col("id") % 3)).alias("t"),
+        F.lit(1).alias("v"),
+    )
+    found = timed.sessions(spaced, ["u"], "t", 2, F.col("v"), cell_rows=500)
+    assert (found.count(), found.agg(F.sum("rows")).first()[0]) == (3_000, 9_000)
