@@ -231,7 +231,7 @@ def stream_buckets(spark: SparkSession, folder: str) -> DataFrame:
 def export_by_day(spark: SparkSession, folder: str) -> DataFrame:
     """The export, read back. Not lazy: it is written when this is called."""
     events = read_table(spark, folder, "events").select("event_id", "user_id", "ts", "event_type", "value")
-    path = run_folder(spark, "export_partitioned")
+    path = f"{run_folder(spark, 'export_partitioned')}/out"
     export_partitioned(events, path, "day", day_label("ts"))
     schema = "event_id bigint, user_id bigint, ts timestamp_ntz, event_type string, value double, day string"
     return read_export(spark, path, schema)
