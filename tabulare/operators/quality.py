@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulare.operators.rows import stacked_rows
@@ -73,3 +73,17 @@ def duplicate_text(df: DataFrame, text: str, key: str) -> DataFrame:
         .agg(F.count("*").alias("rows"), F.min(key).alias("first_key"))
         .where(F.col("rows") > 1)
     )
+
+
+def inexact_amounts(df: DataFrame, columns: list[str], decimals: int = 2) -> DataFrame:
+    """Per column the number of amounts with more than ``decimals`` decimals, which sums in whole units would round."""
+    scale = 10**decimals
+
+    def inexact(column: str) -> Column:
+        scaled = F.col(column).cast("double") * scale
+        # A double with the decimals is off by its own spacing at most.
+        return F.abs(scaled - F.rint(scaled)) > F.greatest(F.abs(scaled) * 4e-16, F.lit(1e-9))
+
+    counts = df.agg(*(F.count_if(inexact(c)).alias(f"_{i}") for i, c in enumerate(columns)))
+    lines = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"_{i}").alias("rows")) for i, c in enumerate(columns)))
+    return counts.select(F.inline(lines))

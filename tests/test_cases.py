@@ -349,6 +349,12 @@ def test_duplicate_text_tells_case_apart_and_skips_missing_texts(spark):
     assert result(quality.duplicate_text(df, "t", "k")) == [("", 2, 6), ("x", 2, 1)]
 
 
+def test_amounts_with_more_decimals_are_reported(spark):
+    values = [0.125, 1.005, 0.07, 4.35, None, -8.2, 99_999_999_999.99, 1e12 + 0.001, 3.0]
+    df = table(spark, "a double, b double", *((v, 1.25) for v in values))
+    assert result(quality.inexact_amounts(df, ["a", "b"])) == [("a", 3), ("b", 0)]
+
+
 # comparisons
 
 
