@@ -137,7 +137,7 @@ def _labelled(needed: DataFrame) -> DataFrame:
         named.drop("_least").join(of_anchor, F.col("_h") == F.col("_g")).drop("_g"), "labelled"
     )
     gathered = labelled.groupBy(F.col("_label").alias("_l")).agg(F.sum(F.col("_high") - F.col("_low")).alias("_bytes"))
-    heavy = work_table(gathered.where(F.col("_bytes") > 4 * MOST_BYTES).select("_l"), "heavy")
+    heavy = work_table(gathered.where(F.col("_bytes") > 2 * MOST_BYTES).select("_l"), "heavy")
     own = F.when(F.col("_l").isNull(), F.col("_label")).otherwise(F.col("_h"))
     return labelled.join(heavy, F.col("_label") == F.col("_l"), "left").withColumn("_label", own).drop("_l")
 
@@ -169,7 +169,7 @@ def _hot_intervals(rows: DataFrame, hot: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("_low", "_high")).alias("_spans")
     )
     strings = work_table(
-        rows.join(spans, (F.col("_id") == F.col("_i")) & (F.col("_x") == F.col("_y")))
+        rows.join(spans.hint("merge"), (F.col("_id") == F.col("_i")) & (F.col("_x") == F.col("_y")))
         .select("_id", "_x", "_spans", "_text")
         .mapInArrow(cut, "_id bigint, _x bigint, _start bigint, _digest binary"),
         "strings",
@@ -220,7 +220,7 @@ def _shard_intervals(rows: DataFrame, needed: DataFrame, length: int) -> DataFra
             )
 
     segments = (
-        rows.join(spans, (F.col("_id") == F.col("_i")) & (F.col("_x") == F.col("_y")))
+        rows.join(spans.hint("merge"), (F.col("_id") == F.col("_i")) & (F.col("_x") == F.col("_y")))
         .select("_id", "_x", "_spans", "_text")
         .mapInArrow(cut, "_shard bigint, _id bigint, _x bigint, _low bigint, _bytes binary")
     )
@@ -338,7 +338,7 @@ def remove_repeats(
 
     schema = "_id bigint, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary"
     return (
-        rows.join(spans, (F.col("_id") == F.col("_i")) & (F.col("_x") == F.col("_y")), "left")
+        rows.join(spans.hint("merge"), (F.col("_id") == F.col("_i")) & (F.col("_x") == F.col("_y")), "left")
         .select("_id", "_spans", "_text")
         .mapInArrow(remove, schema)
         .select(F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id"), "n_bytes", "spans", "kept")
