@@ -52,49 +52,52 @@ def period_change(df: DataFrame, period: Column, keys: list[str] | None = None)
     )
 
 
-def running(
-    df: DataFrame,
+def carry(
+    split: tuple[DataFrame, DataFrame | None],
     keys: list[str],
     order: list[str],
     function: Callable[[str], Column],
     values: dict[str, Column],
-    cell_rows: float,
     itself: bool = True,
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame | None]:
     """A running sum or extreme of each value per key in the given order, over the rows before and the row itself.
 
-    A key of more than ``cell_rows`` rows is cut into pieces of its order, see
-    ``split_busy``. The result of each piece is carried to those after it, and
-    the rows are then taken one (key, piece) at a time, with what is carried as
-    the first row. So a key that holds much of the table is spread over as many
-    tasks as it needs.
+    ``split`` is what ``split_busy`` returns, and so is the result. The result
+    of each piece of a busy key is carried to those after it, and the rows are
+    then taken one (key, piece) at a time, with what is carried as the first
+    row. So a key that holds much of the table is spread over as many tasks as
+    it needs.
     """
+    plain, cut = split
     last = 0 if itself else -1
-    plain, cut = split_busy(df, keys, order, cell_rows)
     inputs = {f"_in_{name}": value for name, value in values.items()}
     in_order = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, last)
     found = plain.withColumns(inputs).withColumns({name: function(f"_in_{name}").over(in_order) for name in values})
-    if cut is not None:
-        parts = cut.withColumns(inputs)
-        cells = parts.groupBy(*keys, "_cell").agg(*(function(name).alias(name) for name in inputs))
-        earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        carried = cells.withColumns({name: function(name).over(earlier) for name in inputs})
-        both = parts.withColumn("_is_row", F.lit(True)).unionByName(
-            carried.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
-        )
-        in_cell = Window.partitionBy(*keys, "_cell").orderBy("_is_row", *order).rowsBetween(
-            Window.unboundedPreceding, last
-        )
-        split = both.withColumns({name: function(f"_in_{name}").over(in_cell) for name in values}).where("_is_row")
-        found = found.unionByName(split.drop("_is_row", "_cell"))
-    return found.drop(*inputs)
+    if cut is None:
+        return found.drop(*inputs), None
+    parts = cut.withColumns(inputs)
+    cells = parts.groupBy(*keys, "_cell").agg(*(function(name).alias(name) for name in inputs))
+    earlier = Window.partitionBy(*keys).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    carried = cells.withColumns({name: function(name).over(earlier) for name in inputs})
+    both = parts.withColumn("_is_row", F.lit(True)).unionByName(
+        carried.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
+    )
+    in_cell = Window.partitionBy(*keys, "_cell").orderBy("_is_row", *order).rowsBetween(Window.unboundedPreceding, last)
+    pieces = both.withColumns({name: function(f"_in_{name}").over(in_cell) for name in values}).where("_is_row")
+    return found.drop(*inputs), pieces.drop("_is_row", *inputs)
+
+
+def joined(split: tuple[DataFrame, DataFrame | None]) -> DataFrame:
+    """All rows again, without the pieces they were in."""
+    plain, cut = split
+    return plain if cut is None else plain.unionByName(cut.drop("_cell"))
 
 
 def running_sums(
     df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column], cell_rows: float = 5_000_000
 ) -> DataFrame:
     """Running sums per key in the given order, which must end with a unique key. Busy keys are looked for when called."""
-    return running(df, keys, order, F.sum, sums, cell_rows)
+    return joined(carry(split_busy(df, keys, order, cell_rows), keys, order, F.sum, sums))
 
 
 def latest_record(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

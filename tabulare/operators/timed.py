@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulare.functions.times import seconds_interval, time_cell
-from tabulare.operators.ordered import running, running_sums
+from tabulare.operators.ordered import carry, joined, running_sums
+from tabulare.operators.skew import split_busy
 
 
 def time_buckets(
@@ -42,10 +43,11 @@ def sessions(
             F.sum(amount).alias("_amount"),
         )
     )
-    before = running(pieces, keys, ["_at"], F.max, {"_before": F.col("_last")}, cell_rows, itself=False)
+    split = split_busy(pieces, keys, ["_at"], cell_rows)
+    split = carry(split, keys, ["_at"], F.max, {"_before": F.col("_last")}, itself=False)
     opens = F.when(F.col("_first") <= F.col("_before") + seconds_interval(gap_seconds), 0).otherwise(1)
     return (
-        running(before, keys, ["_at"], F.sum, {"_session": opens}, cell_rows)
+        joined(carry(split, keys, ["_at"], F.sum, {"_session": opens}))
         .groupBy(*keys, "_session")
         .agg(
             F.min("_first").alias("session_start"),
