@@ -10,7 +10,8 @@ from __future__ import annotations
 import mmap
 from array import array
 
-MAGIC = 0x4C455831
+MAGIC = 0x4C455832
+HEAD = 8  # numbers before the parts
 
 
 class _Minimiser:
@@ -59,7 +60,7 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     root = automaton.finish()
     below = [0] * len(automaton.states)  # words from each state; targets always have lower numbers
     first, final = array("I", [0]), array("I")
-    labels, targets, numbers = array("I"), array("I"), array("I")
+    labels, targets, numbers = bytearray(), array("I"), array("I")
     for i, (is_final, arcs) in enumerate(automaton.states):
         passed = int(is_final)
         for label, target in arcs:
@@ -74,9 +75,9 @@ def compile_lexicon(entries: dict[bytes, list[int]]) -> bytes:
     for word in words:
         ids.extend(entries[word])
         starts.append(len(ids))
-    parts = [first, final, labels, targets, numbers, starts, ids]
+    parts = [first, final, targets, numbers, starts, ids]
     head = array("I", [MAGIC, root, *(len(part) for part in parts)])
-    return head.tobytes() + b"".join(part.tobytes() for part in parts)
+    return head.tobytes() + b"".join(part.tobytes() for part in parts) + bytes(labels)
 
 
 class Lexicon:
@@ -84,34 +85,27 @@ class Lexicon:
 
     def __init__(self, path: str) -> None:
         with open(path, "rb") as file:
-            self._open(memoryview(mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)))
-
-    def _open(self, raw: memoryview) -> None:
-        numbers = raw.cast("I")
-        if numbers[0] != MAGIC:
+            self.file = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        head = array("I", self.file[: HEAD * 4])
+        if head[0] != MAGIC:
             raise ValueError("this is not a lexicon file")
-        self.root, at, parts = numbers[1], 9, []
-        for size in numbers[2:9]:
-            parts.append(numbers[at : at + size])
-            at += size
-        self.first, self.final, self.labels, self.targets, self.numbers, self.starts, self.ids = parts
+        at, parts = HEAD * 4, []
+        for size in head[2:]:
+            parts.append(memoryview(self.file)[at : at + size * 4].cast("I"))
+            at += size * 4
+        self.root, self.labels_at = head[1], at
+        self.first, self.final, self.targets, self.numbers, self.starts, self.ids = parts
 
     def find(self, word: bytes) -> list[int] | None:
         """The ids of a word, or nothing if it is not in the lexicon."""
         state, place = self.root, 0
-        first, labels = self.first, self.labels
-        for label in word:
-            low, high = first[state], first[state + 1]
-            while low < high:  # arcs are in order of their labels
-                middle = (low + high) // 2
-                if labels[middle] < label:
-                    low = middle + 1
-                else:
-                    high = middle
-            if low == first[state + 1] or labels[low] != label:
+        first, targets, numbers, base, labels = self.first, self.targets, self.numbers, self.labels_at, self.file
+        for i in range(len(word)):
+            arc = labels.find(word[i : i + 1], base + first[state], base + first[state + 1]) - base
+            if arc < 0:
                 return None
-            place += self.numbers[low]
-            state = self.targets[low]
+            place += numbers[arc]
+            state = targets[arc]
         if not self.final[state]:
             return None
         return self.ids[self.starts[place] : self.starts[place + 1]].tolist()
