@@ -216,9 +216,9 @@ def confirmed_links(
             )
 
     narrow = id_and_bytes(docs, key, text).withColumn("_id", F.coalesce("_id", F.lit(NO_ID)))
-    full = narrow.join(placed, F.col("_id") == F.col("node")).drop("_id").mapInArrow(
-        build, "node bigint, root bigint, _blocks int, _block int, _values binary"
-    )
+    # The same join at every size: the list grows with the documents.
+    texts = narrow.join(placed.hint("merge"), F.col("_id") == F.col("node")).drop("_id")
+    full = texts.mapInArrow(build, "node bigint, root bigint, _blocks int, _block int, _values binary")
     meeting = full.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
         "node", "root", "_block", "_values",
         F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"),
@@ -283,7 +283,7 @@ def _same_key(filled: DataFrame) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group, with the columns it came with; of rows with the same key and text one stays."""
+    """The document of each group that is kept, with the columns it came with; rows with one key stay or go together."""
     found = near_groups(docs, percent, key, text).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     rows = packed(docs, _id=key).withColumn("_id", F.col("_id").cast("bigint"))
-    return rows.join(found, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
+    return rows.join(found.hint("merge"), F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")
