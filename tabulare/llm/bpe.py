@@ -21,6 +21,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabulare.llm.lexicon import Lexicon, compile_lexicon
 from tabulare.llm.rows import id_and_bytes, slices
@@ -206,9 +207,14 @@ def build_lexicon(
 
 
 def encode_decode(
-    docs: DataFrame, vocabulary: str, lexicon: str | None = None, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    vocabulary: str,
+    lexicon: str | None = None,
+    key: str = "doc_id",
+    text: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per document: ``doc_id``, its token ``ids`` and the ``decoded`` text of those ids.
+    """Per document: ``doc_id``, its token ``ids``, the ``decoded`` text of those ids, and the ``carried`` columns.
 
     A null or empty text has no ids and decodes to nothing; repeated rows and
     null keys are encoded like any other row; an empty table gives no rows.
@@ -228,10 +234,19 @@ def encode_decode(
                 offsets.append(offsets[-1] + len(ids))
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), ids, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"]
+                [part.column("_id"), ids, pa.array(texts, pa.string()), *(part.column(f"_c{i}") for i in range(len(carried)))],
+                names=["doc_id", "ids", "decoded", *carried],
             )
 
-    return id_and_bytes(docs, key, text).mapInArrow(run, "doc_id bigint, ids array<int>, decoded string")
+    rows = docs.select(
+        F.col(key).cast("bigint").alias("_id"),
+        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"),
+        *(F.col(name).alias(f"_c{i}") for i, name in enumerate(carried)),
+    )
+    schema = T.StructType.fromDDL("doc_id bigint, ids array<int>, decoded string")
+    for name in carried:
+        schema.add(name, docs.schema[name].dataType)
+    return rows.mapInArrow(run, schema)
 
 
 def _read(path: str) -> bytes:

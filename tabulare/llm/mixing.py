@@ -172,7 +172,12 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, key: str = "d
     )
 
 
-def mixed_order(docs: DataFrame, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
-    """All rows in the order of the mixture: range by range, and sorted within each."""
+def placed_order(docs: DataFrame, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """All rows with ``_position``, in the order of the mixture: range by range, and sorted within each."""
     placed = with_positions(packed(docs, _id=key, _src=source), key="_id", source="_src", **options)
-    return placed.repartitionByRange("_position").sortWithinPartitions("_position").select("_row.*")
+    return placed.repartitionByRange("_position").sortWithinPartitions("_position").select("_row.*", "_position")
+
+
+def mixed_order(docs: DataFrame, key: str = "doc_id", source: str = "source", **options) -> DataFrame:
+    """The same without ``_position``. Written to several files, the rows can be read back in another order."""
+    return placed_order(docs, key, source, **options).drop("_position")

@@ -86,3 +86,32 @@ def test_odd_rows_and_empty_tables(spark, tmp_path):
         spark.createDataFrame([(1, 1, None), (None, None, 0)] if found else [], labels).write.parquet(f"{folder}/labels.parquet")
         ids = sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, folder).collect())
         assert ids == (["5", "None"] if found else [])
+
+
+def test_the_mixture_survives_several_files(spark, folder, duck):
+    """The last table is written to many files, which are not read back in their order: positions and run() keep it."""
+    options = {
+        "spark.sql.shuffle.partitions": "7",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "200k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    before = {name: spark.conf.get(name) for name in options}
+    for name, value in options.items():
+        spark.conf.set(name, value)
+    try:
+        encoded = corpus_pipeline.encoded_mixture(spark, folder)
+        assert len(encoded.inputFiles()) > 3
+        rows = encoded.collect()
+        returned = [r.doc_id for r in corpus_pipeline.run(spark, folder).collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    duck.register("encoded", encoded.select("doc_id", "source").toPandas())
+    order = duck.execute(
+        f"WITH RECURSIVE docs AS (SELECT * FROM encoded), {oracles.MIXING_TABLES} "
+        "SELECT doc_id, source, position::BIGINT FROM mixed ORDER BY position"
+    ).fetchall()
+    assert {(r.doc_id, r.source, r.position) for r in rows} == set(order) and len(rows) == len(order)
+    assert returned == [key for key, *_ in order]
+    assert [r.doc_id for r in rows] != returned  # read back in another order: the column is needed
