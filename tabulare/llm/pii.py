@@ -27,6 +27,21 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 NOT_DIGIT = re.compile("[^0-9]+")
 WORD = re.compile(r"[a-z]+")
+GROUP = re.compile(r"\x20?[A-Z0-9]{4}")
+TAIL = re.compile(r"\x20?[A-Z0-9]{1,3}+(?![A-Za-z0-9])")
+JOINED = re.compile(r"[A-Za-z0-9]")
+MAX_GROUPS = 7
+# Characters of an IBAN by country, from the public registry.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 
 class Proposal(NamedTuple):
@@ -44,7 +59,7 @@ NUMBER_WORDS = frozenset(["order", "invoice", "version", "isbn", "serial", "part
 PROPOSALS = [
     Proposal(
         "iban",
-        re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"),
+        re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2}"),  # where it starts: see accounts()
         0.1, 0.9, frozenset(["iban", "account", "bank", "konto", "cuenta", "compte"]), frozenset(),
     ),
     Proposal(
@@ -77,6 +92,53 @@ def mod97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
 
 
+def account_ends(text: str, end: int) -> list[int]:
+    """Where an account number whose second group ends at ``end`` can end, the longest first."""
+    ends = []
+    for _ in range(2, MAX_GROUPS + 1):
+        if tail := TAIL.match(text, end):
+            ends.append(tail.end())
+        if not JOINED.match(text, end):
+            ends.append(end)
+        group = GROUP.match(text, end)
+        if not group:
+            break
+        end = group.end()
+    return sorted(set(ends), reverse=True)
+
+
+def accounts(text: str, starts: re.Pattern) -> list[tuple[int, int]]:
+    """IBANs whose check digits are right, by where they start.
+
+    An upper-case word or code before or after an IBAN looks like more of its
+    groups. So the country's length decides where it ends; a country without
+    one has each of the few possible ends tried, the longest first, and gives
+    way to the others. Where no end is right the search goes on at the next word.
+    """
+
+    def search(listed: bool) -> Iterator[tuple[int, int]]:
+        at = 0
+        while found := starts.search(text, at):
+            start, at = found.start(), found.start() + 1
+            length = IBAN_LENGTHS.get(text[start : start + 2])
+            if (length is not None) == listed:
+                for end in account_ends(text, found.end()):
+                    account = text[start:end]
+                    if (length or 0) in (0, len(account.replace(" ", ""))) and mod97(account):
+                        yield start, end
+                        at = end
+                        break
+
+    sure = list(search(True))
+    found, held = [], 0
+    for start, end in search(False):
+        while held < len(sure) and sure[held][1] <= start:
+            held += 1
+        if held == len(sure) or end <= sure[held][0]:
+            found.append((start, end))
+    return sorted([*sure, *found])
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Leftmost addresses that do not overlap, in time linear in the text however long its runs of letters are."""
     done, at = 0, text.find("@")
@@ -125,13 +187,14 @@ def find_spans(text: str) -> list[tuple[str, int, int, float]]:
     spans = [(kind, start, end, 1.0) for kind, start, end in base_spans(text)]
     if DIGIT.search(text):
         for proposal in PROPOSALS:
-            for found in proposal.pattern.finditer(text):
-                confirmed = proposal.kind == "iban" and mod97(found[0])
-                score = proposal.confirmed if confirmed else proposal.score
-                near = nearby(text, found.start(), found.end())
+            checked = proposal.kind == "iban"
+            found = accounts(text, proposal.pattern) if checked else (m.span() for m in proposal.pattern.finditer(text))
+            for start, end in found:
+                score = proposal.confirmed if checked else proposal.score
+                near = nearby(text, start, end)
                 score += NEAR_BONUS * bool(near & proposal.near) - NEAR_BONUS * bool(near & proposal.against)
                 if score >= KEEP_AT:
-                    spans.append((proposal.kind, found.start(), found.end(), round(min(score, 1.0), 2)))
+                    spans.append((proposal.kind, start, end, round(min(score, 1.0), 2)))
     return sorted(spans, key=lambda span: (span[1], KINDS.index(span[0])))
 
 

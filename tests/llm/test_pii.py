@@ -81,3 +81,19 @@ def test_query_on_the_table_and_odd_rows(spark, folder):
     found = sorted((r.doc_id or 0, [tuple(s)[:3] for s in r.spans]) for r in pii.find_pii(docs).collect())
     assert found == [(0, [("email", 2, 8)]), (1, []), (1, []), (1, [("email", 0, 6)])]
     assert pii.find_pii(docs.limit(0)).count() == 0
+
+
+def test_ibans_beside_upper_case_words():
+    def ibans(text):
+        return [text[start:end] for kind, start, end, _ in pii.find_spans(text) if kind == "iban"]
+
+    belgian, spanish, german = "BE68 5390 0754 7034", "ES9121000418450200051332", "DE89 3704 0044 0532 0130 00"
+    for account in (belgian, spanish, german):
+        for before in ("", "IBAN ", "Konto ", "AB12 CDEF GHIJ ", "XX11 "):
+            for after in ("", ",", " BIC KREDBEBB", " BANK", " BANKING", " Please", " OK", " A1", " DEUTSCHE BUNDESBANK AG", " 1"):
+                assert ibans(before + account + after) == [account], before + account + after
+    assert ibans(f"{belgian} {spanish} {german}") == [belgian, spanish, german]
+    assert ibans(belgian + "X") == ibans("X" + belgian) == ibans("BE69 5390 0754 7034 BANK") == []
+    assert len(ibans(f"{belgian} BANK " * 20_000)) == 20_000
+    for text in ("AB12" * 200_000, "AB12 " * 200_000, "AB12CDEFGHIJ " * 100_000):
+        ibans(text)  # in linear time
