@@ -109,17 +109,17 @@ def similar_enough(mine: np.ndarray, theirs: np.ndarray, sizes: np.ndarray, othe
 
 
 def shared_counts(mine: list[np.ndarray], theirs: list[np.ndarray], columns: int = 8_192) -> np.ndarray:
-    """The exact size of every intersection, by products of 0/1 matrices over some columns at a time."""
+    """The exact size of every intersection, by products of 0/1 matrices over some columns at a time, summed as integers."""
     every, place = np.unique(np.concatenate([*mine, *theirs]), return_inverse=True)
     row = np.repeat(np.arange(len(mine) + len(theirs)), [len(s) for s in [*mine, *theirs]])
     order = np.argsort(place, kind="stable")
     place, row = place[order], row[order]
-    total = np.zeros((len(mine), len(theirs)), np.float32)
+    total = np.zeros((len(mine), len(theirs)), np.int64)
     for start in range(0, len(every), columns):
         low, high = np.searchsorted(place, [start, start + columns])
         held = np.zeros((len(mine) + len(theirs), columns), np.float32)
         held[row[low:high], place[low:high] - start] = 1
-        total += held[: len(mine)] @ held[len(mine) :].T
+        total += (held[: len(mine)] @ held[len(mine) :].T).astype(np.int64)
     return total
 
 
