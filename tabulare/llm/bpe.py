@@ -9,11 +9,15 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
+from heapq import heapify, heappop, heappush
 from itertools import chain
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -29,9 +33,11 @@ from tabulare.session import run_folder, work_table
 
 LEXICON_WORDS = 65_536
 CLASSES = 8  # of counts, for each factor of two
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES, CACHE_LETTERS = 300_000, 32_000_000
 NO_MERGE = 1 << 60
 ID_BITS, ID_MASK = 24, (1 << 24) - 1
+WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40)  # of the tables in which short pieces are merged side by side; longer ones are not
+MERGED_ROWS = 50_000
 COUNTED_WORDS = 400_000
 ODD_SPACES = re.compile("[\x1c-\x1f]")  # str.split() splits here, the vocabulary's pattern does not
 SPACES = regex.compile(r"\p{White_Space}+")
@@ -71,7 +77,6 @@ class Model:
         self.tokens = [""] * size
         for token, i in chain(self.vocabulary.items(), self.special.items()):
             self.tokens[i] = token
-        self.decimals = [str(i) for i in range(size)]
 
     def segments(self, text: str) -> Iterator[tuple[bool, str]]:
         """The text between special tokens, normalised, and the special tokens as they are."""
@@ -87,61 +92,194 @@ class Model:
         """The parts of a normalised text between white space, with their marks; no piece crosses it."""
         return SPACES.split(text) if ODD_SPACES.search(text) else text.split()
 
-    def word_ids(self, word: str) -> list[int]:
-        """The ids of all pieces of a word; a word that holds no piece, such as a lone space, has none."""
-        if word.isalpha():  # just the letters of the pattern
-            return self.merge(word)
-        return list(chain.from_iterable(map(self.merge, self.pieces.findall(word))))
+    def cut(self, word: str) -> list[str]:
+        """The pieces of a word; one that holds no piece, such as a lone space, has none."""
+        return [word] if word.isalpha() else self.pieces.findall(word)  # just the letters of the pattern
 
     def merge(self, piece: str) -> list[int]:
-        """The ids of one piece by its merges: the best rank first, the leftmost of equal ones."""
+        """The ids of one piece by its merges: the best rank first, the leftmost of equal ones.
+
+        Neighbours are linked by number, and a heap holds the possible merges;
+        those whose parts have changed since are skipped. The work grows with
+        the length times its logarithm, so a piece can be of any length.
+        """
         parts = [self.first_ids[b] for b in piece.encode()]
         parts[-1] = self.last_ids[parts[-1]]
-        find = self.pairs.get
-        steps = [find(a << ID_BITS | b, NO_MERGE) for a, b in zip(parts, parts[1:], strict=False)]
-        while steps:
-            best = min(steps)
-            if best == NO_MERGE:
-                break
-            i = steps.index(best)
-            merged = parts[i] = best & ID_MASK
-            del parts[i + 1], steps[i]
-            if i:
-                steps[i - 1] = find(parts[i - 1] << ID_BITS | merged, NO_MERGE)
-            if i < len(steps):
-                steps[i] = find(merged << ID_BITS | parts[i + 1], NO_MERGE)
-        return parts
-
-
-class Encoder(dict):
-    """Ids by word: looked up in the lexicon, and merged piece by piece if it is not there."""
+        n, find = len(parts), self.pairs.get
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        merges = [find(a << ID_BITS | b, NO_MERGE) for a, b in zip(parts, parts[1:], strict=False)]
+        heap = [(merge, i) for i, merge in enumerate(merges) if merge != NO_MERGE]
+        merges.append(NO_MERGE)
+        heapify(heap)
+        while heap:
+            merge, i = heappop(heap)
+            if merges[i] != merge:
+                continue
+            gone = after[i]
+            parts[i], parts[gone], merges[gone] = merge & ID_MASK, -1, NO_MERGE
+            after[i] = right = after[gone]
+            if right < n:
+                before[right] = i
+            for left in (before[i], i):
+                other = after[left] if left >= 0 else n
+                if left >= 0:
+                    merges[left] = find(parts[left] << ID_BITS | parts[other], NO_MERGE) if other < n else NO_MERGE
+                    if merges[left] != NO_MERGE:
+                        heappush(heap, (merges[left], left))
+        return [part for part in parts if part >= 0]
+
+    @cached_property
+    def tables(self) -> tuple[np.ndarray, ...]:
+        """The merges as sorted arrays, and what any two bytes, the second of which may end the piece, become."""
+        keys = np.array(sorted(self.pairs), np.int64)
+        values = np.array([self.pairs[k] for k in keys.tolist()], np.int64)
+        first = np.array(self.first_ids, np.int64)
+        last = np.array([self.last_ids[i] for i in self.first_ids], np.int64)
+        inner, ending = (
+            find_merges(keys, values, np.repeat(first, 256), np.tile(second, 256)).reshape(256, 256) for second in (first, last)
+        )
+        return keys, values, first, last, inner, ending
+
+    def merge_many(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, as 32-bit numbers side by side. Short pieces of alike length are merged together."""
+        raw = [piece.encode() for piece in pieces]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        found: list[bytes] = [b""] * len(raw)
+        for i in np.flatnonzero(sizes > WIDTHS[-1]).tolist():
+            found[i] = np.array(self.merge(pieces[i]), np.int32).tobytes()
+        for low, width in zip((0, *WIDTHS), WIDTHS, strict=False):
+            chosen = np.flatnonzero((sizes > low) & (sizes <= width))
+            for start in range(0, len(chosen), MERGED_ROWS):
+                at = chosen[start : start + MERGED_ROWS].tolist()
+                ids = self._merged([raw[i] for i in at], sizes[at], width)
+                ends = (np.cumsum((ids >= 0).sum(1)) * 4).tolist()
+                flat = ids[ids >= 0].astype(np.int32).tobytes()
+                for i, begin, end in zip(at, [0, *ends], ends, strict=False):
+                    found[i] = flat[begin:end]
+        return found
 
-    def __init__(self, model: Model, lexicon: Lexicon | None) -> None:
+    def _merged(self, raw: list[bytes], sizes: np.ndarray, width: int) -> np.ndarray:
+        """A row of ids per piece; places that were merged into the one before hold -1."""
+        keys, values, first, last, inner, ending = self.tables
+        n = len(raw)
+        place = np.arange(width)
+        letters = np.zeros((n, width), np.uint8)
+        letters[place < sizes[:, None]] = np.frombuffer(b"".join(raw), np.uint8)
+        ids = np.where(place < sizes[:, None], first[letters], -1)
+        ids[np.arange(n), sizes - 1] = last[letters[np.arange(n), sizes - 1]]
+        merges = np.full((n, width), NO_MERGE)
+        merges[:, :-1] = inner[letters[:, :-1], letters[:, 1:]]
+        merges[place >= sizes[:, None] - 1] = NO_MERGE
+        several = np.flatnonzero(sizes > 1)
+        merges[several, sizes[several] - 2] = ending[letters[several, sizes[several] - 2], letters[several, sizes[several] - 1]]
+        after = np.minimum(place + 1, sizes[:, None]).astype(np.int8)
+        before = np.tile((place - 1).astype(np.int8), (n, 1))
+        rows = np.arange(n)
+        while True:
+            at = merges[rows].argmin(1)
+            best = merges[rows, at]
+            open_rows = best != NO_MERGE
+            rows, at, best = rows[open_rows], at[open_rows], best[open_rows]
+            if not len(rows):
+                return ids
+            gone = after[rows, at]
+            right = after[rows, gone]
+            ids[rows, at], ids[rows, gone] = best & ID_MASK, -1
+            merges[rows, gone] = merges[rows, at] = NO_MERGE
+            after[rows, at] = right
+            inside = right < sizes[rows]
+            r, i, k = rows[inside], at[inside], right[inside]
+            before[r, k] = i
+            merges[r, i] = find_merges(keys, values, ids[r, i], ids[r, k])
+            left = before[rows, at]
+            inside = left >= 0
+            r, i, k = rows[inside], left[inside], at[inside]
+            merges[r, i] = find_merges(keys, values, ids[r, i], ids[r, k])
+
+
+def find_merges(keys: np.ndarray, values: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """What each pair of ids becomes, with its rank, or ``NO_MERGE``."""
+    wanted = left << ID_BITS | right
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, values[at], NO_MERGE)
+
+
+class Decoded(dict):
+    """The tokens of a word with a blank between, by word; made when first asked for."""
+
+    def __init__(self, model: Model, ids: dict[str, bytes]) -> None:
         super().__init__()
+        self.model, self.ids = model, ids
+
+    def __missing__(self, word: str) -> str:
+        self[word] = text = " ".join([self.model.tokens[i] for i in memoryview(self.ids[word]).cast("i")])
+        return text
+
+
+class Encoder:
+    """Ids and decoded text by word: looked up in the lexicon, and merged if a word is not there; kept in bounded memory.
+
+    The new words of several texts are looked up together. A special token is
+    kept under its name after a blank, which no word holds.
+    """
+
+    def __init__(self, model: Model, lexicon: Lexicon | None) -> None:
         self.model, self.lexicon = model, lexicon
+        self._forget()
 
-    def __missing__(self, word: str) -> list[int]:
-        found = self.lexicon.find(word.encode()) if self.lexicon else None
-        if found is None:
-            found = self.model.word_ids(word)
-        if len(self) >= CACHE_ENTRIES:  # memory is bounded; what is dropped is looked up again
-            self.clear()
-        self[word] = found
-        return found
+    def _forget(self) -> None:
+        self.letters, self.ids = 0, {}
+        self.decoded = Decoded(self.model, self.ids)
 
-    def encode(self, text: str) -> list[int]:
-        found: list[int] = []
+    def words(self, text: str) -> list[str]:
+        found: list[str] = []
         for is_special, part in self.model.segments(text):
             if is_special:
-                found.append(self.model.special[part])
+                found.append(f" {part}")
             else:
-                found.extend(chain.from_iterable(map(self.__getitem__, self.model.words(part))))
+                found += self.model.words(part)
         return found
 
-
-def decode(model: Model, ids: list[int]) -> str:
-    """The tokens of the ids with a blank between: the vocabulary file names no decoder."""
-    return " ".join(map(model.tokens.__getitem__, ids))
+    def learn(self, texts: list[list[str]]) -> None:
+        """Look up the words of these texts that are not known."""
+        if len(self.ids) > CACHE_ENTRIES or self.letters > CACHE_LETTERS:  # what is dropped is looked up again
+            self._forget()
+        known, special = self.ids, self.model.special
+        fresh = [word for word in set().union(*texts) if word not in known]
+        self.letters += sum(map(len, fresh))
+        for word in [word for word in fresh if word[:1] == " "]:
+            known[word] = np.array([special[word[1:]]], np.int32).tobytes()
+        if self.lexicon:
+            ids = self.lexicon.find_many([word.encode() for word in fresh])
+            known.update((word, found) for word, found in zip(fresh, ids, strict=True) if found is not None)
+        fresh = [word for word in fresh if word not in known]
+        cut = list(map(self.model.cut, fresh))
+        pieces = [piece for piece in set(chain.from_iterable(cut)) if piece not in known]
+        merged = dict(zip(pieces, self.model.merge_many(pieces), strict=True))
+        known.update(merged)
+        find = known.__getitem__
+        known.update((word, b"".join(map(find, parts))) for word, parts in zip(fresh, cut, strict=True) if word not in merged)
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[list[str]]]:
+        """Per text its ids, as 32-bit numbers side by side, and its words, for ``decode``."""
+        cut = list(map(self.words, texts))
+        self.learn(cut)
+        find = self.ids.__getitem__
+        return [b"".join(map(find, words)) for words in cut], cut
+
+    def decode(self, words: list[str]) -> str:
+        """The tokens of the words with a blank between: the vocabulary file names no decoder."""
+        return " ".join(filter(None, map(self.decoded.__getitem__, words)))
+
+
+def shared_encoder(source: bytes, lexicon: str | None) -> Encoder:
+    """The encoder of this Python worker: its tasks, one after the other, share what it has looked up."""
+    held = sys.modules.setdefault("tabulare_worker", ModuleType("tabulare_worker")).__dict__
+    name = (hash(source), lexicon)
+    if held.get("name") != name:  # one at a time, so that memory stays bounded
+        held["encoder"] = Encoder(Model(source), Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
+        held["name"] = name
+    return held["encoder"]
 
 
 def word_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,7 +334,11 @@ def build_lexicon(
             break
         least = row["class"]
     top = counts.where(F.col("class") >= least).select("word").collect()
-    compiled = compile_lexicon({row.word.encode(): model.word_ids(row.word) for row in top})
+    cut = [model.cut(row.word) for row in top]
+    pieces = list(set(chain.from_iterable(cut)))
+    merged = dict(zip(pieces, model.merge_many(pieces), strict=True))
+    entries = {row.word.encode(): b"".join(map(merged.__getitem__, parts)) for row, parts in zip(top, cut, strict=True)}
+    compiled = compile_lexicon({word: np.frombuffer(ids, np.int32).tolist() for word, ids in entries.items()})
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{run_folder(spark, 'lexicon')}/{name}")
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
@@ -223,18 +365,18 @@ def encode_decode(
     source = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(source.value)
-        encoder = Encoder(model, Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
+        encoder = shared_encoder(source.value, lexicon)
         for part in slices(batches):
-            offsets, flat, texts = [0], [], []
-            for raw in part.column("_text"):
-                ids = encoder.encode(raw.as_py().decode())
-                texts.append(decode(model, ids))
-                flat.append(np.array(ids, np.int32))
-                offsets.append(offsets[-1] + len(ids))
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
+            encoded, cut = encoder.encode([str(raw.as_buffer(), "utf-8") if raw.is_valid else "" for raw in part.column("_text")])
+            offsets = np.cumsum([0, *map(len, encoded)]) // 4
+            flat = pa.array(np.frombuffer(b"".join(encoded), np.int32))
             yield pa.RecordBatch.from_arrays(
-                [part.column("_id"), ids, pa.array(texts, pa.string()), *(part.column(f"_c{i}") for i in range(len(carried)))],
+                [
+                    part.column("_id"),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
+                    pa.array(list(map(encoder.decode, cut)), pa.string()),
+                    *(part.column(f"_c{i}") for i in range(len(carried))),
+                ],
                 names=["doc_id", "ids", "decoded", *carried],
             )
 
