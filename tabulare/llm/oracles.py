@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabulare.llm import license, mixing, quality
+from tabulare.llm import license, merkle, mixing, quality
 
 
 def _text(value: str) -> str:
@@ -142,9 +142,70 @@ MIXING = f"""
     SELECT doc_id, source, block, release, deadline, slot::BIGINT AS slot, position::BIGINT AS position FROM mixed
 """
 
+MERKLE_LEVELS = (8, 5)  # 16 ** 8 rows a source and 16 ** 5 sources at most
+
+
+def _merkle() -> str:
+    """Each level over the one before, then each row's way up, level by level, with what stands beside it."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+
+    def leaf(text: str) -> str:
+        values = [(text if name == "text" else f"{name}::VARCHAR") for name in fields]
+        return "sha256(concat(" + ", ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + "))"
+
+    crc = (
+        "xor(4294967295::BIGINT, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT), "
+        "lambda crc, c: list_reduce(list_concat([xor(crc, c)], range(8)), "
+        "lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384::BIGINT) ELSE a >> 1 END), 4294967295::BIGINT))"
+    )
+    lower = f"translate(text, '{merkle.LETTERS}', '{merkle.LETTERS.lower()}')"
+    steps, ways = [], []
+    for tree, count in (("s", MERKLE_LEVELS[0]), ("r", MERKLE_LEVELS[1])):
+        steps.append(
+            "s0 AS (SELECT s AS t, i, leaf AS d, n FROM placed)" if tree == "s"
+            else f"r0 AS (SELECT '' AS t, row_number() OVER (ORDER BY t) - 1 AS i, d, count(*) OVER () AS n, t AS s FROM "
+            f"({' UNION ALL '.join(f'SELECT t, d FROM s{k} WHERE n = 1' for k in range(MERKLE_LEVELS[0] + 1))}))"
+        )
+        for k in range(1, count + 1):
+            steps.append(
+                f"{tree}{k} AS (SELECT t, i // 16 AS i, sha256(array_to_string(list(d ORDER BY i), '')) AS d, "
+                f"(any_value(n) + 15) // 16 AS n, list(d ORDER BY i) AS m FROM {tree}{k - 1} WHERE n > 1 GROUP BY t, i // 16)"
+            )
+    ways.append("w0 AS (SELECT *, changed AS h, '' AS proof, s AS t FROM placed)")
+    at = 0
+    for tree, count in (("s", MERKLE_LEVELS[0]), ("r", MERKLE_LEVELS[1])):
+        if tree == "r":
+            ways.append(
+                f"w{at + 1} AS (SELECT w.* REPLACE ('' AS t, r0.i AS i), r0.d AS subroot FROM w{at} w JOIN r0 ON w.s = r0.s)"
+            )
+            at += 1
+        for k in range(1, count + 1):
+            left = "coalesce(array_to_string(list_slice(m, 1, w.i % 16), ''), '')"
+            right = "coalesce(array_to_string(list_slice(m, w.i % 16 + 2, 16), ''), '')"
+            ways.append(
+                f"w{at + 1} AS (SELECT w.* REPLACE (w.i // 16 AS i, CASE WHEN m IS NULL THEN h ELSE sha256({left} || h || {right}) END AS h, "
+                f"CASE WHEN m IS NULL THEN proof ELSE proof || {left} || {right} END AS proof) "
+                f"FROM w{at} w LEFT JOIN {tree}{k} u ON w.t = u.t AND w.i // 16 = u.i)"
+            )
+            at += 1
+    root = " UNION ALL ".join(f"SELECT d FROM r{k} WHERE n = 1" for k in range(MERKLE_LEVELS[1] + 1))
+    return f"""
+    WITH leaves AS (
+      SELECT doc_id, coalesce('=' || source, '') AS s, {leaf("text")} AS leaf,
+        CASE WHEN {crc} % 5 = 0 THEN {leaf(lower)} ELSE {leaf("text")} END AS changed FROM documents),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY s) AS n FROM leaves),
+    {", ".join(steps)}, {", ".join(ways)}, root AS ({root})
+    SELECT doc_id, leaf, subroot, root.d AS root, sha256(proof) AS proof_sha256, h AS folded_root, h = root.d AS verified
+    FROM w{at}, root
+    """
+
+
 LLM_ORACLES: dict[str, str] = {
     "op4_exact_dedup": EXACT,
     "op6_license_scan": _license(),
     "op9_quality_rules": _quality(),
     "op10_mix_sources": MIXING,
+    "op12_merkle_manifest": _merkle(),
 }
