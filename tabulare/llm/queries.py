@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.llm import attribution, bpe, exact, license, merkle, mixing, near, pii, quality, repeats, scoring
+from tabulare.llm import attribution, bpe, exact, license, merkle, mixing, near, packing, pii, quality, repeats, scoring
 from tabulare.llm.oracles import LLM_ORACLES  # noqa: F401
 from tabulare.llm.rows import read_documents
 
@@ -100,6 +100,11 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(read_documents(spark, folder))
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    found = packing.pack(read_documents(spark, folder), WORD_BPE)
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(read_documents(spark, folder)).drop("path")
 
@@ -115,5 +120,6 @@ LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_attribution": op8_token_attribution,
     "op9_quality_rules": op9_quality_rules,
     "op10_mix_sources": op10_mix_sources,
+    "op11_packing": op11_packing,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
