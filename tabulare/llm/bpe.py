@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 import re
-import sys
 import unicodedata
 import uuid
 from collections import Counter
@@ -17,7 +16,6 @@ from collections.abc import Iterator
 from functools import cached_property
 from heapq import heapify, heappop, heappush
 from itertools import chain
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulare.llm.lexicon import Lexicon, compile_lexicon
-from tabulare.llm.rows import id_and_bytes, slices
+from tabulare.llm.rows import held_by_worker, id_and_bytes, slices
 from tabulare.session import run_folder, work_table
 
 LEXICON_WORDS = 65_536
@@ -274,12 +272,9 @@ class Encoder:
 
 def shared_encoder(source: bytes, lexicon: str | None) -> Encoder:
     """The encoder of this Python worker: its tasks, one after the other, share what it has looked up."""
-    held = sys.modules.setdefault("tabulare_worker", ModuleType("tabulare_worker")).__dict__
-    name = (hash(source), lexicon)
-    if held.get("name") != name:  # one at a time, so that memory stays bounded
-        held["encoder"] = Encoder(Model(source), Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
-        held["name"] = name
-    return held["encoder"]
+    return held_by_worker(
+        "encoder", (hash(source), lexicon), lambda: Encoder(Model(source), Lexicon(SparkFiles.get(lexicon)) if lexicon else None)
+    )
 
 
 def word_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:

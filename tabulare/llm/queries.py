@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulare.llm import attribution, bpe, exact, license, merkle, mixing, near, packing, pii, quality, repeats, scoring
+from tabulare.llm import alignment, attribution, bpe, exact, license, merkle, mixing, near, packing, pii, quality, repeats, scoring
 from tabulare.llm.oracles import LLM_ORACLES  # noqa: F401
 from tabulare.llm.rows import read_documents
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -109,6 +111,10 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(read_documents(spark, folder)).drop("path")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokenizers(read_documents(spark, folder), BYTE_LEVEL, PIECES)[0]
+
+
 LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -122,4 +128,5 @@ LLM_JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
     "op11_packing": op11_packing,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }

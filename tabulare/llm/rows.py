@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -52,3 +55,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "_text") -> Iterator
             total += size
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def held_by_worker(kind: str, name: Any, make: Callable[[], Any]) -> Any:
+    """An object that the tasks of one Python worker share, one after the other; one of each kind, so that memory stays bounded."""
+    held = sys.modules.setdefault("tabulare_worker", ModuleType("tabulare_worker")).__dict__
+    if held.get(kind, (None,))[0] != name:
+        held[kind] = name, make()
+    return held[kind][1]

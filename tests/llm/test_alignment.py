@@ -1,0 +1,115 @@
+"""Alignment against whole texts encoded by both libraries, and counts by hand."""
+
+import hashlib
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from tabulare.llm import alignment
+from tabulare.llm.queries import BYTE_LEVEL, LLM_JOBS, PIECES
+
+
+@pytest.fixture(scope="module")
+def sides():
+    from tabulare.llm.bpe import byte_symbols
+
+    left = Tokenizer.from_file(BYTE_LEVEL)
+    left.encode_special_tokens = True
+    right = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    byte = {c: i for i, c in enumerate(byte_symbols())}
+
+    def encoded(text):
+        a, b = left.encode(" " + text, add_special_tokens=False).ids, right.encode(text)
+        bytes_a = [bytes(byte[c] for c in left.id_to_token(i)) for i in a]
+        bytes_b = [bytes([int(right.id_to_piece(i)[3:5], 16)]) if right.is_byte(i) else right.id_to_piece(i).replace("▁", " ").encode() for i in b]
+        whole = (" " + text).encode()
+        return (a, b, bytes_a, bytes_b) if text and b"".join(bytes_a) == whole == b"".join(bytes_b) else None
+
+    return encoded
+
+
+def expected(rows, encoded):
+    aligned = []
+    for key, text in rows:
+        found = encoded(text or "")
+        groups = []
+        if found:
+            a, b, bytes_a, bytes_b = found
+            i = j = at_a = at_b = 0
+            own = ([], [])
+            while i < len(a) or j < len(b):
+                if at_a <= at_b and i < len(a):
+                    own[0].append(a[i])
+                    at_a += len(bytes_a[i])
+                    i += 1
+                else:
+                    own[1].append(b[j])
+                    at_b += len(bytes_b[j])
+                    j += 1
+                if at_a == at_b:
+                    groups.append(own)
+                    own = ([], [])
+        aligned.append((key, groups))
+    docs = Counter()
+    for _, groups in aligned:
+        docs.update({(x, y) for a, b in groups for x in a for y in b})
+    most = defaultdict(int)
+    for (x, _), n in docs.items():
+        most[x] = max(most[x], n)
+    out = []
+    for key, groups in aligned:
+        links = [(x, y) for a, b in groups for x in a for y in b]
+        written = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        out.append((
+            key, sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), len(links),
+            sum(docs[p] == most[p[0]] for p in links), sum(docs[p] for p in links),
+            hashlib.sha256(written.encode()).hexdigest() if groups else "",
+        ))
+    return sorted(out, key=str), docs, most
+
+
+def test_query_on_the_table(spark, folder, sides):
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    found = sorted(map(tuple, LLM_JOBS["op13_tokenizer_alignment"](spark, folder).collect()), key=str)
+    assert found == expected(rows, sides)[0]
+
+
+ODD = [
+    None, "", " ", "  ", "a ", " a", "a  b", "a\n b", "a\n  b", "a \n  b \n", "\n", "\t\tx\n\n\ny", "x▁y z", "▁", "<s> </s> <unk> <0x0A>",
+    "<|endoftext|> a<|endoftext|>", "it's  we'LL '' 12345 1 2", "é ﬁ ½ Å 日本 語 🙂 🙂🙂", "a\xa0b 　c　 d \x85 e\x1c f", "\x00 \x01", "a" * 3000,
+    "日本語" * 500, "b " * 3000, "b b b c", "c c", "ﷺ x",
+]
+
+
+@pytest.mark.parametrize("blocks", [(2_000_000, 1 << 16), (40, 3)])
+def test_odd_and_random_texts(spark, sides, monkeypatch, blocks):
+    made = random.Random(7)
+    alphabet = "ab e's \n  \t.,1é日▁\xa0\x1cß"
+    texts = ODD + ["".join(made.choices(alphabet, k=made.randrange(30))) for _ in range(400)] + ["a b"] * 3
+    rows = [(i if i % 11 else None, text) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame([(k, t, "x", 1) for k, t in rows], "doc_id bigint, text string, _pair string, n_a int").repartition(3)
+    monkeypatch.setattr(alignment, "BLOCK_POSTINGS", blocks[0])
+    monkeypatch.setattr(alignment, "BLOCK_DOCS", blocks[1])
+    found, pairs = alignment.align_tokenizers(docs, BYTE_LEVEL, PIECES)
+    want, counts, most = expected(rows, sides)
+    assert sorted(map(tuple, found.collect()), key=str) == want
+    assert {(r.a, r.b): (r.docs, r.best) for r in pairs.collect()} == {p: (n, n == most[p[0]]) for p, n in counts.items()}
+    assert alignment.align_tokenizers(docs.limit(0), BYTE_LEVEL, PIECES)[0].count() == 0
+
+
+def test_bitmaps():
+    made = np.random.default_rng(1)
+    for size in (1, 2, 17, 500, 60_000):
+        for share in (0.001, 0.05, 0.5, 1.0):
+            places = np.flatnonzero(made.random(size) < share)
+            if len(places):
+                assert alignment.unpack_bits(alignment.pack_bits(places)).tolist() == places.tolist()
+    pairs, docs, planes = alignment.inverted(np.array([7, 5, 7, 7]), np.array([0, 0, 3, 9]), np.array([1, 6, 2, 3]))
+    assert pairs.tolist() == [5, 7] and docs == [1, 3]
+    assert [[alignment.unpack_bits(p).tolist() if p else [] for p in own] for own in planes] == [[[], [0], [0]], [[0, 9], [3, 9]]]
+    total, links = alignment.scores(planes, np.array([10, 100]), np.array([True, False]), 10)
+    assert total.tolist() == [160, 0, 0, 200, 0, 0, 0, 0, 0, 300] and links.tolist() == [6] + [0] * 9
