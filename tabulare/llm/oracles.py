@@ -107,35 +107,26 @@ MIXING_TABLES = f"""
       SELECT *, ('0x' || substr(digest, 1, 8))::BIGINT % {mixing.CELLS} AS cell FROM celled),
     numbered AS (
       SELECT *, row_number() OVER (PARTITION BY s ORDER BY cell, digest, doc_id) - 1 AS num FROM placed),
-    sizes AS (SELECT s, sqrt(count(*)) AS share FROM celled GROUP BY s),
-    exact AS (
-      SELECT s, greatest({mixing.SLOTS}, 2 * count(*) OVER ()) AS slots,
-        share / sum(share) OVER () * (slots - count(*) OVER ()) AS e FROM sizes),
-    floors AS (SELECT *, slots - sum(1 + floor(e)) OVER () AS left_over FROM exact),
-    quotas AS (
-      SELECT s, slots, (1 + floor(e))::BIGINT
-        + CASE WHEN row_number() OVER (ORDER BY e - floor(e) DESC, s) <= left_over THEN 1 ELSE 0 END AS q FROM floors),
-    period AS (SELECT slots, list(q ORDER BY s) AS qs, list(s ORDER BY s) AS ss FROM quotas GROUP BY slots),
+    sizes AS (
+      SELECT s, sqrt(count(*)) AS w, (count(*) + {mixing.BLOCK_ROWS} - 1) // {mixing.BLOCK_ROWS} AS blocks FROM celled GROUP BY s),
+    scaled AS (SELECT *, CASE WHEN count(*) FILTER (w <> floor(w)) OVER () > 0 OR sum(w) OVER () > {mixing.PARTS}
+      THEN {mixing.PARTS}::DOUBLE / sum(w) OVER () ELSE 1 END AS scale FROM sizes),
+    whole AS (SELECT s, blocks, greatest(round(w * scale)::HUGEINT, 1) AS q FROM scaled),
+    jobs AS (
+      SELECT s, i, (i * total // q)::BIGINT AS release, (((i + 1) * total + q - 1) // q)::BIGINT AS deadline
+      FROM (SELECT s, q, sum(q) OVER ()::HUGEINT AS total, unnest(range(blocks))::HUGEINT AS i, FROM whole)),
+    todo AS (SELECT list({{'d': deadline, 's': s, 'i': i::BIGINT, 'r': release}}) AS rest FROM jobs),
     run AS (
-      SELECT 0::BIGINT AS slot, list_transform(qs, lambda x: 0::BIGINT) AS done, 0::BIGINT AS pick, slots, qs FROM period
+      SELECT -1::BIGINT AS slot, NULL::STRUCT(d BIGINT, s VARCHAR, i BIGINT, r BIGINT) AS job, rest FROM todo
       UNION ALL
-      SELECT slot + 1, list_transform(done, lambda n, i: n + CASE WHEN i = next.i THEN 1 ELSE 0 END), next.i, slots, qs
-      FROM (
-        SELECT *, list_aggregate(list_filter(list_transform(done, lambda n, i:
-          CASE WHEN n < qs[i] AND n * slots // qs[i] <= slot
-          THEN {{'due': ((n + 1) * slots + qs[i] - 1) // qs[i], 'i': i}} END), lambda c: c IS NOT NULL), 'min') AS next
-        FROM run WHERE slot < slots)),
-    own AS (
-      SELECT pick, slot - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY slot) - 1 AS j FROM run WHERE slot > 0),
-    slots AS (SELECT ss[pick] AS s, slot, j, qs[pick] AS q, slots FROM own, period),
-    blocks AS (
-      SELECT n.*, num // {mixing.BLOCK_ROWS} AS block, q.q, q.slots
-      FROM numbered n JOIN quotas q ON n.s = q.s),
+      SELECT slot, job, list_filter(rest, lambda x: x <> job) FROM (
+        SELECT slot, rest, list_aggregate(list_filter(rest, lambda x: x.r <= slot), 'min') AS job FROM (
+          SELECT greatest(slot + 1, list_aggregate(list_transform(rest, lambda x: x.r), 'min')) AS slot, rest
+          FROM run WHERE len(rest) > 0))),
+    blocks AS (SELECT *, num // {mixing.BLOCK_ROWS} AS block FROM numbered),
     mixed AS (
-      SELECT b.*, block * b.slots // b.q AS release, ((block + 1) * b.slots + b.q - 1) // b.q AS deadline,
-        (block // b.q) * b.slots + o.slot AS slot,
-        ((block // b.q) * b.slots + o.slot) * {mixing.BLOCK_ROWS} + num % {mixing.BLOCK_ROWS} AS position
-      FROM blocks b JOIN slots o ON b.s = o.s AND b.block % b.q = o.j)
+      SELECT b.*, j.release, j.deadline, run.slot, run.slot * {mixing.BLOCK_ROWS} + num % {mixing.BLOCK_ROWS} AS position
+      FROM blocks b JOIN jobs j ON b.s = j.s AND b.block = j.i JOIN run ON b.s = run.job.s AND b.block = run.job.i)
 """
 MIXING = f"""
     WITH RECURSIVE docs AS (SELECT doc_id, source FROM documents), {MIXING_TABLES}

@@ -113,27 +113,57 @@ def test_rejected_rows_go_and_columns_stay(spark):
     assert kept.columns == docs.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "1", "None"]
 
 
-def test_shares_deviate_by_less_than_a_block(spark):
-    sizes = {"a": 700, "b": 150, None: 90, "d": 33, "": 8}
+def deviations(found, weights):
+    """Largest distance of a source's blocks from its target share of the slots, until a source is used up."""
+    runs = {(r.source, r.block): r.slot for r in found}
+    assert len(set(runs.values())) == len(runs)
+    last = {name: max(slot for (s, _), slot in runs.items() if s == name) for name in weights}
+    whole, done, most = sum(weights.values()), Counter(), Fraction(0)
+    for slot, name in sorted((slot, name) for (name, _), slot in runs.items()):
+        if slot >= min(last.values()):
+            break
+        assert slot == sum(done.values())
+        done[name] += 1
+        most = max(most, *(abs(done[n] - Fraction(w) * (slot + 1) / Fraction(whole)) for n, w in weights.items()))
+    return most
+
+
+@pytest.mark.parametrize(
+    "weights, sizes, block_rows, range_blocks",
+    [
+        ({"a": 6, "b": 3, None: 1}, {"a": 700, "b": 150, None: 90}, 4, 8),
+        ({"a": 1, "b": 1, "c": 1}, {"a": 900, "b": 800, "c": 1000}, 1, 64),
+        ({"a": 9999, "b": 1}, {"a": 9000, "b": 3}, 1, 32),
+        ({f"s{i}": [0.37, 5, 1, 0.021, 2.5][i % 5] for i in range(40)}, {f"s{i}": 60 for i in range(40)}, 1, 16),
+        ({"h": 90, **{f"t{i}": 0.1 for i in range(100)}}, {"h": 2700, **{f"t{i}": 3 for i in range(100)}}, 1, 50),
+    ],
+)
+def test_shares_deviate_by_less_than_a_block(spark, weights, sizes, block_rows, range_blocks):
     rows = [(i, s, 0) for s, n in sizes.items() for i in range(n)]
     docs = spark.createDataFrame(rows, "doc_id bigint, source string, slot int")
-    weights = spark.createDataFrame([("a", 6.0), ("b", 3.0), (None, 1.0)], "_source string, _weight double")
-    found = mixing.mix_sources(docs, weights, temperature=1.0, block_rows=4, slots=50).collect()
+    given = spark.createDataFrame([(s, float(w)) for s, w in weights.items()] + [("gone", 5.0)], "_source string, _weight double")
+    found = mixing.mix_sources(docs, given, temperature=1.0, block_rows=block_rows, range_blocks=range_blocks).collect()
     assert len(found) == len(rows) and len({r.position for r in found}) == len(rows)
     assert all(r.release <= r.slot < r.deadline for r in found)
-    own = Counter()
-    for r in found:
-        own[r.source, r.slot] += 1
-    slots = sorted({r.slot for r in found})
-    until = min(max(s for (name, s) in own if name == source) for source in ("a", "b", None))
-    for name, share in (("a", None), ("b", None), (None, None)):
-        mine = {s for (n, s) in own if n == name}
-        quota = len([s for s in mine if s < 50])
-        for t in (s for s in slots if s < until):
-            assert abs(len([s for s in mine if s <= t]) - Fraction(quota * (t + 1), 50)) < 1
+    assert deviations(found, {s: Fraction(w) for s, w in weights.items()}) < 1
+
+
+def test_many_sources(spark):
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 2_000).alias("source"))
+    found = mixing.mix_sources(rows, block_rows=1).collect()
+    assert len({r.slot for r in found}) == 20_000 == len(found) and all(r.release <= r.slot < r.deadline for r in found)
+
+
+def test_odd_mixtures(spark):
+    docs = spark.createDataFrame([(i, s, 1) for s, n in (("a", 30), (None, 9), ("", 8)) for i in range(n)], "doc_id bigint, source string, slot int")
+    none = spark.createDataFrame([("a", 0.0), ("a", -1.0), (None, None)], "_source string, _weight double")
+    twice = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("x", 2.0)], "_source string, _weight double")
+    for weights in (None, none, twice, none.limit(0)):
+        found = mixing.mix_sources(docs, weights, block_rows=4).collect()
+        assert len(found) == 47 and len({r.position for r in found}) == 47
     assert mixing.mix_sources(docs.limit(0)).count() == 0
-    ordered = mixing.mixed_order(docs, block_rows=4, slots=50)
-    assert ordered.columns == docs.columns and ordered.count() == len(rows)
+    ordered = mixing.mixed_order(docs, block_rows=4)
+    assert ordered.columns == docs.columns and ordered.count() == 47
 
 
 def test_repeated_keys_are_placed_apart(spark):

@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tabulare.llm import oracles
+from tabulare.llm import mixing, oracles
 from tabulare.session import work_table
 from test_near import find, full_set
 
@@ -58,12 +58,14 @@ def test_every_stage(spark, folder, duck):
     order = duck.execute(
         f"WITH RECURSIVE docs AS (SELECT * FROM remaining), {oracles.MIXING_TABLES} SELECT doc_id FROM mixed ORDER BY position"
     ).fetchall()
-    assert docs.columns == COLUMNS and [r.doc_id for r in mixed] == [k for (k,) in order]
+    written = [r.doc_id for r in mixing.written_order(docs).orderBy("_position").select("_row.doc_id").collect()]
+    assert docs.columns == COLUMNS and written == [k for (k,) in order]
     assert sorted(map(tuple, mixed)) == sorted(map(tuple, rows))
 
     docs, rows = after("encode", docs)
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    assert [r.doc_id for r in rows] == [r.doc_id for r in mixed]
+    assert [r.doc_id for r in sorted(rows, key=lambda r: r.position)] == written
+    assert sorted(r.position for r in rows) == list(range(len(rows)))
     for r in rows:
         ids = tokenizer.encode(before[r.doc_id][1], add_special_tokens=False).ids
         decoded = tokenizer.decode(ids, skip_special_tokens=False)
@@ -110,7 +112,7 @@ def test_the_mixture_survives_several_files(spark, folder, duck):
     duck.register("encoded", encoded.select("doc_id", "source").toPandas())
     order = duck.execute(
         f"WITH RECURSIVE docs AS (SELECT * FROM encoded), {oracles.MIXING_TABLES} "
-        "SELECT doc_id, source, position::BIGINT FROM mixed ORDER BY position"
+        "SELECT doc_id, source, row_number() OVER (ORDER BY position) - 1 FROM mixed ORDER BY position"
     ).fetchall()
     assert {(r.doc_id, r.source, r.position) for r in rows} == set(order) and len(rows) == len(order)
     assert returned == [key for key, *_ in order]
