@@ -52,12 +52,12 @@ def _quality() -> str:
         f"CASE WHEN {under} > 0 THEN {over}::DOUBLE / {under} ELSE 0 END"
         for over, under in (share.split(" / ") for share, _ in quality.RULES.values())
     ]
-    grid = ", ".join(
-        f"({rule}, {cutoff}::DOUBLE)"
-        for rule, (_, cutoffs) in enumerate(quality.RULES.values())
-        for cutoff in cutoffs
+    steps = ", ".join(
+        f"CASE WHEN {value} > {cutoff}::DOUBLE THEN {level * len(quality.RULES) + rule} ELSE {quality.STEPS} END"
+        for rule, (value, (_, cutoffs)) in enumerate(zip(values, quality.RULES.values(), strict=True))
+        for level, cutoff in enumerate(cutoffs)
     )
-    rate = f"({quality.FALSE_REJECTIONS}::DOUBLE / {len(quality.RULES)})"
+    rate = f"{quality.FALSE_REJECTIONS}::DOUBLE"
     return f"""
     WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
     cut AS (
@@ -74,25 +74,26 @@ def _quality() -> str:
         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines,
         len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words
       FROM cut LEFT JOIN covered ON cut.doc_id = covered.doc_id),
-    v AS (SELECT *, [{", ".join(values)}] AS vs FROM f),
+    v AS (SELECT *, least({steps}) AS step FROM f),
+    marked AS (SELECT doc_id, max(quality > 0) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
     labelled AS (
-      SELECT v.lang, quality > 0 AS good, vs FROM v JOIN labels ON v.doc_id = labels.doc_id WHERE quality IS NOT NULL),
-    grid(rule, cutoff) AS (VALUES {grid}),
-    good AS (SELECT lang, count(*) FILTER (WHERE good) AS n FROM labelled GROUP BY lang),
+      SELECT doc_id, arg_min(lang, (step, lang)) AS lang, any_value(good) AS good, min(step) AS step
+      FROM v JOIN marked USING (doc_id) GROUP BY doc_id),
+    good AS (SELECT *, count(*) OVER () AS strata FROM (
+      SELECT lang, count(*) FILTER (WHERE good) AS n FROM labelled GROUP BY lang) WHERE n > 0),
     seen AS (
-      SELECT lang, rule, cutoff, count(*) FILTER (WHERE good) AS k, count(*) FILTER (WHERE NOT good) AS bad
-      FROM labelled, grid WHERE vs[rule + 1] > cutoff GROUP BY lang, rule, cutoff),
+      SELECT good.lang, n, strata, t,
+        count(*) FILTER (WHERE good AND step <= t) AS k, count(*) FILTER (WHERE NOT good AND step <= t) AS bad
+      FROM labelled JOIN good ON labelled.lang IS NOT DISTINCT FROM good.lang, range({quality.STEPS}) AS r(t) GROUP BY ALL),
     tested AS (
-      SELECT seen.*, n, CASE WHEN k < n * {rate} THEN (
+      SELECT *, strata * CASE WHEN k < n * {rate} THEN (
         SELECT sum(exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({rate}) + (n - i) * ln(1 - {rate})))
-        FROM range(k + 1) AS r(i)) ELSE 1 END AS p
-      FROM seen JOIN good ON seen.lang IS NOT DISTINCT FROM good.lang),
+        FROM range(k + 1) AS r(i)) ELSE 1 END > {quality.ERROR}::DOUBLE AS unsafe FROM seen),
     chosen AS (
-      SELECT lang, rule, arg_max(cutoff, {{'bad': bad, 'cutoff': cutoff}}) AS cutoff FROM tested
-      WHERE p <= {quality.ERROR}::DOUBLE / ((SELECT count(*) FROM good) * {len(quality.RULES)}) GROUP BY lang, rule),
+      SELECT lang, arg_max(t, (bad, -t)) AS most FROM (
+        SELECT *, max(unsafe) OVER (PARTITION BY lang ORDER BY t) AS over FROM tested) WHERE NOT over GROUP BY lang),
     failed AS (
-      SELECT DISTINCT v.doc_id FROM v JOIN chosen ON v.lang IS NOT DISTINCT FROM chosen.lang
-      WHERE vs[rule + 1] > cutoff)
+      SELECT DISTINCT v.doc_id FROM v JOIN chosen ON v.lang IS NOT DISTINCT FROM chosen.lang WHERE step <= most)
     SELECT v.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
       n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed,
       NOT base_failed AND failed.doc_id IS NULL AS kept

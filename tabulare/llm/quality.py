@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,15 +14,16 @@ SYMBOLS = "[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
-# A share or mean per document, larger is worse, with the cutoffs that are tried. They are fixed beforehand: testing
-# them from the most lenient one on needs no further correction within a rule.
+# A share or mean per document, larger is worse, with cutoffs from lenient to strict. They are fixed beforehand, and so
+# is the order in which they are tightened: every rule's first cutoff, rule by rule, then every rule's second, and so on.
 RULES: dict[str, tuple[str, list[float]]] = {
-    "symbols": ("n_symbols / word_chars", [0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.07, 0.05, 0.03, 0.02]),
-    "dup_lines": ("n_dup_lines / n_lines", [0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2]),
-    "repeats": ("n_repeat_words / n_words", [0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15]),
-    "long_words": ("word_chars / n_words", [30.0, 20.0, 15.0, 12.0, 10.0, 9.0, 8.0]),
-    "short_words": ("n_words / word_chars", [0.8, 0.6, 0.5, 0.4, 0.35, 0.3]),
+    "symbols": ("n_symbols / word_chars", [0.5, 0.4, 0.3, 0.2, 0.15, 0.1, 0.08, 0.06, 0.04, 0.02]),
+    "dup_lines": ("n_dup_lines / n_lines", [0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25]),
+    "repeats": ("n_repeat_words / n_words", [0.48, 0.45, 0.42, 0.4, 0.38, 0.35, 0.32, 0.3, 0.27, 0.25]),
+    "long_words": ("word_chars / n_words", [30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0, 11.0, 10.0, 9.0]),
+    "short_words": ("n_words / word_chars", [0.8, 0.7, 0.6, 0.55, 0.5, 0.45, 0.42, 0.4, 0.37, 0.35]),
 }
+STEPS = sum(len(cutoffs) for _, cutoffs in RULES.values())
 FALSE_REJECTIONS = 0.02
 ERROR = 0.05
 
@@ -83,6 +82,20 @@ def badness() -> list[Column]:
     return values
 
 
+def first_step() -> Column:
+    """The first joint set of rules, counted from 0 and from lenient to strict, that rejects a document; ``STEPS`` if none does.
+
+    Set t has tightened t + 1 cutoffs in the fixed order, so each set rejects
+    all that the ones before reject.
+    """
+    steps = [
+        F.when(value > cutoff, F.lit(level * len(RULES) + rule))
+        for rule, (value, (_, cutoffs)) in enumerate(zip(badness(), RULES.values(), strict=True))
+        for level, cutoff in enumerate(cutoffs)
+    ]
+    return F.least(*steps, F.lit(STEPS))
+
+
 def binomial_at_most(k: Column, n: Column, rate: float) -> Column:
     """Probability that a binomial count of ``n`` trials at ``rate`` is ``k`` or less, for ``k`` below the mean; else 1.
 
@@ -112,69 +125,65 @@ def calibrate(
     false_rejections: float = FALSE_REJECTIONS,
     error: float = ERROR,
 ) -> DataFrame:
-    """One row per stratum: ``_stratum`` and ``_cutoffs``, an array with a cutoff per rule or null for a rule that is off.
-
-    For every stratum, rule and cutoff, the good labelled documents above the
-    cutoff are counted. A cutoff is safe if, were its true share of false
-    rejections ``false_rejections`` divided by the number of rules, so few of
-    them would be seen with a probability below the level only: the exact
-    one-sided binomial bound. The level is ``error`` over the number of strata
-    and rules (Bonferroni); within a rule cutoffs are tested from the most
-    lenient on until one is not safe. So with probability 1 - ``error``, in no
-    stratum are more than ``false_rejections`` of the good documents lost.
-    Of the safe cutoffs the one that rejects the most bad documents is taken,
-    the most lenient one of these. A null label or stratum: no label, and a
-    stratum of its own. A document labelled twice counts twice.
+    """One row per stratum with a joint set that is safe: ``_stratum``, ``_limit`` (the set), ``_n``, ``_k`` and ``_bad``.
+
+    The joint sets are tested in their fixed order, lenient to strict, on all
+    good labelled documents of the stratum that they reject by any rule. A set
+    is safe if, were its true share of false rejections ``false_rejections``,
+    so few of them (``_k`` of ``_n``) would be seen with a probability of
+    ``error`` over the number of strata at most (Bonferroni): the exact
+    one-sided binomial bound. Testing stops at the first set that is not safe,
+    so no further correction is needed within a stratum: with probability 1 -
+    ``error``, in no stratum are more than ``false_rejections`` of the good
+    documents lost by the rules together. Of the safe sets the one that rejects
+    the most bad documents (``_bad``) is taken, the most lenient one of these.
+
+    At the default rates 149 good labels are the fewest with one stratum, and
+    217 with four. A null label: none. A null stratum is one of its own. A key
+    that is labelled or occurs more than once counts once: as good if any of its
+    labels is, and by the text that the most lenient set rejects.
     """
-    marked = labels.where(F.col("quality").isNotNull()).select(
-        F.col(label_key).alias("_label_id"), (F.col("quality") > 0).alias("_good")
+    marked = labels.where(F.col("quality").isNotNull()).groupBy(F.col(label_key).alias("_label_id")).agg(
+        F.max(F.col("quality") > 0).alias("_good")
     )
-    labelled = features.join(marked, F.col(key) == F.col("_label_id")).select(
-        F.col(stratum).alias("_stratum"), "_good", F.array(*badness()).alias("_values")
+    labelled = (
+        features.join(marked, F.col(key) == F.col("_label_id"))
+        .select(F.col(stratum).alias("_stratum"), "_label_id", "_good", first_step().alias("_step"))
+        .groupBy("_label_id")
+        .agg(F.min_by("_stratum", F.struct("_step", "_stratum")).alias("_stratum"), F.first("_good").alias("_good"), F.min("_step").alias("_step"))
     )
-    good = labelled.groupBy("_stratum").agg(F.count_if("_good").alias("_n"))
-    good = good.withColumn("_strata", F.count("*").over(Window.partitionBy()))  # one row per stratum
-    grids = F.array(*(F.array(*map(F.lit, cutoffs)) for _, cutoffs in RULES.values()))
-    above = (
-        labelled.select("_stratum", "_good", F.posexplode("_values").alias("_rule", "_value"))
-        .withColumn("_above", F.size(F.filter(F.get(grids, F.col("_rule")), lambda c: F.col("_value") > c)))
-        # A value above a cutoff is above all stricter ones, and the grids go from lenient to strict.
-        .groupBy("_stratum", "_rule", "_above")
-        .agg(F.count_if("_good").alias("_g"), F.count_if(~F.col("_good")).alias("_b"))
-        .withColumn("_size", F.size(F.get(grids, F.col("_rule"))))
-        .where("_above > 0")
-        .withColumn("_at", F.explode(F.sequence(F.col("_size") - F.col("_above"), F.col("_size") - 1)))
-        .groupBy("_stratum", "_rule", "_at")
-        .agg(F.sum("_g").alias("_k"), F.sum("_b").alias("_bad"))
-        .withColumn("_cutoff", F.get(F.get(grids, F.col("_rule")), F.col("_at")))
+    per_step = labelled.groupBy("_stratum", "_step").agg(F.count_if("_good").alias("_g"), F.count_if(~F.col("_good")).alias("_b"))
+    steps = per_step.groupBy("_stratum").agg(
+        F.sum("_g").alias("_n"), F.collect_list(F.struct("_step", "_g", "_b")).alias("_seen")  # STEPS + 1 entries at most
     )
-    level = F.lit(error) / (F.col("_strata") * len(RULES))
-    rate = false_rejections / len(RULES)
-    same = F.col("_stratum").eqNullSafe(F.col("_of"))
-    tested = (
-        above.join(good.withColumnRenamed("_stratum", "_of"), same)
-        .drop("_of")
-        .where(binomial_at_most(F.col("_k"), F.col("_n"), rate) <= level)
-        .groupBy("_stratum", "_rule")
-        .agg(F.max_by("_cutoff", F.struct("_bad", "_cutoff")).alias("_cutoff"))
-    )
-    found = tested.groupBy("_stratum").agg(
-        F.array(*(F.max(F.when(F.col("_rule") == i, F.col("_cutoff"))) for i in range(len(RULES)))).alias("_cutoffs")
+    steps = steps.where("_n > 0").withColumn("_strata", F.count("*").over(Window.partitionBy()))  # one row per stratum
+    step = F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))).alias("_limit")
+    zero = F.lit(0).cast("bigint")
+
+    def so_far(name: str) -> Column:
+        rejected = F.filter("_seen", lambda s: s["_step"] <= F.col("_limit"))
+        return F.aggregate(rejected, zero, lambda total, s: total + s[name])
+
+    level = F.lit(error) / F.col("_strata")
+    tested = steps.select("_stratum", "_n", "_strata", "_seen", step).select(
+        "_stratum", "_n", "_limit", so_far("_g").alias("_k"), so_far("_b").alias("_bad"), level.alias("_level")
     )
-    return found
+    tested = tested.withColumn("_safe", binomial_at_most(F.col("_k"), F.col("_n"), false_rejections) <= F.col("_level"))
+    in_order = Window.partitionBy("_stratum").orderBy("_limit")
+    safe = tested.withColumn("_all", F.min("_safe").over(in_order)).where("_all")
+    best = F.max_by(F.struct("_limit", "_n", "_k", "_bad"), F.struct(F.col("_bad"), -F.col("_limit")))
+    return safe.groupBy("_stratum").agg(best.alias("_best")).select("_stratum", "_best.*")
 
 
-def apply_rules(features: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``features`` with ``_base_failed`` and ``_kept``. The cutoffs, a row per stratum, are read from a written table."""
-    written = work_table(cutoffs.withColumnRenamed("_stratum", "_of"), "cutoffs")
-    over = [
-        F.coalesce(value > F.get("_cutoffs", F.lit(i)), F.lit(False)) for i, value in enumerate(badness())
-    ]
+def apply_rules(features: DataFrame, limits: DataFrame, stratum: str = "lang") -> DataFrame:
+    """``features`` with ``_base_failed`` and ``_kept``. The limits, a row per stratum, are read from a written table."""
+    written = work_table(limits.select(F.col("_stratum").alias("_of"), "_limit"), "limits")
+    over = F.coalesce(first_step() <= F.col("_limit"), F.lit(False))
     return (
         features.join(written, F.col(stratum).eqNullSafe(F.col("_of")), "left")
         .withColumn("_base_failed", base_failed())
-        .withColumn("_kept", ~(F.col("_base_failed") | reduce(lambda a, b: a | b, over)))
-        .drop("_of", "_cutoffs")
+        .withColumn("_kept", ~(F.col("_base_failed") | over))
+        .drop("_of", "_limit")
     )
 
 
@@ -198,7 +207,12 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The rows that pass, with the columns they came with."""
+    """The rows that pass, with the columns they came with.
+
+    Null and empty texts have no words and go; texts of any length are counted
+    whole; repeated rows and null keys are judged like others; an empty table
+    stays empty, and without labels only the base rules hold.
+    """
     rows = packed(docs, _id=key, _lang=stratum, _text="text")
     features = work_table(with_features(rows, "_text").drop("_text"), "features")
     judged = apply_rules(features, calibrate(features, labels, "_lang", "_id"), "_lang")

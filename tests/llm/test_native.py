@@ -78,23 +78,60 @@ def test_binomial_sums(spark):
             assert math.isclose(value, exact_sum if k < n * rate else 1.0, rel_tol=1e-9)
 
 
+def plain_limit(documents, strata):
+    """The chosen joint set of one stratum, from (good, step), with the exact binomial sum."""
+    n, best = sum(good for good, _ in documents), None
+    for limit in range(quality.STEPS):
+        k = sum(good and step <= limit for good, step in documents)
+        bad = sum(not good and step <= limit for good, step in documents)
+        rate = Fraction(quality.FALSE_REJECTIONS).limit_denominator(1000)
+        if n == 0 or sum(math.comb(n, i) * rate**i * (1 - rate) ** (n - i) for i in range(k + 1)) > Fraction(1, 20) / strata:
+            break
+        if best is None or bad > best[1]:
+            best = limit, bad, k
+    return best
+
+
 def test_cutoffs_keep_their_promise(spark):
-    """A rule is used only where so many good documents were seen that a loss above the limit can be ruled out."""
-    def table(good, bad, lang):
-        return [(f"{lang}{i}", 1, lang, "word " * 9 + "other thing here now " * 3 + "| " * (i % 100 == 0)) for i in range(good)] + [
+    """The union of the rules is used only where so many good documents were seen that a loss above the limit can be ruled out."""
+    def table(good, bad, lang, odd):
+        return [(f"{lang}{i}", 1, lang, "some other plain words stand here in one row " + "| " * 9 * (i < odd)) for i in range(good)] + [
             (f"{lang}b{i}", 0, lang, "word | more | " * 3) for i in range(bad)
         ]
 
-    rows = table(3_000, 40, "xx") + table(60, 40, "yy") + [("n", None, None, None), ("e", 1, None, "")]
+    rows = table(900, 40, "xx", 3) + table(230, 40, "yy", 0) + table(100, 9, "zz", 0) + table(400, 9, "ww", 30)
+    rows += [("n", None, None, None), ("e", 1, None, "")]
     docs = spark.createDataFrame(rows, "doc_id string, quality int, lang string, text string")
-    features = quality.with_features(docs)
-    cutoffs = {r._stratum: r._cutoffs for r in quality.calibrate(features, docs).collect()}
-    assert set(cutoffs) == {"xx"} and cutoffs["xx"][0] is not None
+    features = quality.with_features(docs).withColumn("step", quality.first_step())
+    again = docs.unionByName(docs.where("doc_id like 'yyb%'")).select("doc_id", F.when(F.col("doc_id") == "xx1", 0).otherwise(F.col("quality")).alias("quality"))
+    limits = {r._stratum: r for r in quality.calibrate(features, again.unionByName(docs.select("doc_id", "quality"))).collect()}
+    by_lang = {}
+    for r in features.where("quality is not null").collect():
+        by_lang.setdefault(r.lang, []).append((r.quality, r.step))
+    expected = {lang: plain_limit(found, len(by_lang)) for lang, found in by_lang.items()}
+    assert {lang: (r._limit, r._bad, r._k) for lang, r in limits.items()} == {lang: x for lang, x in expected.items() if x}
+    assert {"xx", "yy"} <= set(limits) and not {"zz", None} & set(limits)
+    assert limits["yy"]._n == 230 and limits["yy"]._bad == 40 and limits["xx"]._bad == 40
+    for lang, r in limits.items():
+        assert r._k <= quality.FALSE_REJECTIONS * r._n, lang
     judged = quality.apply_rules(features, quality.calibrate(features, docs)).collect()
     assert len(judged) == len(rows) and all(j._base_failed for j in judged)  # all are short
     assert quality.apply_rules(features.limit(0), quality.calibrate(features, docs.limit(0))).count() == 0
 
 
+def test_rules_are_on_where_labels_suffice(spark, folder):
+    """In every language with enough labels the bad documents that pass the base rules are caught, and few good ones lost."""
+    table = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{table}/{name}.parquet") for name in ("documents", "labels"))
+    kept = quality.quality_rules(docs, labels).where("not base_failed").select("doc_id", "kept")
+    joined = kept.join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+    for r in joined.groupBy("lang").agg(
+        F.count_if("quality > 0").alias("good"), F.count_if("quality > 0 and not kept").alias("lost"),
+        F.count_if("quality = 0").alias("bad"), F.count_if("quality = 0 and not kept").alias("caught"),
+    ).collect():
+        assert r.lost <= 0.02 * r.good and r.caught >= 0.9 * r.bad, r
+
+
 def test_quality_counts_of_odd_texts(spark):
     texts = [None, "", " \n\t", "a b c a b c", "x\nx\n\nx y", "é# é$\u00a0z", "w " * 30_000, "a a a a"]
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id bigint, text string, n_words int")
