@@ -81,7 +81,9 @@ def group_copies(
     """
     spark = docs.sparkSession
     narrow = id_and_text(docs, key, text).withColumn("_digest", digest(F.col("_text")))
-    landed = narrow.select("_digest", "_id", F.input_file_name().alias("_locator"))
+    # Where a row lies: its file, and a number that no other row has.
+    place = F.concat_ws("#", F.input_file_name(), F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0"))
+    landed = narrow.select("_digest", "_id", place.alias("_locator"))
     folder = run_folder(spark, "exact")
     landed.write.parquet(f"{folder}/digests")
     digests = spark.read.schema(landed.schema).parquet(f"{folder}/digests")
@@ -118,42 +120,46 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     """
     digests, groups, shared = group_copies(docs, key, text, **options)
     by_digest = groups.withColumnRenamed("_digest", "_of")
-    plain = digests.join(by_digest, F.col("_digest") == F.col("_of")).withColumn("_class", F.lit(""))
+    # Nothing that needs a group's rows together: a large one is split by Spark where it is joined.
+    plain = digests.join(by_digest, F.col("_digest") == F.col("_of")).withColumn("_stays", F.col("_locator") == F.col("_keep_locator"))
     if shared is not None:
         rows = id_and_text(docs, key, text).withColumn("_digest", options["digest"](F.col("_text")))
         rows = rows.join(shared, F.col("_digest") == F.col("_shared")).drop("_shared")
         classes = rows.groupBy("_digest", "_text").agg(
             F.max("_id").alias("_keep_id"), F.lit("").alias("_keep_locator"), F.count("*").alias("_rows")
         )
-        apart = rows.join(classes, ["_digest", "_text"]).withColumn("_class", F.sha2("_text", 256))
+        first = F.row_number().over(Window.partitionBy("_digest", "_text", "_id").orderBy("_keep_locator"))
+        apart = rows.join(classes, ["_digest", "_text"]).withColumn("_stays", F.col("_id").eqNullSafe(F.col("_keep_id")) & (first == 1))
         alone = plain.join(shared, F.col("_digest") == F.col("_shared"), "left_anti")
         plain = alone.drop("_of", "_locator").unionByName(apart.drop("_text"))
-    first = F.row_number().over(Window.partitionBy("_digest", "_class", "_id").orderBy("_keep_locator"))
     return plain.select(
         F.col("_id").alias("doc_id"),
         F.col("_keep_id").alias("keep_id"),
         F.col("_keep_locator").alias("keep_locator"),
         F.col("_rows").alias("group_size"),
-        (F.col("_id").eqNullSafe(F.col("_keep_id")) & (first == 1)).alias("kept"),
+        F.col("_stays").alias("kept"),
         F.col("_digest").alias("digest"),
     )
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with the columns they came with."""
+    """The rows that stay, with the columns they came with.
+
+    Null and empty texts are equal; a null key is smaller than any other; of
+    rows with the same key and text one stays; columns may hold anything, maps
+    too; an empty table stays empty.
+    """
     _, groups, shared = group_copies(docs, key, text)
     if shared is not None:
         raise ValueError("two different texts have the same SHA-256")
     keepers = groups.select(F.col("_digest").alias("_of"), F.col("_keep_id").alias("_keep"))
     rows = packed(docs, _id=key, _text=text).withColumns(
-        {"_id": F.col("_id").cast("bigint"), "_digest": sha256(F.coalesce("_text", F.lit("")))}
+        {"_id": F.col("_id").cast("bigint"), "_digest": sha256(F.coalesce("_text", F.lit(""))), "_tie": F.monotonically_increasing_id()}
     )
-    tie = F.xxhash64(*(f"_row.`{field.name}`" for field in docs.schema if field.dataType.typeName() != "map"))
     one = Window.partitionBy("_digest", "_id").orderBy("_tie")
     return (
         rows.drop("_text")
         .join(keepers, (F.col("_digest") == F.col("_of")) & F.col("_id").eqNullSafe(F.col("_keep")))
-        .withColumn("_tie", tie)
         .withColumn("_n", F.row_number().over(one))
         .where("_n = 1")
         .select("_row.*")

@@ -26,6 +26,8 @@ def test_exact_copies_of_odd_rows(spark):
             [(1, 5, 3, False), (5, 5, 3, True), (3, 5, 3, False), (2, 4, 2, False), (4, 4, 2, True), (7, 7, 2, True),
              (7, 7, 2, False), (None, None, 1, True), (None, 9, 2, False), (9, 9, 2, True), (6, 6, 1, True)]
         )
+    nested = docs.withColumn("m", F.array(F.create_map(F.lit("a"), "doc_id")))
+    assert exact.drop_copies(nested).columns == nested.columns and exact.drop_copies(nested).count() == 6
     kept = exact.drop_copies(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "b"), (4, ""), (5, "a"), (6, "a "), (7, "A"), (9, "c")]

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from tabulare.llm import near
+from tabulare.llm import components as components_module
 from tabulare.llm.components import components
 from tabulare.llm.queries import LLM_JOBS
 
@@ -112,6 +113,20 @@ def test_components_of_long_paths(spark):
     assert components(frame.limit(0)).count() == 0
 
 
+def test_components_with_hubs(spark, monkeypatch):
+    """Nodes with many links, in the middle and at the top, give the same components as plain union-find."""
+    monkeypatch.setattr(components_module, "HUB_LINKS", 3)
+    made = np.random.default_rng(3)
+    links = [(0, i) for i in range(1, 60)] + [(500, i) for i in range(100, 160)] + [(int(a), int(b)) for a, b in made.integers(200, 330, (90, 2))]
+    links += [(160, 40), (700, 699), (699, 698)]
+    roots = {node: node for pair in links for node in pair}
+    for a, b in links:
+        low, high = sorted((find(roots, a), find(roots, b)))
+        roots[high] = low
+    found = dict(map(tuple, components(spark.createDataFrame(links, "u bigint, v bigint")).collect()))
+    assert found == {node: find(roots, node) for node in roots if find(roots, node) != node}
+
+
 def test_shared_counts_of_very_long_sets_are_exact():
     """17 of 20 parts are shared: just 85 percent, which counts in single precision miss from 2**26 hundredths on."""
     parts = next(m for m in range(39_480, 40_000) if int(np.float32(1_700 * m)) < 1_700 * m)
