@@ -26,12 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulare.llm.lexicon import Lexicon, compile_lexicon
-from tabulare.llm.rows import held_by_worker, id_and_bytes, slices
+from tabulare.llm.rows import held_by_worker, id_and_bytes, slices, without_collector
 from tabulare.session import run_folder, work_table
 
 LEXICON_WORDS = 65_536
 CLASSES = 8  # of counts, for each factor of two
-CACHE_ENTRIES, CACHE_LETTERS = 300_000, 32_000_000
+CACHE_ENTRIES, CACHE_LETTERS = 500_000, 32_000_000
+MARKS = frozenset(".,;:!?")  # marks that begin no piece with letters
 NO_MERGE = 1 << 60
 ID_BITS, ID_MASK = 24, (1 << 24) - 1
 WIDTHS = (4, 6, 8, 10, 12, 16, 24, 40)  # of the tables in which short pieces are merged side by side; longer ones are not
@@ -92,7 +93,11 @@ class Model:
 
     def cut(self, word: str) -> list[str]:
         """The pieces of a word; one that holds no piece, such as a lone space, has none."""
-        return [word] if word.isalpha() else self.pieces.findall(word)  # just the letters of the pattern
+        if word.isalpha():  # just the letters of the pattern
+            return [word]
+        if word[-1:] in MARKS and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return self.pieces.findall(word)
 
     def merge(self, piece: str) -> list[int]:
         """The ids of one piece by its merges: the best rank first, the leftmost of equal ones.
@@ -240,6 +245,10 @@ class Encoder:
 
     def learn(self, texts: list[list[str]]) -> None:
         """Look up the words of these texts that are not known."""
+        with without_collector():
+            self._learn(texts)
+
+    def _learn(self, texts: list[list[str]]) -> None:
         if len(self.ids) > CACHE_ENTRIES or self.letters > CACHE_LETTERS:  # what is dropped is looked up again
             self._forget()
         known, special = self.ids, self.model.special

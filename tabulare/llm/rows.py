@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 from typing import Any
 
@@ -63,3 +65,13 @@ def held_by_worker(kind: str, name: Any, make: Callable[[], Any]) -> Any:
     if held.get(kind, (None,))[0] != name:
         held[kind] = name, make()
     return held[kind][1]
+
+
+@contextmanager
+def without_collector() -> Iterator[None]:
+    """No search for cycles meanwhile: it goes over all that is held, again and again, where no cycles are made."""
+    gc.disable()
+    try:
+        yield
+    finally:
+        gc.enable()
