@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from tabulare.functions.times import seconds_interval, time_cell
 from tabulare.operators.ordered import carry, joined, running_sums
 from tabulare.operators.skew import split_busy
-from tabulare.session import work_table
 
 
 def time_buckets(
@@ -44,7 +43,6 @@ def sessions(
             F.sum(amount).alias("_amount"),
         )
     )
-    pieces = work_table(pieces, "pieces")  # counted per key first, and then read again
     split = split_busy(pieces, keys, ["_at"], cell_rows)
     split = carry(split, keys, ["_at"], F.max, {"_before": F.col("_last")}, itself=False)
     opens = F.when(F.col("_first") <= F.col("_before") + seconds_interval(gap_seconds), 0).otherwise(1)
