@@ -228,6 +228,7 @@ class Encoder:
 
     def __init__(self, model: Model, lexicon: Lexicon | None) -> None:
         self.model, self.lexicon = model, lexicon
+        self.special_names = {f" {name}" for name in model.special}
         self._forget()
 
     def _forget(self) -> None:
@@ -252,20 +253,22 @@ class Encoder:
         if len(self.ids) > CACHE_ENTRIES or self.letters > CACHE_LETTERS:  # what is dropped is looked up again
             self._forget()
         known, special = self.ids, self.model.special
-        fresh = [word for word in set().union(*texts) if word not in known]
+        fresh = set().union(*texts).difference(known)
         self.letters += sum(map(len, fresh))
-        for word in [word for word in fresh if word[:1] == " "]:
-            known[word] = np.array([special[word[1:]]], np.int32).tobytes()
+        known.update((name, np.array([special[name[1:]]], np.int32).tobytes()) for name in self.special_names & fresh)
         if self.lexicon:
-            ids = self.lexicon.find_many([word.encode() for word in fresh])
-            known.update((word, found) for word, found in zip(fresh, ids, strict=True) if found is not None)
-        fresh = [word for word in fresh if word not in known]
-        cut = list(map(self.model.cut, fresh))
-        pieces = [piece for piece in set(chain.from_iterable(cut)) if piece not in known]
-        merged = dict(zip(pieces, self.model.merge_many(pieces), strict=True))
-        known.update(merged)
+            asked = list(fresh)
+            ids = self.lexicon.find_many([word.encode() for word in asked])
+            known.update((word, found) for word, found in zip(asked, ids, strict=True) if found is not None)
+        if self.lexicon or not self.special_names.isdisjoint(fresh):
+            fresh = fresh.difference(known)
+        letters = set(filter(str.isalpha, fresh))  # a piece each, as the pattern takes just letters
+        mixed = list(fresh.difference(letters))
+        cut = list(map(self.model.cut, mixed))
+        pieces = list(letters.union(*cut).difference(known))
+        known.update(zip(pieces, self.model.merge_many(pieces), strict=True))
         find = known.__getitem__
-        known.update((word, b"".join(map(find, parts))) for word, parts in zip(fresh, cut, strict=True) if word not in merged)
+        known.update((word, b"".join(map(find, parts))) for word, parts in zip(mixed, cut, strict=True))
 
     def encode(self, texts: list[str]) -> tuple[list[bytes], list[list[str]]]:
         """Per text its ids, as 32-bit numbers side by side, and its words, for ``decode``."""
