@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulare.llm.bpe import _read, shared_encoder
-from tabulare.llm.rows import slices
+from tabulare.llm.rows import let_go_by_worker, slices
 from tabulare.session import work_table
 
 LENGTH = 2_048
@@ -199,6 +199,7 @@ def pack(
     pieces = with_sequences(packets(rows, weights, length, packet, cells), total, length)
 
     def slice_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_by_worker("encoder")
         for part in slices(batches, "_ids"):
             found: list[list] = [[] for _ in range(7)]
             columns = (part.column(name).to_pylist() for name in ("_id", "_n", "_pieces"))

@@ -67,6 +67,11 @@ def held_by_worker(kind: str, name: Any, make: Callable[[], Any]) -> Any:
     return held[kind][1]
 
 
+def let_go_by_worker(kind: str) -> None:
+    """Drop what ``held_by_worker`` keeps, in a stage that has no use for it."""
+    sys.modules.setdefault("tabulare_worker", ModuleType("tabulare_worker")).__dict__.pop(kind, None)
+
+
 @contextmanager
 def without_collector() -> Iterator[None]:
     """No search for cycles meanwhile: it goes over all that is held, again and again, where no cycles are made."""
