@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulare.llm.components import components
@@ -26,6 +26,7 @@ BANDS, ROWS = 20, 4
 BASE, SCALE, TOP = 1.001, 20.0, 65_535
 MARGIN = 0.2
 BLOCK_SETS = 1_024
+BLOCK_BYTES = 32_000_000
 KNOWN_WORDS = 1_000_000
 NO_ID = -(1 << 63)
 MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -84,6 +85,13 @@ def band_keys(values: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return ((joined ^ np.arange(1, bands + 1, dtype=np.uint64) * MIX[1]) * MIX[0]).view(np.int64)
 
 
+def band_registers(keys: list[list[int]]) -> np.ndarray:
+    """The registers that band keys were made of, a row per set: a key can be turned back, so they are not kept beside it."""
+    mixed = np.array(keys, np.int64).view(np.uint64) * np.uint64(pow(int(MIX[0]), -1, 1 << 64))
+    bands = np.arange(1, mixed.shape[1] + 1, dtype=np.uint64) * MIX[1]
+    return np.ascontiguousarray(mixed ^ bands).view(np.uint16)
+
+
 def similar_enough(mine: np.ndarray, theirs: np.ndarray, sizes: np.ndarray, other: np.ndarray, cut: float) -> np.ndarray:
     """Whether the most likely similarity of each pair is ``cut`` or more, from all registers and both set sizes.
 
@@ -123,19 +131,11 @@ def shared_counts(mine: list[np.ndarray], theirs: list[np.ndarray], columns: int
     return total
 
 
-def block_links(sides: list[tuple[np.ndarray, list[np.ndarray]]], percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked within a block, or between two: pairs estimated first, confirmed on full sets."""
-    (left, mine), (right, theirs) = sides
-    sizes, other = (np.array([len(s) for s in side], np.float64) for side in (mine, theirs))
-    values, others = registers(mine), registers(theirs)
-    likely = similar_enough(values, others, sizes, other, percent / 100 - MARGIN)
-    if not likely.any():
-        return []
-    both = shared_counts(mine, theirs)
-    linked = likely & (100 * both >= percent * (sizes[:, None] + other[None, :] - both))
+def spanning_links(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Of the links set in a matrix, as many as hold its groups together: one walk for each group."""
     found, waiting = [], set(range(len(left)))
     seen_right = np.zeros(len(right), bool)
-    while waiting:  # one walk for each group of linked sets gives as many links as are needed to hold it together
+    while waiting:
         todo = [waiting.pop()]
         while todo:
             i = todo.pop()
@@ -150,6 +150,25 @@ def block_links(sides: list[tuple[np.ndarray, list[np.ndarray]]], percent: int)
     return [pair for pair in found if pair[0] != pair[1]]
 
 
+Side = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def likely_matrix(mine: Side, theirs: Side, percent: int) -> np.ndarray:
+    """Which pairs of two blocks of (ids, set sizes, registers) may be linked, as their registers tell."""
+    return similar_enough(mine[2], theirs[2], mine[1], theirs[1], percent / 100 - MARGIN)
+
+
+def block_links(sides: list[Side], values: list[list[np.ndarray]], percent: int) -> list[tuple[int, int]]:
+    """Links that hold together what is linked within a block, or between two: pairs estimated first, confirmed on full sets."""
+    mine, theirs = sides
+    likely = likely_matrix(mine, theirs, percent)
+    if not likely.any():
+        return []
+    both = shared_counts(*values)
+    linked = likely & (100 * both >= percent * (mine[1][:, None] + theirs[1][None, :] - both))
+    return spanning_links(linked, mine[0], theirs[0])
+
+
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``_id``, ``_n`` (size of its set), ``_set`` (a digest of the set) and ``_bands``, its band keys."""
 
@@ -180,26 +199,72 @@ def coarse_links(sets: DataFrame) -> DataFrame:
     return keyed.join(hubs, F.col("_band") == F.col("_b")).where("u != v").select("u", "v").distinct()
 
 
+def placed_members(sets: DataFrame, clusters: DataFrame, row_bytes: Column) -> DataFrame:
+    """The sets of each cluster, dealt by a hash to blocks of about ``BLOCK_SETS`` sets and ``BLOCK_BYTES`` of ``row_bytes``.
+
+    Only a single set can make a block much larger than that.
+    """
+    roots = clusters.select("root").distinct().select(F.col("root").alias("node"), "root")
+    members = clusters.unionByName(roots).join(sets, F.col("node") == F.col("_rep"))
+    members = members.select("node", "root", "_n", "_bands", F.col("_set").alias("_wanted"))
+    sizes = members.groupBy(F.col("root").alias("_root")).agg(
+        F.greatest(
+            F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum(row_bytes) / BLOCK_BYTES)
+        ).cast("int").alias("_blocks")
+    )
+    placed = members.join(sizes, F.col("root") == F.col("_root")).drop("_root")
+    return placed.withColumn("_block", F.pmod(F.xxhash64("node", "_wanted"), F.col("_blocks")).cast("int"))
+
+
+def meeting_blocks(placed: DataFrame) -> DataFrame:
+    """Each set once for every block of its cluster: ``_low`` and ``_high`` name the two blocks that meet."""
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    return placed.withColumn("_other", other).select(
+        *(name for name in placed.columns if name != "_blocks"),
+        F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"),
+    )
+
+
+def _sides(table: pa.Table) -> tuple[list[Side], list[np.ndarray]]:
+    """The two blocks of a group, and the rows that each of them takes."""
+    ids = np.array(table.column("node").to_pylist(), np.int64)
+    sizes = np.array(table.column("_n").to_pylist(), np.float64)
+    keys = table.column("_bands").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    values = band_registers(keys.reshape(len(ids), -1))
+    block = np.array(table.column("_block").to_pylist())
+    rows = [np.flatnonzero(block == table.column(name)[0].as_py()) for name in ("_low", "_high")]
+    return [(ids[at], sizes[at], values[at]) for at in rows], rows
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())})
+
+
+def likely_links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Links that hold together the sets of a cluster that may be linked, by their registers alone.
+
+    No text is read and no set is moved: a row is its registers, 160 bytes.
+    """
+
+    def link(table: pa.Table) -> pa.Table:
+        sides, _ = _sides(table)
+        if table.num_rows < 2 or not all(len(ids) for ids, *_ in sides):
+            return _pairs([])
+        return _pairs(spanning_links(likely_matrix(*sides, percent), sides[0][0], sides[1][0]))
+
+    placed = placed_members(sets, clusters, F.lit(8) * F.size("_bands")).drop("_wanted")
+    return meeting_blocks(placed).groupBy("root", "_low", "_high").applyInArrow(link, "u bigint, v bigint")
+
+
 def confirmed_links(
     docs: DataFrame, sets: DataFrame, clusters: DataFrame, percent: int, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Links between documents of one cluster whose full sets are alike.
 
-    A cluster is cut into blocks of about ``BLOCK_SETS`` documents by a hash,
-    and every two blocks meet in one task, which reads their sets only.
+    Every two blocks of a cluster meet in one task, which reads their sets only.
     """
-    roots = clusters.select("root").distinct().select(F.col("root").alias("node"), "root")
-    members = clusters.unionByName(roots)
-    sizes = members.groupBy(F.col("root").alias("_root")).agg(F.count("*").alias("_size"))
-    blocks = F.ceil(F.col("_size") / BLOCK_SETS).cast("int")
-    placed = (
-        members.join(sizes, F.col("root") == F.col("_root"))
-        .withColumn("_blocks", blocks)
-        .withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-        .join(sets.select(F.col("_rep").alias("_r"), F.col("_set").alias("_wanted")), F.col("node") == F.col("_r"))
-        .select("node", "root", "_blocks", "_block", "_wanted")
-    )
-    placed = work_table(placed, "placed")
+    placed = work_table(placed_members(sets, clusters, F.col("_n") * 8), "placed")
+    moved = ("node", "root", "_n", "_bands", "_blocks", "_block")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -208,34 +273,25 @@ def confirmed_links(
             wanted = part.column("_wanted").to_pylist()
             # Rows that share a key with another text are not the ones looked for.
             same = [hashlib.blake2b(s, digest_size=16).digest() == w for s, w in zip(found, wanted, strict=True)]
-            kept = pa.array(same)
-            columns = [part.column(name).filter(kept) for name in ("node", "root", "_blocks", "_block")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(found, pa.binary()).filter(kept)],
-                names=["node", "root", "_blocks", "_block", "_values"],
-            )
+            kept = pa.array(same, pa.bool_())
+            columns = [part.column(name).filter(kept) for name in moved]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.binary()).filter(kept)], names=[*moved, "_values"])
 
     narrow = id_and_bytes(docs, key, text).withColumn("_id", F.coalesce("_id", F.lit(NO_ID)))
     # The same join at every size: the list grows with the documents.
-    texts = narrow.join(placed.hint("merge"), F.col("_id") == F.col("node")).drop("_id")
-    full = texts.mapInArrow(build, "node bigint, root bigint, _blocks int, _block int, _values binary")
-    meeting = full.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
-        "node", "root", "_block", "_values",
-        F.least("_block", "_other").alias("_low"), F.greatest("_block", "_other").alias("_high"),
+    texts = narrow.join(placed.hint("merge"), F.col("_id") == F.col("node")).select("_text", "_wanted", *moved)
+    full = texts.mapInArrow(
+        build, "node bigint, root bigint, _n bigint, _bands array<bigint>, _blocks int, _block int, _values binary"
     )
 
     def link(table: pa.Table) -> pa.Table:
-        low, high = table.column("_low")[0].as_py(), table.column("_high")[0].as_py()
-        ids = np.array(table.column("node").to_pylist(), np.int64)
-        block = np.array(table.column("_block").to_pylist())
+        sides, rows = _sides(table)
+        if table.num_rows < 2 or not all(len(at) for at in rows):
+            return _pairs([])
         values = [np.frombuffer(raw.as_buffer(), np.uint64) for raw in table.column("_values")]
-        sides = [(ids[block == b], [values[i] for i in np.flatnonzero(block == b)]) for b in (low, high)]
-        found = block_links(sides, percent) if min(len(sides[0][0]), len(sides[1][0]), table.num_rows - 1) else []
-        return pa.table(
-            {"u": pa.array([u for u, _ in found], pa.int64()), "v": pa.array([v for _, v in found], pa.int64())}
-        )
+        return _pairs(block_links(sides, [[values[i] for i in at] for at in rows], percent))
 
-    return meeting.groupBy("root", "_low", "_high").applyInArrow(link, "u bigint, v bigint")
+    return meeting_blocks(full).groupBy("root", "_low", "_high").applyInArrow(link, "u bigint, v bigint")
 
 
 def near_groups(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,9 +310,12 @@ def near_groups(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: s
     """
     sketched = work_table(sketches(docs, key, text), "sketches")
     filled = sketched.where("_n > 0")
-    equal = filled.groupBy("_set").agg(F.min("_id").alias("_rep"), F.first("_bands").alias("_bands"))
+    equal = filled.groupBy("_set").agg(
+        F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands")
+    )
     sets = work_table(equal, "sets")
-    clusters = components(coarse_links(sets))
+    # Buckets tie whatever meets in one; registers then part what only shares a template, before any full set moves.
+    clusters = components(likely_links(sets, components(coarse_links(sets)), percent))
     # A representative may stand for two sets, when rows with one key differ; its links hold for the key.
     links = components(confirmed_links(docs, sets, clusters, percent, key, text).unionByName(_same_key(filled)))
     of_set = sets.join(links, F.col("_rep") == F.col("node"), "left").select(
@@ -283,7 +342,13 @@ def _same_key(filled: DataFrame) -> DataFrame:
 
 
 def keep_one_each(docs: DataFrame, percent: int = 85, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document of each group that is kept, with the columns it came with; rows with one key stay or go together."""
+    """The document of each group that is kept, with the columns it came with; rows with one key stay or go together.
+
+    Texts that are null or empty, or have no words, are near copies of nothing
+    and all stay; a null key is the smallest of its group, so that it stays;
+    whole texts of any length are compared; an empty table stays empty, and
+    columns of any name or type are carried along.
+    """
     found = near_groups(docs, percent, key, text).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     rows = packed(docs, _id=key).withColumn("_id", F.col("_id").cast("bigint"))
     return rows.join(found.hint("merge"), F.col("_id").eqNullSafe(F.col("_kept")), "left_semi").select("_row.*")

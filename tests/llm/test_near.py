@@ -132,7 +132,41 @@ def test_shared_counts_of_very_long_sets_are_exact():
     parts = next(m for m in range(39_480, 40_000) if int(np.float32(1_700 * m)) < 1_700 * m)
     hashes = np.unique(np.random.default_rng(3).integers(0, 1 << 62, 20 * parts + 1_000, np.uint64))[: 20 * parts]
     shared = 17 * parts
-    sides = [(np.array([1]), [hashes]), (np.array([2]), [hashes[:shared]])]
-    assert near.shared_counts(sides[0][1], sides[1][1]).tolist() == [[shared]]
-    assert near.block_links(sides, 85) == [(1, 2)]
-    assert near.block_links([sides[0], (np.array([2]), [hashes[: shared - 1]])], 85) == []
+    values = [[hashes], [hashes[:shared]], [hashes[: shared - 1]]]
+    sides = [(np.array([i]), np.array([float(len(s[0]))]), near.registers(s)) for i, s in enumerate(values, 1)]
+    assert near.shared_counts(values[0], values[1]).tolist() == [[shared]]
+    assert near.block_links(sides[:2], values[:2], 85) == [(1, 2)]
+    assert near.block_links(sides[::2], values[::2], 85) == []
+
+
+def test_registers_come_back_from_band_keys():
+    made = np.random.default_rng(5)
+    values = near.registers([made.integers(0, 1 << 63, n, dtype=np.uint64) for n in (1, 7, 5_000)])
+    assert (near.band_registers(near.band_keys(values).tolist()) == values).all()
+
+
+def template_pages(pages, links):
+    """Pages of 200 common words and 120 of their own, none linked; some come again with a word changed."""
+    made = random.Random(4)
+    common = [f"c{i}" for i in range(200)]
+    texts = [" ".join([*common, *(f"p{n}x{i}" for i in range(120))]) for n in range(pages)]
+    return texts + [t.replace("x60", f"y{made.randrange(9)}") for t in texts[:links]]
+
+
+def test_pages_of_one_template_move_no_set(spark):
+    texts = template_pages(600, 0)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(6)
+    sets = near.sketches(docs).withColumnRenamed("_id", "_rep")
+    coarse = components(near.coarse_links(sets))
+    assert coarse.count() > 500  # shared buckets tie nearly all of them
+    assert near.likely_links(sets, coarse, 85).count() == 0
+
+
+@pytest.mark.parametrize("limits", [(1_024, 32_000_000), (50, 32_000_000), (1_024, 40_000)])
+def test_template_pages_with_copies(spark, monkeypatch, limits):
+    monkeypatch.setattr(near, "BLOCK_SETS", limits[0])
+    monkeypatch.setattr(near, "BLOCK_BYTES", limits[1])
+    texts = template_pages(300, 60)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(6)
+    found = {r.doc_id: r.component_id for r in near.near_groups(docs).collect()}
+    assert found == {i: i if i < 300 else i - 300 for i in range(360)}
