@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_SCORE = 0.8
+SENTENCE_END = r"[.!?][\x20\x09-\x0D]+"
 
 # Customary statements and opening paragraphs of public licences, by SPDX name.
 TEMPLATES: list[tuple[str, str]] = [
@@ -34,10 +35,31 @@ TEMPLATES: list[tuple[str, str]] = [
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
     ),
+    (
+        "GPL-2.0",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version.",
+    ),
+    (
+        "LGPL-2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at "
+        "your option) any later version.",
+    ),
+    (
+        "AGPL-3.0",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version.",
+    ),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "This work is released under the Creative Commons CC0 1.0 Universal Public Domain Dedication."),
     ("BSD-3-Clause", "Released under the 3-Clause BSD License."),
@@ -58,6 +80,21 @@ TEMPLATES: list[tuple[str, str]] = [
         "granted, provided that the above copyright notice and this permission notice appear in all copies.",
     ),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("LGPL-2.1", "SPDX-License-Identifier: LGPL-2.1-or-later"),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-or-later"),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-or-later"),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("CC-BY-4.0", "SPDX-License-Identifier: CC-BY-4.0"),
 ]
 
 
@@ -75,6 +112,17 @@ def size_bounds(size: int, score: float) -> tuple[int, int]:
     return math.ceil(size * score / (2 - score) - 1e-9), math.floor(size * (2 - score) / score + 1e-9)
 
 
+def key_bigrams(grams: list[str], score: float) -> list[str]:
+    """Bigrams of a template of which every set that reaches the score holds one.
+
+    Such a set shares at least the lower size bound, so it misses no more than
+    the others; of one bigram more than that it must hold some. Those with the
+    longest words are taken, which are the rarest in other text.
+    """
+    missed = len(grams) - size_bounds(len(grams), score)[0]
+    return sorted(grams, key=lambda gram: (-max(map(len, gram.split())), gram))[: missed + 1]
+
+
 def scan_licenses(
     docs: DataFrame,
     templates: list[tuple[str, str]] | None = None,
@@ -82,19 +130,24 @@ def scan_licenses(
     key: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """Per document: ``doc_id``, ``matches`` (name and score of every template reached, best first) by line or paragraph.
-
-    Every line, and every paragraph between empty lines, of the whole text is
-    normalised to words of a-z and 0-9 and compared as a set of word bigrams.
-    A unit whose number of bigrams is out of the bounds of a template is not
-    compared with it, nor is one looked at whose number of words, which is
-    above that of its bigrams, is below all bounds. Templates are a parameter,
+    """Per document: ``doc_id``, ``matches`` (name and best score of each licence found, best first).
+
+    Units are every line, every sentence, and every paragraph between empty
+    lines of the whole text. Each is normalised to words of a-z and 0-9 and
+    compared as a set of word bigrams; it counts for the template with the
+    highest score, at a tie for the larger name. A unit whose number of bigrams
+    is out of the bounds of a template is not compared with it, nor is one
+    looked at whose number of words, which is above that of its bigrams, is
+    below all bounds. A text that has none of the bigrams without which no
+    template can be reached is not cut into units. Templates are a parameter,
     held in the plan. Null and empty texts match nothing; repeated rows and
-    null keys each give a row. No shuffle.
+    null keys each give a row; other columns are not read. No shuffle.
     """
     known = [(name, bigrams(word_list(body))) for name, body in (TEMPLATES if templates is None else templates)]
     known = [(name, grams, *size_bounds(len(grams), min_score)) for name, grams in known if grams]
     value = F.coalesce(F.col(text), F.lit(""))
+    keys = sorted({gram.replace(" ", "[^A-Za-z0-9]+") for _, grams, *_ in known for gram in key_bigrams(grams, min_score)})
+    possible = F.col("_t").rlike(f"(?i)(?<![A-Za-z0-9])(?:{'|'.join(keys)})(?![A-Za-z0-9])") if keys else F.lit(False)
     lowest = min((low for *_, low, _ in known), default=1)
 
     def words(unit: Column) -> Column:
@@ -115,13 +168,21 @@ def scan_licenses(
                 F.struct(score.alias("score"), F.lit(name).alias("name")),
             )
 
-        return F.array(*(match(*template) for template in known))
+        none = F.lit(None).cast("struct<score: double, name: string>")
+        return F.array_max(F.array(none, *(match(*template) for template in known)))
+
+    def above(other: Column, one: Column) -> Column:
+        return (other["name"] == one["name"]) & (other["score"] > one["score"])
 
-    units = F.concat(F.split("_t", "\n", -1), F.split("_t", r"\n[\x20\x09-\x0D]*\n", -1))
+    units = F.concat(
+        F.split("_t", "\n", -1), F.split("_t", SENTENCE_END, -1), F.split("_t", r"\n[\x20\x09-\x0D]*\n", -1)
+    )
+    cut = F.when(possible, F.array_distinct(units)).otherwise(F.array())
     return (
         docs.select(F.col(key).cast("bigint").alias("doc_id"), value.alias("_t"))
-        .withColumn("_u", F.filter(F.transform(F.array_distinct(units), words), lambda u: F.size(u) > lowest))
+        .withColumn("_u", F.filter(F.transform(cut, words), lambda u: F.size(u) > lowest))
         .withColumn("_g", F.transform("_u", grams_of))
-        .withColumn("_m", F.array_compact(F.flatten(F.transform("_g", found))))
-        .select("doc_id", F.sort_array(F.array_distinct("_m"), asc=False).alias("matches"))
+        .withColumn("_m", F.array_compact(F.transform("_g", found)))
+        .withColumn("_d", F.sort_array(F.array_distinct("_m"), asc=False))
+        .select("doc_id", F.filter("_d", lambda m: ~F.exists("_d", lambda o: above(o, m))).alias("matches"))
     )

@@ -27,6 +27,7 @@ def _license() -> str:
     units AS (
       SELECT doc_id, unnest(list_distinct(list_concat(
         string_split(coalesce(text, ''), chr(10)),
+        string_split_regex(coalesce(text, ''), '[.!?][\\x20\\x09-\\x0D]+'),
         string_split_regex(coalesce(text, ''), '\\n[\\x20\\x09-\\x0D]*\\n')))) AS u
       FROM documents),
     cut AS (
@@ -34,10 +35,13 @@ def _license() -> str:
     sets AS (
       SELECT doc_id, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM cut),
     scored AS (
-      SELECT doc_id, name,
+      SELECT doc_id, g, name,
         len(list_intersect(g, grams)) * 2.0::DOUBLE / (len(g) + len(grams)) AS score
       FROM sets, templates WHERE len(g) > 0),
-    matched AS (SELECT DISTINCT doc_id, name, score FROM scored WHERE score >= {license.MIN_SCORE}::DOUBLE),
+    places AS (
+      SELECT doc_id, max({{'score': score, 'name': name}}) AS m
+      FROM scored WHERE score >= {license.MIN_SCORE}::DOUBLE GROUP BY doc_id, g),
+    matched AS (SELECT doc_id, m.name AS name, max(m.score) AS score FROM places GROUP BY doc_id, m.name),
     best AS (
       SELECT doc_id, count(*) AS n, max({{'score': score, 'name': name}}) AS top,
         array_to_string(list_sort(list_distinct(list(name))), ',') AS names
