@@ -1,11 +1,16 @@
 """A hierarchical Pitman-Yor language model: restaurants by context share a parent, seating is sampled by Gibbs.
 
-The contexts of a token are three deep: all text, its language, and in a
-language the kind of token before it. A restaurant gives a word
+The contexts of a token are four deep: all text, its language, in a language
+the kind of token before it, and that token itself. A restaurant gives a word
 ``(c - d t + (theta + d T) p) / (theta + C)``: ``c`` of its ``C`` customers eat
 the word at ``t`` of its ``T`` tables, and ``p`` is the word's probability in
 the parent, in which each of those tables is a customer. Above them all each
 word has the same probability.
+
+Texts are numbered once, in batches of one language. A pair of neighbouring
+words goes from each batch to a shard by its hash, and its count comes back;
+one of its batches owns it, and seats its customers. All else that a batch
+needs of others is by word.
 """
 
 from __future__ import annotations
@@ -18,6 +23,8 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +35,8 @@ END = b""  # no word is empty
 KINDS = [b" ", b"\t", b"\n", b"\r"]  # of the token before: none, one that ends a sentence, a short one, another
 STOPS = (b".", b"!", b"?", b":", b";")
 SHORT = 3
-BATCH_DOCS = 4_096
-HELD_ENTRIES = 600_000
+HELD_WORDS, HELD_TOKENS = 600_000, 3_000_000
+SHARD_PAIRS = 4_000_000
 THETA = 1.0
 BURN_IN, SAMPLES = 2, 4
 EXACT_SEATS = 24
@@ -74,7 +81,9 @@ class Tally:
         self.trained = self.others = np.zeros(0, np.int64)
 
     def add(self, trained: list[bytes], others: list[bytes]) -> None:
-        rows = [word_numbers(texts, self.numbers) for texts in (trained, others)]
+        self.count([word_numbers(texts, self.numbers) for texts in (trained, others)])
+
+    def count(self, rows: list[np.ndarray]) -> None:
         kinds = kinds_of(pa.array(list(self.numbers), pa.binary()))
         size = len(kinds) * len(KINDS)
         counts = [np.bincount(in_context(row, kinds), minlength=size) for row in rows]
@@ -103,51 +112,211 @@ def in_training(key: Column, folds: int = 7, held_out: int = 2) -> Column:
 
 
 def prepared(docs: DataFrame, key: str, text: str, stratum: str) -> DataFrame:
-    """The rows that the tasks read. Documents are dealt to batches by their key, in the order in which most tables are."""
+    """The rows that the tasks read."""
     return docs.select(
         F.coalesce(F.col(key).cast("bigint"), F.lit(NO_ID)).alias("_id"),
-        F.coalesce(F.floor(F.col(key).cast("bigint") / BATCH_DOCS), F.lit(-1)).cast("bigint").alias("_batch"),
         F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("_lang"),
         in_training(F.col(key)).alias("_train"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("_text"),
     )
 
 
-def batch_counts(rows: DataFrame) -> DataFrame:
-    """Per batch of documents, language and token in context: ``n``, its count in training documents, also if 0."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tallies: dict = defaultdict(Tally)
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            for place in list(tallies):
-                yield tallies.pop(place).batch(*place)
+class Batch:
+    """Documents of one language as numbers of words: tokens in one row, and the different pairs of neighbours in order."""
+
+    def __init__(self, lang: str, names: bytes, row: bytes, train: bytes) -> None:
+        self.lang, self.names = lang, names.split(b" ")
+        self.kinds = kinds_of(pa.array(self.names, pa.binary()))
+        self.row = np.frombuffer(row, "<u4").astype(np.int64)
+        self.ends = np.flatnonzero(self.row == 0)
+        self.trained = np.repeat(np.frombuffer(train, bool), np.diff(self.ends, prepend=-1))
+        self.paired = self.row.copy()
+        self.paired[1:] += self.row[:-1] * len(self.kinds)
+        self.pairs = np.unique(self.paired)
+        self.before, self.word = np.divmod(self.pairs, len(self.kinds))
+        self.entries, self.entry = np.unique(self.word * len(KINDS) + self.kinds[self.before], return_inverse=True)
+
+    def own_counts(self) -> np.ndarray:
+        """How often each pair occurs in the training documents of this batch."""
+        return np.bincount(np.searchsorted(self.pairs, self.paired[self.trained]), minlength=len(self.pairs))
+
+    def dealt(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each pair as 64 bits that are the same in all batches of the language, its shard, and the order by shard."""
+        seed = xxhash.xxh3_64_intdigest(self.lang.encode())
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(name, seed) for name in self.names), np.uint64, len(self.names))
+        keys = (hashes[self.before] * MIX[0]) ^ (hashes[self.word] + MIX[1])
+        keys = (keys ^ (keys >> np.uint64(30))) * MIX[2]
+        keys ^= keys >> np.uint64(31)
+        shard = (keys % np.uint64(shards)).astype(np.int64)
+        return keys, shard, np.argsort(shard, kind="stable")
+
+    def totals(self, answers: list[dict], shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the shards answered: each pair's count in training, and whether it is this batch's to seat."""
+        coded = np.frombuffer(b"".join(a["_small"] for a in answers), np.uint8).astype(np.int64)
+        coded[coded == 255] = np.frombuffer(b"".join(a["_large"] for a in answers), "<i8")
+        found = np.empty(len(coded), np.int64)
+        found[self.dealt(shards)[2]] = coded
+        return found >> 1, found & 1 == 1
+
+
+MIX = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xBF58476D1CE4E5B9)]
+
+
+def numbered_batches(rows: DataFrame) -> DataFrame:
+    """The texts as numbers: a row per batch, with its documents one after the other, its words, and how many pairs it has."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = TaskContext.get().partitionId() << 32
+        held: dict = {}
+
+        def taken() -> Iterator[pa.RecordBatch]:
+            nonlocal place
+            for lang, (numbers, ids, train, parts) in held.items():
+                names = b" ".join(numbers)
+                row = np.concatenate(parts).astype("<u4").tobytes()
+                flags = np.array(train, bool).tobytes()
+                pairs = len(Batch(lang, names, row, flags).pairs)
+                values = (place, lang, np.array(ids, "<i8").tobytes(), flags, row, names, pairs)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([v], k) for v, k in zip(values, BATCH_KINDS, strict=True)], names=BATCH_NAMES
+                )
+                place += 1
+            held.clear()
 
         for part in slices(batches):
-            columns = (part.column(name).to_pylist() for name in ("_batch", "_lang", "_train", "_text"))
-            texts: dict = defaultdict(lambda: ([], []))
-            for batch, lang, train, raw in zip(*columns, strict=True):
-                texts[batch, lang][0 if train else 1].append(raw)
+            texts: dict = defaultdict(lambda: ([], [], []))
+            columns = (part.column(name).to_pylist() for name in ("_lang", "_id", "_train", "_text"))
+            for lang, *fields in zip(*columns, strict=True):
+                for column, value in zip(texts[lang], fields, strict=True):
+                    column.append(value)
             with without_collector():
-                for place, (trained, others) in texts.items():
-                    tallies[place].add(trained, others)
-            if sum(len(tally.numbers) for tally in tallies.values()) > HELD_ENTRIES:
-                yield from counted()
-        yield from counted()
-
-    return rows.select("_batch", "_lang", "_train", "_text").mapInArrow(
-        count, "_batch bigint, _lang string, _token binary, _n bigint"
+                for lang, (ids, train, raws) in texts.items():
+                    numbers, all_ids, all_train, parts = held.setdefault(lang, (Numbers(), [], [], []))
+                    parts.append(word_numbers(raws, numbers).astype(np.uint32))
+                    all_ids += ids
+                    all_train += train
+            sizes = [(len(numbers), sum(map(len, parts))) for numbers, _, _, parts in held.values()]
+            if sum(n for n, _ in sizes) > HELD_WORDS or sum(n for _, n in sizes) > HELD_TOKENS:
+                yield from taken()
+        yield from taken()
+
+    return rows.mapInArrow(number, BATCH_SCHEMA)
+
+
+BATCH_NAMES = ["_batch", "_lang", "_ids", "_train", "_row", "_names", "_pairs"]
+BATCH_KINDS = [pa.int64(), pa.string(), *[pa.binary()] * 4, pa.int64()]
+BATCH_SCHEMA = "_batch bigint, _lang string, _ids binary, _train binary, _row binary, _names binary, _pairs bigint"
+
+
+def opened(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Batch]]:
+    """The number of each batch, and the batch."""
+    for i in range(rows.num_rows):
+        place, *fields = (rows.column(n)[i].as_py() for n in ("_batch", "_lang", "_names", "_row", "_train"))
+        yield place, Batch(*fields)
+
+
+def pair_totals(batches: DataFrame, shards: int) -> DataFrame:
+    """Per batch and shard, in the order of the batch's keys: each pair's count in training, twice, and one more for its owner.
+
+    Counts of up to 127 take a byte each, ``_large`` has the others in order.
+    ``_once`` and ``_twice`` are how many owned pairs have one and two customers.
+    """
+
+    def deal(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in rows:
+            for place, batch in opened(part):
+                keys, of, order = batch.dealt(shards)
+                counts = batch.own_counts().astype("<u4")
+                edges = np.searchsorted(of[order], np.arange(shards + 1)).tolist()
+                keys, counts = keys[order], counts[order]
+                found = [(s, keys[a:b].tobytes(), counts[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "_batch": pa.array([place] * len(found), pa.int64()),
+                        "_shard": pa.array([f[0] for f in found], pa.int64()),
+                        "_keys": pa.array([f[1] for f in found], pa.binary()),
+                        "_counts": pa.array([f[2] for f in found], pa.binary()),
+                    }
+                )
+
+    def count(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_batch")
+        parts = [np.frombuffer(keys, np.uint64) for keys in table.column("_keys").to_pylist()]
+        own = np.frombuffer(b"".join(table.column("_counts").to_pylist()), "<u4")
+        _, first, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, inverse, own)
+        coded = 2 * total[inverse]
+        coded[first] += 1
+        answers: list[list] = [[], [], [], []]
+        for mine in np.split(coded, np.cumsum(list(map(len, parts)))[:-1]):
+            values = np.minimum(mine, 255).astype(np.uint8).tobytes(), mine[mine >= 255].astype("<i8").tobytes()
+            for column, value in zip(answers, (*values, int((mine == 3).sum()), int((mine == 5).sum())), strict=True):
+                column.append(value)
+        kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        return pa.Table.from_arrays(
+            [table.column("_batch"), table.column("_shard"), *(pa.array(c, k) for c, k in zip(answers, kinds, strict=True))],
+            names=["_batch", "_shard", "_small", "_large", "_once", "_twice"],
+        )
+
+    dealt = batches.mapInArrow(deal, "_batch bigint, _shard bigint, _keys binary, _counts binary")
+    counted = dealt.groupBy("_shard").applyInArrow(
+        count, "_batch bigint, _shard bigint, _small binary, _large binary, _once bigint, _twice bigint"
+    )
+    return counted.groupBy("_batch").agg(
+        F.sort_array(F.collect_list(F.struct("_shard", "_small", "_large"))).alias("_totals"),
+        F.sum("_once").alias("_once"),
+        F.sum("_twice").alias("_twice"),
+    )
+
+
+def context_rows(batches: DataFrame, shards: int) -> DataFrame:
+    """Per batch and token in context: ``_n``, its count in training documents, also if 0, ``_m``, the pairs that send a
+    customer to it, and ``_t``, the tables of its word's own restaurant, once per word; both as with one table per owned pair."""
+
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in rows:
+            for i, (place, batch) in enumerate(opened(part)):
+                yield counted(place, batch, *batch.totals(part.column("_totals")[i].as_py(), shards))
+
+    def counted(place: int, batch: Batch, total: np.ndarray, owned: np.ndarray) -> pa.RecordBatch:
+        tally, words = Tally(), len(batch.names)
+        tally.numbers.update(zip(batch.names, range(words), strict=True))
+        tally.count([batch.row[batch.trained], batch.row[~batch.trained]])
+        found = tally.batch(place, batch.lang)
+        seated = owned & (total > 0)
+        customers = np.bincount(batch.entry[seated], minlength=len(batch.entries))
+        tables = per_word(batch, np.bincount(batch.before[seated], minlength=words))
+        several = owned & (total > 1)
+        asked = np.bincount(batch.entry[several], minlength=len(batch.entries)) > 0
+        asked |= per_word(batch, np.bincount(batch.before[several], minlength=words)) > 0
+        return pa.RecordBatch.from_arrays(
+            [*found.columns, pa.array(np.arange(len(batch.entries))), pa.array(customers), pa.array(tables), pa.array(asked)],
+            names=[*found.schema.names, "_at", "_m", "_t", "_asked"],
+        )
+
+    return batches.mapInArrow(
+        count, "_batch bigint, _lang string, _token binary, _n bigint, _at bigint, _m bigint, _t bigint, _asked boolean"
     )
 
 
+def per_word(batch: Batch, values: np.ndarray) -> np.ndarray:
+    """Values of words, each at the first of the word's entries and 0 at the others."""
+    word = batch.entries // len(KINDS)
+    return np.where(np.diff(word, prepend=-1) != 0, values[word], 0)
+
+
 def word_rows(counts: DataFrame) -> DataFrame:
-    """One row per word with its leaves: language, kind before, and count. A word has a leaf per context at most."""
-    leaves = counts.groupBy("_lang", "_token").agg(F.sum("_n").alias("_n"))
+    """One row per word with its leaves: language, kind before, customers ``_n``, count in training ``_seen``, and the
+    tables ``_seats`` of the restaurant after the word. A word has a leaf per language and kind at most."""
+    leaves = counts.groupBy("_lang", "_token").agg(
+        F.sum("_m").alias("_n"), F.sum("_n").alias("_seen"), F.sum("_t").alias("_seats")
+    )
     size = F.length("_token")
     return (
         leaves.select(
             F.substring("_token", F.lit(1), size - 1).alias("_word"),
-            F.struct("_lang", F.substring("_token", size, F.lit(1)).alias("_kind"), "_n").alias("_leaf"),
+            F.struct("_lang", F.substring("_token", size, F.lit(1)).alias("_kind"), "_n", "_seen", "_seats").alias("_leaf"),
         )
         .groupBy("_word")
         .agg(F.collect_list("_leaf").alias("_leaves"))
@@ -194,6 +363,32 @@ def draw_tables(counts: np.ndarray, weight: np.ndarray, discount: float, table:
     return tables
 
 
+def mean_tables(counts: np.ndarray, weight: np.ndarray, discount: float, table: np.ndarray) -> np.ndarray:
+    """The mean of what ``draw_tables`` draws: exact up to ``EXACT_SEATS`` customers, above with groups that choose by the mean."""
+    seated = np.minimum(counts, EXACT_SEATS)
+    mean = np.minimum(counts, 1).astype(float)
+    log_weight = np.log(np.maximum(weight, 1e-300))
+    for c in range(2, EXACT_SEATS + 1):
+        at = np.flatnonzero(seated == c)
+        if len(at):
+            options = np.arange(1, c + 1) * log_weight[at, None] + table[c, 1 : c + 1]
+            odds = np.exp(options - options.max(1, keepdims=True))
+            mean[at] = odds @ np.arange(1, c + 1) / odds.sum(1)
+    at = np.flatnonzero(counts > EXACT_SEATS)
+    done = seated[at]
+    while len(at):
+        group = np.minimum(np.maximum(done // 8, 1), counts[at] - done)
+        mean[at] += group * np.clip(weight[at] / (weight[at] + done - discount * mean[at]), 0, 1)
+        done = done + group
+        more = done < counts[at]
+        at, done = at[more], done[more]
+    return mean
+
+
+def discount_of(once: int, twice: int) -> float:
+    return min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+
+
 class Totals:
     """Per restaurant its customers and tables, and per level the discount: small tables, one row per context."""
 
@@ -204,7 +399,7 @@ class Totals:
         for level in (0, 1, 2):
             once = sum(r.once for r in rows if r.level == level)
             twice = sum(r.twice for r in rows if r.level == level)
-            self.discounts[level] = min(max(once / (once + 2 * twice), 0.1), 0.95) if once else 0.5
+            self.discounts[level] = discount_of(once, twice)
 
     def of(self, level: int, contexts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [self.contexts.get((level, c), (0.0, 0.0)) for c in contexts]
@@ -220,6 +415,9 @@ class Seating:
         self.word = np.repeat(np.arange(len(leaves)), np.diff(leaves.offsets.to_numpy()))
         self.langs, self.kinds = flat.field("_lang").to_pylist(), flat.field("_kind").to_pylist()
         self.counts = flat.field("_n").to_numpy().astype(np.int64)
+        # Customers that come from no restaurants of words are tokens.
+        own = {field.name for field in flat.type}
+        self.seen, self.seats = (flat.field(n if n in own else "_n").to_numpy().astype(np.int64) for n in ("_seen", "_seats"))
         langs, lang = np.unique(np.array(self.langs, object).astype(str), return_inverse=True)
         places, place = np.unique(np.array([f"{k.decode()}{x}" for x, k in zip(self.langs, self.kinds, strict=True)]), return_inverse=True)
         self.lang_names, self.place_names, self.place = langs.tolist(), places.tolist(), place
@@ -263,7 +461,7 @@ class Seating:
         return [(top[0][0], top[1][0]), middle, totals.of(2, self.place_names)]
 
     def predictive(self, totals: Totals) -> np.ndarray:
-        """The probability of the word at each leaf under this seating."""
+        """The probability of the word at each leaf under this seating, and with one of its customers gone."""
         d0, d1, d2 = (totals.discounts[i] for i in (0, 1, 2))
         (c0, t0), (c1, t1), (c2, t2) = self._totals(totals)
         top = (self.top_counts - d0 * self.top_tables + (THETA + d0 * t0) * totals.base) / (THETA + c0)
@@ -271,7 +469,8 @@ class Seating:
         middle = (
             self.middle_counts - d1 * self.middle_tables + (THETA + d1 * t1[lang]) * top[self.top]
         ) / (THETA + c1[lang])
-        own = self.counts - d2 * self.leaf_tables
+        rest = np.maximum(self.counts - 1, 0)
+        own = np.array([self.counts - d2 * self.leaf_tables, rest - d2 * np.minimum(self.leaf_tables, rest)])
         return (own + (THETA + d2 * t2[self.place]) * middle[self.middle]) / (THETA + c2[self.place])
 
     def summary(self) -> pa.RecordBatch:
@@ -320,8 +519,12 @@ def seating_totals(word_table: DataFrame, vocabulary: int, before: Totals | None
     return Totals(found.collect(), vocabulary)  # one row per context
 
 
-def predictive_rows(word_table: DataFrame, totals: Totals) -> DataFrame:
-    """Per language and token in context: ``c``, the word's count in training, and ``p``, averaged over seatings."""
+def predictive_rows(word_table: DataFrame, totals: Totals, samples: int = SAMPLES) -> DataFrame:
+    """Per language and token in context: ``_c``, the word's count in training, and ``_p``, averaged over ``samples`` seatings.
+
+    ``_q`` is the same with one customer gone. ``_heads`` and ``_seats`` are the
+    customers and tables of the restaurant after the word.
+    """
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seats = [seat_table(totals.discounts[level]) for level in (0, 1, 2)]
@@ -329,20 +532,83 @@ def predictive_rows(word_table: DataFrame, totals: Totals) -> DataFrame:
             if not batch.num_rows:
                 continue
             seating, rng = Seating(batch), _seeded(batch, 2)
-            mean = np.zeros(len(seating.counts))
-            for step in range(BURN_IN + SAMPLES):
+            mean = np.zeros((2, len(seating.counts)))
+            for step in range(BURN_IN + samples):
                 seating.sweep(totals, seats, rng)
                 if step >= BURN_IN:
-                    mean += seating.predictive(totals) / SAMPLES
-            c = np.bincount(seating.word, seating.counts, seating.words).astype(np.int64)
+                    mean += seating.predictive(totals) / samples
+            c = np.bincount(seating.word, seating.seen, seating.words).astype(np.int64)
+            after = [np.bincount(seating.middle, v).astype(np.int64)[seating.middle] for v in (seating.seen, seating.seats)]
             names = batch.column("_word").to_pylist()
             tokens = [names[w] + k for w, k in zip(seating.word, seating.kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(seating.langs, pa.string()), pa.array(tokens, pa.binary()), pa.array(c[seating.word]), pa.array(mean)],
-                names=["_l", "_t", "_c", "_p"],
+                [pa.array(seating.langs, pa.string()), pa.array(tokens, pa.binary()), *map(pa.array, (c[seating.word], *mean, *after))],
+                names=["_l", "_t", "_c", "_p", "_q", "_heads", "_seats"],
             )
 
-    return word_table.mapInArrow(predict, "_l string, _t binary, _c bigint, _p double")
+    return word_table.mapInArrow(predict, "_l string, _t binary, _c bigint, _p double, _q double, _heads bigint, _seats bigint")
+
+
+def looked_up(counts: DataFrame, model: DataFrame, *columns: str) -> DataFrame:
+    """What the model says of the tokens in context of each batch, by their place in the batch."""
+    needed = counts.select(F.col("_batch").alias("_of"), F.col("_at").cast("int").alias("_at"), "_lang", "_token")
+    found = needed.join(model, (F.col("_token") == F.col("_t")) & (F.col("_lang") == F.col("_l")))
+    chances = {"_p", "_q"}
+    return found.select("_of", "_at", *(F.col(c).cast("float").alias(c) if c in chances else F.col(c) for c in columns))
+
+
+def entry_values(batch: Batch, dictionary: pa.Table, *columns: str) -> list[np.ndarray]:
+    """Columns of ``looked_up`` by place in the batch, 0 where a place was not looked up."""
+    at = dictionary.column("_at").to_numpy()
+    values = []
+    for name in columns:
+        found = dictionary.column(name).to_numpy()
+        values.append(np.zeros(len(batch.entries), np.float64 if found.dtype == np.float32 else found.dtype))
+        values[-1][at] = found
+    return values
+
+
+def by_word(batch: Batch, values: np.ndarray) -> np.ndarray:
+    """The values of words that ``per_word`` put to their first entries."""
+    word = batch.entries // len(KINDS)
+    found = np.zeros(len(batch.names), values.dtype)
+    first = np.diff(word, prepend=-1) != 0
+    found[word[first]] = values[first]
+    return found
+
+
+def seated_pairs(batches: DataFrame, asked: DataFrame, discount: float, shards: int) -> DataFrame:
+    """A sweep over the restaurants of words: each batch seats the customers of its pairs anew.
+
+    Per token in context ``_m``, how many customers more than one per pair are
+    sent to it, and ``_t``, how many tables more the restaurant after it has.
+    What others hold is that of the sweep before, in which each pair had a table.
+    """
+
+    def seat(key: tuple, rows: pa.Table, dictionary: pa.Table) -> pa.Table:
+        found: list[pa.Table] = []
+        for i, (place, batch) in enumerate(opened(rows)):
+            total, owned = batch.totals(rows.column("_totals")[i].as_py(), shards)
+            chance, tables = entry_values(batch, dictionary, "_q", "_seats")
+            at = np.flatnonzero(owned & (total > 1))
+            weight = (THETA + discount * by_word(batch, tables)[batch.before[at]]) * chance[batch.entry[at]]
+            drawn = draw_tables(total[at], weight, discount, seat_table(discount), np.random.default_rng([3, place])) - 1
+            more = np.bincount(batch.entry[at], drawn, len(batch.entries)).astype(np.int64)
+            after = per_word(batch, np.bincount(batch.before[at], drawn, len(batch.names)).astype(np.int64))
+            kept = np.flatnonzero(more + after)
+            word, kind = np.divmod(batch.entries[kept], len(KINDS))
+            tokens = [batch.names[w] + KINDS[k] for w, k in zip(word.tolist(), kind.tolist(), strict=True)]
+            found.append(pa.table(
+                {
+                    "_lang": pa.array([batch.lang] * len(kept), pa.string()), "_token": pa.array(tokens, pa.binary()),
+                    "_m": pa.array(more[kept]), "_t": pa.array(after[kept]),
+                }
+            ))
+        empty = pa.schema([("_lang", pa.string()), ("_token", pa.binary()), ("_m", pa.int64()), ("_t", pa.int64())])
+        return pa.concat_tables(found) if found else empty.empty_table()
+
+    grouped = batches.groupBy("_batch").cogroup(asked.groupBy("_of"))
+    return grouped.applyInArrow(seat, "_lang string, _token binary, _m bigint, _t bigint")
 
 
 def score_documents(
@@ -357,62 +623,66 @@ def score_documents(
     by the checksum of the empty text; repeated rows count as often as they
     occur; a null language is one of its own; an empty table gives no rows.
 
-    Words travel as one row per batch of documents and context, to the model
-    and back to the texts of that batch. No table of words is ever whole in one
-    place, and no group holds more than a batch.
+    Words travel as one row per batch of documents and context, and pairs of
+    words as hashes in arrays, to the model and back. No table of words or of
+    pairs is ever whole in one place, and no group holds more than a batch or a
+    shard. Pairs are told apart by 64 bits.
     """
     rows = prepared(docs, key, text, stratum)
-    counts = work_table(batch_counts(rows), "counts")
+    numbered = work_table(numbered_batches(rows), "batches")
+    shards = 1 + (numbered.agg(F.sum("_pairs")).first()[0] or 0) // SHARD_PAIRS
+    answers = work_table(pair_totals(numbered, shards), "pair_totals")
+    once, twice = answers.agg(F.sum("_once"), F.sum("_twice")).first()
+    discount = discount_of(once or 0, twice or 0)
+    batches = numbered.join(answers.select(F.col("_batch").alias("_b"), "_totals"), F.col("_batch") == F.col("_b")).drop("_b")
+    counts = work_table(context_rows(batches, shards), "counts")
     word_table = work_table(word_rows(counts), "word_rows")
-    known = F.aggregate("_leaves", F.lit(0).cast("bigint"), lambda total, leaf: total + leaf["_n"])
+    known = F.aggregate("_leaves", F.lit(0).cast("bigint"), lambda total, leaf: total + leaf["_seen"])
     size = word_table.select(known.alias("_c")).agg(F.sum("_c").alias("tokens"), F.count_if(F.col("_c") > 0).alias("types"))
     training, vocabulary = (n or 0 for n in size.first())
 
+    first = predictive_rows(word_table, seating_totals(word_table, vocabulary, None), 1)
+    asked = work_table(looked_up(counts.where("_asked"), first, "_q", "_seats"), "asked")
+    more = seated_pairs(batches, asked, discount, shards).withColumn("_n", F.lit(0).cast("bigint"))
+    columns = ("_lang", "_token", "_n", "_m", "_t")
+    word_table = work_table(word_rows(counts.select(*columns).unionByName(more.select(*columns))), "seated_rows")
     totals = seating_totals(word_table, vocabulary, seating_totals(word_table, vocabulary, None))
-    model = predictive_rows(word_table, totals)
-    needed = counts.select("_batch", "_lang", "_token")
-    looked_up = needed.join(model, (F.col("_token") == F.col("_t")) & (F.col("_lang") == F.col("_l"))).select(
-        "_batch", "_lang", "_token", "_c", F.col("_p").cast("float").alias("_p")
-    )
-    looked_up = work_table(looked_up, "looked_up")
+    values = looked_up(counts, predictive_rows(word_table, totals), "_c", "_p", "_q", "_heads", "_seats")
+    values = work_table(values, "looked_up")
     base_log = math.log10(training + vocabulary + 1)
 
-    def score(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
+    def score(key: tuple, texts: pa.Table, dictionary: pa.Table) -> pa.Table:
         with without_collector():
-            return scored_texts(texts, dictionary)
-
-    def scored_texts(texts: pa.Table, dictionary: pa.Table) -> pa.Table:
-        langs = {lang: i for i, lang in enumerate(dict.fromkeys(texts.column("_lang").to_pylist()))}
-        own = np.array([langs[lang] for lang in texts.column("_lang").to_pylist()], np.int64)
-        raws = texts.column("_text").to_pylist()
-        of = pc.index_in(dictionary.column("_lang"), value_set=pa.array(list(langs), pa.string()))
-        of = of.combine_chunks().fill_null(-1).to_numpy(zero_copy_only=False)
-        counts, sums = np.zeros((2, len(raws)), np.int64), np.zeros((2, len(raws)))
-        for i in langs.values():
-            rows_of, at = np.flatnonzero(own == i), dictionary.take(np.flatnonzero(of == i))
-            tokens = at.column("_token").combine_chunks()
-            names = pc.binary_slice(tokens, 0, -1).dictionary_encode()
-            kind = pc.index_in(pc.binary_slice(tokens, -1), value_set=pa.array(KINDS, pa.binary())).to_numpy()
-            code = names.indices.to_numpy().astype(np.int64) * len(KINDS) + kind
-            known, base, chances = np.zeros((3, len(names.dictionary) * len(KINDS)))
-            known[code] = at.column("_c").to_numpy()
-            base = np.log10(known + 1.0) - base_log
-            chances[code] = np.log10(at.column("_p").to_numpy().astype(np.float64))
-            numbers = dict(zip(names.dictionary.to_pylist(), range(len(names.dictionary)), strict=True))
-            row = word_numbers([raws[k] for k in rows_of], numbers)
-            ends = np.flatnonzero(row == numbers[END])
-            starts = np.concatenate([[0], ends[:-1] + 1])
-            found = in_context(row, kinds_of(names.dictionary))
-            counts[:, rows_of] = ends + 1 - starts, np.add.reduceat(known[found] > 0, starts, dtype=np.int64)
-            sums[:, rows_of] = np.add.reduceat(base[found], starts), np.add.reduceat(chances[found], starts)
+            return pa.concat_tables(
+                scored(batch, texts.column("_ids")[i].as_py(), texts.column("_totals")[i].as_py(), dictionary)
+                for i, (_, batch) in enumerate(opened(texts))
+            )
+
+    def scored(batch: Batch, ids: bytes, answers: list[dict], dictionary: pa.Table) -> pa.Table:
+        count, chance, less, heads, tables = entry_values(batch, dictionary, "_c", "_p", "_q", "_heads", "_seats")
+        total, _ = batch.totals(answers, shards)
+        known, heads, tables = (by_word(batch, v) for v in (count, heads, tables))
+        odds = THETA + discount * tables[batch.before]
+        own = total - discount * mean_tables(total, odds * less[batch.entry], discount, seat_table(discount))
+        found = np.log10((own + odds * chance[batch.entry]) / (THETA + heads[batch.before]))
+        starts = np.concatenate([[0], batch.ends[:-1] + 1])
+        of_token = found[np.searchsorted(batch.pairs, batch.paired)]
+        base = np.log10(known + 1.0) - base_log
         return pa.Table.from_arrays(
-            [texts.column("_id"), texts.column("_train"), *map(pa.array, (*counts, *sums))],
+            [
+                pa.array(np.frombuffer(ids, "<i8")),
+                pa.array(batch.trained[batch.ends]),
+                pa.array(batch.ends + 1 - starts),
+                pa.array(np.add.reduceat(known[batch.row] > 0, starts, dtype=np.int64)),
+                pa.array(np.add.reduceat(base[batch.row], starts)),
+                pa.array(np.add.reduceat(of_token, starts)),
+            ],
             names=["_id", "_train", "n_tokens", "n_known", "base_score", "score"],
         )
 
     schema = "_id bigint, _train boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    scored = rows.groupBy("_batch").cogroup(looked_up.groupBy("_batch")).applyInArrow(score, schema)
-    return scored.select(
+    scored_rows = batches.groupBy("_batch").cogroup(values.groupBy("_of")).applyInArrow(score, schema)
+    return scored_rows.select(
         F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id"),
         (~F.col("_train")).alias("held_out"),
         "n_tokens",

@@ -121,3 +121,60 @@ def test_tallies_against_one_by_one():
     assert dict(zip(found["_token"], found["_n"], strict=True)) == dict(expected)
     assert set(found["_batch"]) == {5} and set(found["_lang"]) == {"en"}
     assert scoring.Tally().batch(0, "").num_rows == 0
+
+
+def test_the_word_before_counts(spark):
+    """The same words in another order, after words of the same kind, are less likely; pairs count over all batches."""
+    made, names = random.Random(3), [f"word{c}" for c in "abcdefgh"]
+    keys = [k for k in range(1000) if not held_out(k)][:300], [k for k in range(1000) if held_out(k)][:2]
+
+    def line():
+        start = made.randrange(8)
+        return [names[(start + i) % 8] for i in range(20)]
+
+    rows = [(k, " ".join(line()), "x") for k in keys[0]]
+    ring = [names[i % 8] for i in range(20)]
+    rows += [(keys[1][0], " ".join(ring), "x"), (keys[1][1], " ".join(ring[::-1]), "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(5)
+    found = {r.doc_id: r for r in scoring.score_documents(docs).collect()}
+    there, back = (found[k].score for k in keys[1])
+    assert there > back + 20  # powers of ten
+    trained = [name for text in rows[:300] for name in text[1].split()]
+    assert found[keys[1][0]].train_tokens == len(trained) + 300
+    assert there > 21 * math.log10(0.5)
+
+
+def test_pairs_are_counted_over_batches_and_owned_once(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "SHARD_PAIRS", 7)
+    made = random.Random(5)
+    rows = [(i, " ".join(made.choices(["a", "B", "of.", "b", "é"], k=made.randrange(9))), made.choice(["x", None])) for i in range(200)]
+    rows += [(1000 + i, "hot pair " * 40, "x") for i in range(14)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(6)
+    batches = scoring.numbered_batches(scoring.prepared(docs, "doc_id", "text", "lang")).localCheckpoint()
+    joined = batches.join(scoring.pair_totals(batches, 3), "_batch").collect()
+    expected, owned, seen = Counter(), Counter(), set()
+    for key, text, lang in rows:
+        if not held_out(key):
+            found = ["", *tokens(text)]
+            expected.update((lang or "", a, b) for a, b in zip(found, found[1:], strict=False))
+    for row in joined:
+        batch = scoring.Batch(row._lang, bytes(row._names), bytes(row._row), bytes(row._train))
+        total, mine = batch.totals([a.asDict() for a in row._totals], 3)
+        for a, b, n, own in zip(batch.before, batch.word, total, mine, strict=True):
+            pair = (row._lang, batch.names[a].decode(), batch.names[b].decode())
+            assert n == expected[pair]
+            owned[pair] += int(own)
+            seen.add(pair)
+    assert seen >= set(expected) and set(owned.values()) == {1}
+    assert max(expected.values()) > 127  # a count that does not fit a byte
+    once, twice = (sum(n == k for n in expected.values()) for k in (1, 2))
+    assert (sum(r._once for r in joined), sum(r._twice for r in joined)) == (once, twice)
+
+
+def test_mean_tables_are_those_of_the_draws():
+    rng, counts = np.random.default_rng(6), np.array([0, 1, 2, 5, 24, 90])
+    for discount, weight in ((0.5, 0.3), (0.8, 2.0)):
+        table = scoring.seat_table(discount)
+        drawn = [scoring.draw_tables(counts, np.full(6, weight), discount, table, rng) for _ in range(4000)]
+        mean = scoring.mean_tables(counts, np.full(6, weight), discount, table)
+        assert np.allclose(np.mean(drawn, 0), mean, rtol=0.05)
