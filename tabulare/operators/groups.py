@@ -37,11 +37,17 @@ def distinct_entities_approx(df: DataFrame, keys: list[str], entity: str, error:
 
 
 def distinct_within_bound(df: DataFrame, keys: list[str], entity: str, error: float = 0.02) -> DataFrame:
-    """The exact number per group, and whether the sketch's is within three times its relative error of it."""
-    exact, near = F.count_distinct(entity), F.approx_count_distinct(entity, error)
+    """The exact number per group, and whether the sketch's is within three times its relative error of it.
+
+    Rows are reduced to distinct (group, entity) pairs first. Next to a distinct
+    count Spark would keep a sketch for each pair; so there is one per group and task.
+    """
+    exact, near = F.count(entity), F.approx_count_distinct(entity, error)
     within = F.abs(F.col("_near") - F.col("entities")) <= F.col("entities") * (3 * error)
     return (
-        df.groupBy(*keys)
+        df.select(*keys, entity)
+        .distinct()
+        .groupBy(*keys)
         .agg(exact.alias("entities"), near.alias("_near"))
         .withColumn("within_bound", within)
         .drop("_near")

@@ -3,6 +3,7 @@
 from datetime import datetime
 
 import pytest
+from plan_text import plan_of
 from pyspark.sql import functions as F
 
 from tabulare.functions.money import cents, total
@@ -162,6 +163,18 @@ def test_distinct_entities_ignore_missing_ones(spark):
     assert result(groups.distinct_entities(df, ["g"], "u")) == [("a", 1), ("b", 0), (None, 1)]
 
 
+def test_sketches_are_of_groups_not_of_pairs(spark):
+    df = table(
+        spark, "g string, u int, x int", ("a", 1, 1), ("a", 1, 2), ("a", None, 3), ("b", None, 4), (None, 3, 5), (None, 4, 5)
+    )
+    found = groups.distinct_within_bound(df, ["g"], "u")
+    assert result(found) == [("a", 1, True), ("b", 0, True), (None, 2, True)]
+    steps = [step for step in plan_of(found).split("\n\n") if "approx_count_distinct" in step and "Keys [" in step]
+    assert steps and not any("u#" in line for step in steps for line in step.splitlines() if line.startswith("Keys ["))
+    assert result(groups.distinct_within_bound(df, [], "u")) == [(3, True)]
+
+
+
 def test_approximate_count_is_within_its_error(spark, folder):
     from tabulare.sources.tables import read_table
 
