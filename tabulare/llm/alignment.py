@@ -2,7 +2,8 @@
 
 A text is cut before blanks that follow other than white space; no token of
 either tokenizer crosses such a place, so the parts are encoded and aligned on
-their own, each different one once. Per block of documents every pair of ids
+their own, each different one once as long as a worker knows it; many new ones
+go through a tokenizer as one text. Per block of documents every pair of ids
 has an inverted list: compressed bitmaps of the documents, one per binary digit
 of how often the pair is linked there (its multiplicity planes). The union of
 the planes, counted, gives the pair's documents; sums over the blocks give the
@@ -15,9 +16,11 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -32,8 +35,9 @@ CUT = re.compile(r"(?<=\S) (?!\Z)")
 B_BITS = 20  # an id pair is one number
 BLOCK_POSTINGS = 2_000_000
 BLOCK_DOCS = 1 << 16  # places in a block have 16 bits
-KNOWN_PARTS, KNOWN_LETTERS = 250_000, 16_000_000
+KNOWN_PARTS, KNOWN_LETTERS = 100_000, 8_000_000
 PART_BYTES = 1 << 20
+JOINED = 256
 DENSE = 16
 
 
@@ -63,6 +67,27 @@ class Sides:
         left = [found.ids for found in self.left.encode_batch_fast([f" {part}" for part in parts], add_special_tokens=False)]
         return left, self.right.encode(parts, num_threads=1)
 
+    def encode_joined(self, parts: list[str]) -> tuple[list[str], list[list[int]], list[list[int]], list[np.ndarray], list[np.ndarray], list[str]]:
+        """Parts without white space, many as one text: those encoded, their ids and how many of them each part has, and the rest.
+
+        The rest are the parts of texts that the tokens of either side don't
+        give back, or which have a token over the end of a part.
+        """
+        done, ids, sizes, rest = [], ([], []), ([], []), []
+        chunks = [parts[i : i + JOINED] for i in range(0, len(parts), JOINED)]
+        for chunk, *both in zip(chunks, *self.encode([" ".join(chunk) for chunk in chunks]), strict=True):
+            ends = np.cumsum([len(part.encode()) + 1 for part in chunk])
+            reached = [np.cumsum(own[side]) for own, side in zip(self.sizes, both, strict=True)]
+            until = [np.searchsorted(found, ends, "right") for found in reached]
+            if self.same_bytes(" ".join(chunk), *both) and all((found[n - 1] == ends).all() for found, n in zip(reached, until, strict=True)):
+                done += chunk
+                for k in (0, 1):
+                    ids[k].append(both[k])
+                    sizes[k].append(np.diff(until[k], prepend=0))
+            else:
+                rest += chunk
+        return done, *ids, *sizes, rest
+
     def same_bytes(self, part: str, left: list[int], right: list[int]) -> bool:
         whole = f" {part}".encode()
         return b"".join(map(self.bytes[0].__getitem__, left)) == whole == b"".join(map(self.bytes[1].__getitem__, right))
@@ -83,73 +108,74 @@ def align(left: np.ndarray, right: np.ndarray, sizes: tuple[np.ndarray, np.ndarr
 
 
 class Parts:
-    """What is known of parts of texts: pairs (64 bits each), four sizes, and the written groups; bounded."""
+    """What is known of parts of texts: the written groups, four sizes, and pairs (64 bits each); bounded.
+
+    When there are enough, those known so far become old ones, which are dropped
+    the next time unless they were asked for.
+    """
 
     def __init__(self, sides: Sides) -> None:
         self.sides = sides
-        self._forget()
-
-    def _forget(self) -> None:
-        self.pairs: dict[str, bytes] = {}
-        self.counts: dict[str, bytes] = {}
-        self.written: dict[str, str | None] = {}
+        self.known: dict[str, tuple[str | None, bytes, bytes]] = {}
+        self.old: dict[str, tuple[str | None, bytes, bytes]] = {}
         self.letters = 0
 
     def learn(self, cut: list[list[str]]) -> None:
         """Encode and align the parts that are not known, as many at a time as memory allows."""
-        if len(self.written) > KNOWN_PARTS or self.letters > KNOWN_LETTERS:
-            self._forget()
+        if len(self.known) > KNOWN_PARTS or self.letters > KNOWN_LETTERS:
+            self.known, self.old, self.letters = {}, self.known, 0
         fresh, held = [], 0
         for part in set().union(*cut):
-            if part not in self.written:
-                fresh.append(part)
-                held += len(part)
-                if held > PART_BYTES:
-                    self._align(fresh)
-                    fresh, held = [], 0
+            if part in self.known:
+                continue
+            if part in self.old:
+                self.known[part] = self.old[part]
+                self.letters += len(part)
+                continue
+            fresh.append(part)
+            held += len(part)
+            if held > PART_BYTES:
+                self._align(fresh)
+                fresh, held = [], 0
         if fresh:
             self._align(fresh)
 
     def _align(self, parts: list[str]) -> None:
         self.letters += sum(map(len, parts))
-        lefts, rights = self.sides.encode(parts)
-        kept = []
-        for i, (part, left, right) in enumerate(zip(parts, lefts, rights, strict=True)):
+        plain, others = [], []
+        for part in parts:
+            (plain if part.split() == [part] else others).append(part)
+        kept, lefts, rights, n_left, n_right, rest = self.sides.encode_joined(plain)
+        others += rest
+        n_left, n_right = (list(map(int, np.concatenate(n))) if n else [] for n in (n_left, n_right))
+        for part, left, right in zip(others, *self.sides.encode(others), strict=True):
             if self.sides.same_bytes(part, left, right):
-                kept.append(i)
+                kept.append(part)
+                lefts.append(left)
+                rights.append(right)
+                n_left.append(len(left))
+                n_right.append(len(right))
             else:
-                self.written[part], self.pairs[part], self.counts[part] = None, b"", bytes(16)
+                self.known[part] = None, bytes(16), b""
         if not kept:
             return
-        left, right = (np.array([x for i in kept for x in side[i]], np.int64) for side in (lefts, rights))
+        left, right = (np.fromiter(chain.from_iterable(side), np.int64) for side in (lefts, rights))
         group_l, group_r, pairs, links = align(left, right, self.sides.sizes)
-        n_left, n_right = ([len(side[i]) for i in kept] for side in (lefts, rights))
         last = group_l[np.cumsum(n_left) - 1]  # the group in which each part ends
         n_groups, ends = np.diff(last, prepend=-1), links[last]
         starts = np.concatenate([[0], ends[:-1]])
         counts = np.array([n_left, n_right, n_groups, ends - starts], np.int32).T.tobytes()
-        text_l, text_r = (_by_group(ids, groups) for ids, groups in ((left, group_l), (right, group_r)))
-        both = [f"{a}|{b}" for a, b in zip(text_l, text_r, strict=True)]
+        sides = (_joined(pa.array(ids).cast(pa.string()), np.bincount(groups), ",") for ids, groups in ((left, group_l), (right, group_r)))
+        written = _joined(pc.binary_join_element_wise(*sides, "|"), n_groups, ";").to_pylist()
         data = pairs.tobytes()
-        group = 0
-        for k, (i, begin, end, n) in enumerate(zip(kept, (starts * 8).tolist(), (ends * 8).tolist(), n_groups.tolist(), strict=True)):
-            part = parts[i]
-            self.pairs[part], self.counts[part] = data[begin:end], counts[16 * k : 16 * k + 16]
-            self.written[part] = ";".join(both[group : group + n]) if n > 1 else both[group]
-            group += n
-
-
-def _by_group(ids: np.ndarray, groups: np.ndarray) -> list[str]:
-    """The ids of each group, with a comma between."""
-    found: list[str] = []
-    last = -1
-    for value, group in zip(map(str, ids.tolist()), groups.tolist(), strict=True):
-        if group == last:
-            found[-1] += "," + value
-        else:
-            found.append(value)
-            last = group
-    return found
+        for k, (part, begin, end) in enumerate(zip(kept, (starts * 8).tolist(), (ends * 8).tolist(), strict=True)):
+            self.known[part] = written[k], counts[16 * k : 16 * k + 16], data[begin:end]
+
+
+def _joined(values: pa.Array, sizes: np.ndarray, between: str) -> pa.Array:
+    """Runs of values of the given sizes, each as one string."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), values), between)
 
 
 def pack_bits(docs: np.ndarray) -> bytes:
@@ -264,12 +290,12 @@ def aligned_blocks(docs: DataFrame, byte_level: str, piece_model: str, key: str,
             cut = [CUT.split(found) if found else [] for found in texts]
             parts.learn(cut)
             for key_, own in zip(batch.column("_id").to_pylist(), cut, strict=True):
-                written = [parts.written[part] for part in own]
+                written, counts, links = zip(*[parts.known[part] for part in own], strict=True) if own else ((), (), ())
                 if not own or None in written:
                     block.add(key_, (0, 0, 0, 0), "", np.zeros(0, np.int64))
                 else:
-                    sizes = np.frombuffer(b"".join([parts.counts[part] for part in own]), np.int32).reshape(-1, 4).sum(0, np.int64)
-                    pairs = np.frombuffer(b"".join([parts.pairs[part] for part in own]), np.int64)
+                    sizes = np.frombuffer(b"".join(counts), np.int32).reshape(-1, 4).sum(0, np.int64)
+                    pairs = np.frombuffer(b"".join(links), np.int64)
                     groups = hashlib.sha256(";".join(written).encode()).hexdigest()
                     block.add(key_, tuple(sizes.tolist()), groups, pairs)
                 if block.full():

@@ -113,3 +113,24 @@ def test_bitmaps():
     assert [[alignment.unpack_bits(p).tolist() if p else [] for p in own] for own in planes] == [[[], [0], [0]], [[0, 9], [3, 9]]]
     total, links = alignment.scores(planes, np.array([10, 100]), np.array([True, False]), 10)
     assert total.tolist() == [160, 0, 0, 200, 0, 0, 0, 0, 0, 300] and links.tolist() == [6] + [0] * 9
+
+
+def test_parts_encoded_together_and_kept_while_asked_for(sides, monkeypatch):
+    """Parts that a tokenizer gets as one text have the groups they have alone; old ones are aligned again only if not asked for."""
+    with open(BYTE_LEVEL, "rb") as left, open(PIECES, "rb") as right:
+        parts = alignment.Parts(alignment.Sides(left.read(), right.read()))
+    made, aligned = random.Random(9), []
+    own_align = parts._align
+    monkeypatch.setattr(parts, "_align", lambda fresh: (aligned.extend(fresh), own_align(fresh)))
+    monkeypatch.setattr(alignment, "KNOWN_PARTS", 50)
+    monkeypatch.setattr(alignment, "JOINED", 7)
+    words = ["".join(made.choices("abcdeé日ﬁ½▁.'1", k=1 + made.randrange(9))) for _ in range(400)] + ["a\nb", "\x85", "c\t"]
+    for i in range(0, len(words), 40):
+        cut = [["often", *words[i : i + 40]]]
+        parts.learn(cut)
+        for part in cut[0]:
+            want = expected([(1, part)], sides)[0][0]
+            written, counts, pairs = parts.known[part]
+            assert hashlib.sha256((written or "").encode()).hexdigest() == (want[7] or hashlib.sha256(b"").hexdigest())
+            assert (*np.frombuffer(counts, np.int32).tolist(),) == want[1:5] and len(pairs) == 8 * want[4]
+    assert aligned.count("often") == 1
