@@ -35,8 +35,8 @@ END = b""  # no word is empty
 KINDS = [b" ", b"\t", b"\n", b"\r"]  # of the token before: none, one that ends a sentence, a short one, another
 STOPS = (b".", b"!", b"?", b":", b";")
 SHORT = 3
-HELD_WORDS, HELD_TOKENS = 600_000, 3_000_000
-SHARD_PAIRS = 4_000_000
+HELD_WORDS, HELD_TOKENS = 600_000, 4_000_000
+SHARD_TOKENS = 4_000_000
 THETA = 1.0
 BURN_IN, SAMPLES = 2, 4
 EXACT_SEATS = 24
@@ -121,24 +121,46 @@ def prepared(docs: DataFrame, key: str, text: str, stratum: str) -> DataFrame:
     )
 
 
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and how often each occurs."""
+    ordered = np.sort(values)
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    return ordered[first], np.diff(first, append=len(ordered))
+
+
+def squeezed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def restored(data: bytes) -> bytes:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], size, codec="zstd", asbytes=True)
+
+
 class Batch:
     """Documents of one language as numbers of words: tokens in one row, and the different pairs of neighbours in order."""
 
     def __init__(self, lang: str, names: bytes, row: bytes, train: bytes) -> None:
-        self.lang, self.names = lang, names.split(b" ")
+        self.lang, self.names = lang, restored(names).split(b" ")
         self.kinds = kinds_of(pa.array(self.names, pa.binary()))
-        self.row = np.frombuffer(row, "<u4").astype(np.int64)
+        self.row = np.frombuffer(restored(row), "<u4").astype(np.int64)
         self.ends = np.flatnonzero(self.row == 0)
         self.trained = np.repeat(np.frombuffer(train, bool), np.diff(self.ends, prepend=-1))
         self.paired = self.row.copy()
         self.paired[1:] += self.row[:-1] * len(self.kinds)
-        self.pairs = np.unique(self.paired)
+        self.pairs = runs(self.paired)[0]
         self.before, self.word = np.divmod(self.pairs, len(self.kinds))
-        self.entries, self.entry = np.unique(self.word * len(KINDS) + self.kinds[self.before], return_inverse=True)
+        codes = self.word * len(KINDS) + self.kinds[self.before]
+        held = np.zeros(len(self.kinds) * len(KINDS), bool)
+        held[codes] = True
+        self.entries, self.entry = np.flatnonzero(held), np.cumsum(held)[codes] - 1
 
     def own_counts(self) -> np.ndarray:
         """How often each pair occurs in the training documents of this batch."""
-        return np.bincount(np.searchsorted(self.pairs, self.paired[self.trained]), minlength=len(self.pairs))
+        found, times = runs(self.paired[self.trained])
+        counts = np.zeros(len(self.pairs), np.int64)
+        counts[np.searchsorted(self.pairs, found)] = times
+        return counts
 
     def dealt(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each pair as 64 bits that are the same in all batches of the language, its shard, and the order by shard."""
@@ -148,11 +170,11 @@ class Batch:
         keys = (keys ^ (keys >> np.uint64(30))) * MIX[2]
         keys ^= keys >> np.uint64(31)
         shard = (keys % np.uint64(shards)).astype(np.int64)
-        return keys, shard, np.argsort(shard, kind="stable")
+        return keys, shard, np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
 
     def totals(self, answers: list[dict], shards: int) -> tuple[np.ndarray, np.ndarray]:
         """What the shards answered: each pair's count in training, and whether it is this batch's to seat."""
-        coded = np.frombuffer(b"".join(a["_small"] for a in answers), np.uint8).astype(np.int64)
+        coded = np.frombuffer(b"".join(restored(a["_small"]) for a in answers), np.uint8).astype(np.int64)
         coded[coded == 255] = np.frombuffer(b"".join(a["_large"] for a in answers), "<i8")
         found = np.empty(len(coded), np.int64)
         found[self.dealt(shards)[2]] = coded
@@ -163,7 +185,7 @@ MIX = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xBF58476D
 
 
 def numbered_batches(rows: DataFrame) -> DataFrame:
-    """The texts as numbers: a row per batch, with its documents one after the other, its words, and how many pairs it has."""
+    """The texts as numbers: a row per batch, with its documents one after the other, its words, and how many tokens it has."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << 32
@@ -172,11 +194,9 @@ def numbered_batches(rows: DataFrame) -> DataFrame:
         def taken() -> Iterator[pa.RecordBatch]:
             nonlocal place
             for lang, (numbers, ids, train, parts) in held.items():
-                names = b" ".join(numbers)
-                row = np.concatenate(parts).astype("<u4").tobytes()
-                flags = np.array(train, bool).tobytes()
-                pairs = len(Batch(lang, names, row, flags).pairs)
-                values = (place, lang, np.array(ids, "<i8").tobytes(), flags, row, names, pairs)
+                row, flags = np.concatenate(parts).astype("<u4"), np.array(train, bool).tobytes()
+                blobs = squeezed(row.tobytes()), squeezed(b" ".join(numbers))
+                values = (place, lang, np.array(ids, "<i8").tobytes(), flags, *blobs, len(row))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], k) for v, k in zip(values, BATCH_KINDS, strict=True)], names=BATCH_NAMES
                 )
@@ -203,9 +223,9 @@ def numbered_batches(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(number, BATCH_SCHEMA)
 
 
-BATCH_NAMES = ["_batch", "_lang", "_ids", "_train", "_row", "_names", "_pairs"]
+BATCH_NAMES = ["_batch", "_lang", "_ids", "_train", "_row", "_names", "_tokens"]
 BATCH_KINDS = [pa.int64(), pa.string(), *[pa.binary()] * 4, pa.int64()]
-BATCH_SCHEMA = "_batch bigint, _lang string, _ids binary, _train binary, _row binary, _names binary, _pairs bigint"
+BATCH_SCHEMA = "_batch bigint, _lang string, _ids binary, _train binary, _row binary, _names binary, _tokens bigint"
 
 
 def opened(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Batch]]:
@@ -250,7 +270,7 @@ def pair_totals(batches: DataFrame, shards: int) -> DataFrame:
         coded[first] += 1
         answers: list[list] = [[], [], [], []]
         for mine in np.split(coded, np.cumsum(list(map(len, parts)))[:-1]):
-            values = np.minimum(mine, 255).astype(np.uint8).tobytes(), mine[mine >= 255].astype("<i8").tobytes()
+            values = squeezed(np.minimum(mine, 255).astype(np.uint8).tobytes()), mine[mine >= 255].astype("<i8").tobytes()
             for column, value in zip(answers, (*values, int((mine == 3).sum()), int((mine == 5).sum())), strict=True):
                 column.append(value)
         kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
@@ -629,26 +649,26 @@ def score_documents(
     shard. Pairs are told apart by 64 bits.
     """
     rows = prepared(docs, key, text, stratum)
-    numbered = work_table(numbered_batches(rows), "batches")
-    shards = 1 + (numbered.agg(F.sum("_pairs")).first()[0] or 0) // SHARD_PAIRS
+    numbered = work_table(numbered_batches(rows), "batches", "zstd")
+    shards = 1 + (numbered.agg(F.sum("_tokens")).first()[0] or 0) // SHARD_TOKENS
     answers = work_table(pair_totals(numbered, shards), "pair_totals")
     once, twice = answers.agg(F.sum("_once"), F.sum("_twice")).first()
     discount = discount_of(once or 0, twice or 0)
     batches = numbered.join(answers.select(F.col("_batch").alias("_b"), "_totals"), F.col("_batch") == F.col("_b")).drop("_b")
-    counts = work_table(context_rows(batches, shards), "counts")
-    word_table = work_table(word_rows(counts), "word_rows")
+    counts = work_table(context_rows(batches, shards), "counts", "zstd")
+    word_table = work_table(word_rows(counts), "word_rows", "zstd")
     known = F.aggregate("_leaves", F.lit(0).cast("bigint"), lambda total, leaf: total + leaf["_seen"])
     size = word_table.select(known.alias("_c")).agg(F.sum("_c").alias("tokens"), F.count_if(F.col("_c") > 0).alias("types"))
     training, vocabulary = (n or 0 for n in size.first())
 
     first = predictive_rows(word_table, seating_totals(word_table, vocabulary, None), 1)
-    asked = work_table(looked_up(counts.where("_asked"), first, "_q", "_seats"), "asked")
+    asked = work_table(looked_up(counts.where("_asked"), first, "_q", "_seats"), "asked", "zstd")
     more = seated_pairs(batches, asked, discount, shards).withColumn("_n", F.lit(0).cast("bigint"))
     columns = ("_lang", "_token", "_n", "_m", "_t")
-    word_table = work_table(word_rows(counts.select(*columns).unionByName(more.select(*columns))), "seated_rows")
+    word_table = work_table(word_rows(counts.select(*columns).unionByName(more.select(*columns))), "seated_rows", "zstd")
     totals = seating_totals(word_table, vocabulary, seating_totals(word_table, vocabulary, None))
     values = looked_up(counts, predictive_rows(word_table, totals), "_c", "_p", "_q", "_heads", "_seats")
-    values = work_table(values, "looked_up")
+    values = work_table(values, "looked_up", "zstd")
     base_log = math.log10(training + vocabulary + 1)
 
     def score(key: tuple, texts: pa.Table, dictionary: pa.Table) -> pa.Table:

@@ -145,7 +145,7 @@ def test_the_word_before_counts(spark):
 
 
 def test_pairs_are_counted_over_batches_and_owned_once(spark, monkeypatch):
-    monkeypatch.setattr(scoring, "SHARD_PAIRS", 7)
+    monkeypatch.setattr(scoring, "HELD_TOKENS", 7)
     made = random.Random(5)
     rows = [(i, " ".join(made.choices(["a", "B", "of.", "b", "é"], k=made.randrange(9))), made.choice(["x", None])) for i in range(200)]
     rows += [(1000 + i, "hot pair " * 40, "x") for i in range(14)]
