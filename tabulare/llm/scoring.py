@@ -328,15 +328,15 @@ def per_word(batch: Batch, values: np.ndarray) -> np.ndarray:
 
 def word_rows(counts: DataFrame) -> DataFrame:
     """One row per word with its leaves: language, kind before, customers ``_n``, count in training ``_seen``, and the
-    tables ``_seats`` of the restaurant after the word. A word has a leaf per language and kind at most."""
+    tables ``_seats`` of the restaurant after the word, ``_more`` of them beyond one per pair. A word has a leaf per language and kind at most."""
     leaves = counts.groupBy("_lang", "_token").agg(
-        F.sum("_m").alias("_n"), F.sum("_n").alias("_seen"), F.sum("_t").alias("_seats")
+        F.sum("_m").alias("_n"), F.sum("_n").alias("_seen"), F.sum("_t").alias("_seats"), F.sum("_more").alias("_more")
     )
     size = F.length("_token")
     return (
         leaves.select(
             F.substring("_token", F.lit(1), size - 1).alias("_word"),
-            F.struct("_lang", F.substring("_token", size, F.lit(1)).alias("_kind"), "_n", "_seen", "_seats").alias("_leaf"),
+            F.struct("_lang", F.substring("_token", size, F.lit(1)).alias("_kind"), "_n", "_seen", "_seats", "_more").alias("_leaf"),
         )
         .groupBy("_word")
         .agg(F.collect_list("_leaf").alias("_leaves"))
@@ -437,7 +437,8 @@ class Seating:
         self.counts = flat.field("_n").to_numpy().astype(np.int64)
         # Customers that come from no restaurants of words are tokens.
         own = {field.name for field in flat.type}
-        self.seen, self.seats = (flat.field(n if n in own else "_n").to_numpy().astype(np.int64) for n in ("_seen", "_seats"))
+        fields = ("_seen", "_seats", "_more")
+        self.seen, self.seats, self.more = (flat.field(n if n in own else "_n").to_numpy().astype(np.int64) for n in fields)
         langs, lang = np.unique(np.array(self.langs, object).astype(str), return_inverse=True)
         places, place = np.unique(np.array([f"{k.decode()}{x}" for x, k in zip(self.langs, self.kinds, strict=True)]), return_inverse=True)
         self.lang_names, self.place_names, self.place = langs.tolist(), places.tolist(), place
@@ -543,7 +544,8 @@ def predictive_rows(word_table: DataFrame, totals: Totals, samples: int = SAMPLE
     """Per language and token in context: ``_c``, the word's count in training, and ``_p``, averaged over ``samples`` seatings.
 
     ``_q`` is the same with one customer gone. ``_heads`` and ``_seats`` are the
-    customers and tables of the restaurant after the word.
+    customers and tables of the restaurant after the word, ``_more`` those of
+    its tables beyond one per pair.
     """
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -558,15 +560,16 @@ def predictive_rows(word_table: DataFrame, totals: Totals, samples: int = SAMPLE
                 if step >= BURN_IN:
                     mean += seating.predictive(totals) / samples
             c = np.bincount(seating.word, seating.seen, seating.words).astype(np.int64)
-            after = [np.bincount(seating.middle, v).astype(np.int64)[seating.middle] for v in (seating.seen, seating.seats)]
+            after = [np.bincount(seating.middle, v).astype(np.int64)[seating.middle] for v in (seating.seen, seating.seats, seating.more)]
             names = batch.column("_word").to_pylist()
             tokens = [names[w] + k for w, k in zip(seating.word, seating.kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(seating.langs, pa.string()), pa.array(tokens, pa.binary()), *map(pa.array, (c[seating.word], *mean, *after))],
-                names=["_l", "_t", "_c", "_p", "_q", "_heads", "_seats"],
+                names=["_l", "_t", "_c", "_p", "_q", "_heads", "_seats", "_more"],
             )
 
-    return word_table.mapInArrow(predict, "_l string, _t binary, _c bigint, _p double, _q double, _heads bigint, _seats bigint")
+    schema = "_l string, _t binary, _c bigint, _p double, _q double, _heads bigint, _seats bigint, _more bigint"
+    return word_table.mapInArrow(predict, schema)
 
 
 def looked_up(counts: DataFrame, model: DataFrame, *columns: str) -> DataFrame:
@@ -597,6 +600,16 @@ def by_word(batch: Batch, values: np.ndarray) -> np.ndarray:
     return found
 
 
+def pair_chances(batch: Batch, total: np.ndarray, dictionary: pa.Table, discount: float) -> np.ndarray:
+    """The probability of each pair's word after the word before it, given how often the pair occurs in training."""
+    chance, less, heads, tables, more = entry_values(batch, dictionary, "_p", "_q", "_heads", "_seats", "_more")
+    heads, tables, more = (by_word(batch, v)[batch.before] for v in (heads, tables, more))
+    # The mean is that of the sweep in which the tables were counted, so that probabilities add up to about 1.
+    weight = (THETA + discount * (tables - more)) * less[batch.entry]
+    own = total - discount * mean_tables(total, weight, discount, seat_table(discount))
+    return (own + (THETA + discount * tables) * chance[batch.entry]) / (THETA + heads)
+
+
 def seated_pairs(batches: DataFrame, asked: DataFrame, discount: float, shards: int) -> DataFrame:
     """A sweep over the restaurants of words: each batch seats the customers of its pairs anew.
 
@@ -656,18 +669,20 @@ def score_documents(
     discount = discount_of(once or 0, twice or 0)
     batches = numbered.join(answers.select(F.col("_batch").alias("_b"), "_totals"), F.col("_batch") == F.col("_b")).drop("_b")
     counts = work_table(context_rows(batches, shards), "counts", "zstd")
-    word_table = work_table(word_rows(counts), "word_rows", "zstd")
+    none = F.lit(0).cast("bigint")
+    word_table = work_table(word_rows(counts.withColumn("_more", none)), "word_rows", "zstd")
     known = F.aggregate("_leaves", F.lit(0).cast("bigint"), lambda total, leaf: total + leaf["_seen"])
     size = word_table.select(known.alias("_c")).agg(F.sum("_c").alias("tokens"), F.count_if(F.col("_c") > 0).alias("types"))
     training, vocabulary = (n or 0 for n in size.first())
 
     first = predictive_rows(word_table, seating_totals(word_table, vocabulary, None), 1)
     asked = work_table(looked_up(counts.where("_asked"), first, "_q", "_seats"), "asked", "zstd")
-    more = seated_pairs(batches, asked, discount, shards).withColumn("_n", F.lit(0).cast("bigint"))
+    more = seated_pairs(batches, asked, discount, shards).withColumns({"_n": none, "_more": F.col("_t")})
     columns = ("_lang", "_token", "_n", "_m", "_t")
-    word_table = work_table(word_rows(counts.select(*columns).unionByName(more.select(*columns))), "seated_rows", "zstd")
+    both = counts.select(*columns, none.alias("_more")).unionByName(more.select(*columns, "_more"))
+    word_table = work_table(word_rows(both), "seated_rows", "zstd")
     totals = seating_totals(word_table, vocabulary, seating_totals(word_table, vocabulary, None))
-    values = looked_up(counts, predictive_rows(word_table, totals), "_c", "_p", "_q", "_heads", "_seats")
+    values = looked_up(counts, predictive_rows(word_table, totals), "_c", "_p", "_q", "_heads", "_seats", "_more")
     values = work_table(values, "looked_up", "zstd")
     base_log = math.log10(training + vocabulary + 1)
 
@@ -679,12 +694,9 @@ def score_documents(
             )
 
     def scored(batch: Batch, ids: bytes, answers: list[dict], dictionary: pa.Table) -> pa.Table:
-        count, chance, less, heads, tables = entry_values(batch, dictionary, "_c", "_p", "_q", "_heads", "_seats")
         total, _ = batch.totals(answers, shards)
-        known, heads, tables = (by_word(batch, v) for v in (count, heads, tables))
-        odds = THETA + discount * tables[batch.before]
-        own = total - discount * mean_tables(total, odds * less[batch.entry], discount, seat_table(discount))
-        found = np.log10((own + odds * chance[batch.entry]) / (THETA + heads[batch.before]))
+        found = np.log10(pair_chances(batch, total, dictionary, discount))
+        known = by_word(batch, entry_values(batch, dictionary, "_c")[0])
         starts = np.concatenate([[0], batch.ends[:-1] + 1])
         of_token = found[np.searchsorted(batch.pairs, batch.paired)]
         base = np.log10(known + 1.0) - base_log

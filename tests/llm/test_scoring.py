@@ -178,3 +178,21 @@ def test_mean_tables_are_those_of_the_draws():
         drawn = [scoring.draw_tables(counts, np.full(6, weight), discount, table, rng) for _ in range(4000)]
         mean = scoring.mean_tables(counts, np.full(6, weight), discount, table)
         assert np.allclose(np.mean(drawn, 0), mean, rtol=0.05)
+
+
+def test_probabilities_after_a_word_add_up_to_one(spark, monkeypatch):
+    """Over all words of the table, the end, and a word never seen, after a frequent word."""
+    made, names, tables = random.Random(1), [f"w{i:03d}x" for i in range(150)], {}
+    written = scoring.work_table
+    monkeypatch.setattr(scoring, "work_table", lambda df, name, *codec: tables.setdefault(name, written(df, name, *codec)))
+    trained, others = ([k for k in range(6000) if held_out(k) is held] for held in (False, True))
+    rows = [(k, " ".join(made.choices(names, [1 / (i + 1) for i in range(150)], k=20)), "x") for k in trained[:400]]
+    rows += [(k, f"w000x {name}", "x") for k, name in zip(others, [*names, "never", ""], strict=False)]
+    scoring.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1))
+    (row,), (answer,) = tables["batches"].collect(), tables["pair_totals"].collect()
+    batch = scoring.Batch(row._lang, bytes(row._names), bytes(row._row), bytes(row._train))
+    total, _ = batch.totals([a.asDict() for a in answer._totals], 1)
+    chances = scoring.pair_chances(batch, total, tables["looked_up"].toArrow(), scoring.discount_of(answer._once, answer._twice))
+    after = batch.before == batch.names.index(b"w000x")
+    assert after.sum() == 152
+    assert abs(chances[after].sum() - 1) < 0.03  # tables are counted as drawn, and scored by their mean
