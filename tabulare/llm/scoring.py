@@ -9,8 +9,9 @@ word has the same probability.
 
 Texts are numbered once, in batches of one language. A pair of neighbouring
 words goes from each batch to a shard by its hash, and its count comes back;
-one of its batches owns it, and seats its customers. All else that a batch
-needs of others is by word.
+one of its batches owns it, and seats its customers. Words go to shards in the
+same way, once and with their bytes; what a shard and a batch tell each other
+later are arrays in the order of that first message.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ STOPS = (b".", b"!", b"?", b":", b";")
 SHORT = 3
 HELD_WORDS, HELD_TOKENS = 600_000, 4_000_000
 SHARD_TOKENS = 4_000_000
+BLOCK_LEAVES = 250_000
 THETA = 1.0
 BURN_IN, SAMPLES = 2, 4
 EXACT_SEATS = 24
@@ -154,6 +156,7 @@ class Batch:
         held = np.zeros(len(self.kinds) * len(KINDS), bool)
         held[codes] = True
         self.entries, self.entry = np.flatnonzero(held), np.cumsum(held)[codes] - 1
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.names), np.uint64, len(self.names))
 
     def own_counts(self) -> np.ndarray:
         """How often each pair occurs in the training documents of this batch."""
@@ -164,13 +167,15 @@ class Batch:
 
     def dealt(self, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each pair as 64 bits that are the same in all batches of the language, its shard, and the order by shard."""
-        seed = xxhash.xxh3_64_intdigest(self.lang.encode())
-        hashes = np.fromiter((xxhash.xxh3_64_intdigest(name, seed) for name in self.names), np.uint64, len(self.names))
-        keys = (hashes[self.before] * MIX[0]) ^ (hashes[self.word] + MIX[1])
+        seed = np.uint64(xxhash.xxh3_64_intdigest(self.lang.encode()))
+        keys = ((self.hashes ^ seed) * MIX[0])[self.before] ^ (self.hashes + MIX[1])[self.word]
         keys = (keys ^ (keys >> np.uint64(30))) * MIX[2]
         keys ^= keys >> np.uint64(31)
-        shard = (keys % np.uint64(shards)).astype(np.int64)
-        return keys, shard, np.argsort(shard.astype(np.uint16) if shards < 1 << 16 else shard, kind="stable")
+        return keys, *by_shard(keys, shards)
+
+    def dealt_entries(self, shards: int) -> tuple[np.ndarray, np.ndarray]:
+        """The shard of each entry, which is that of its word in all batches, and the order by shard."""
+        return by_shard(self.hashes[self.entries // len(KINDS)], shards)
 
     def totals(self, answers: list[dict], shards: int) -> tuple[np.ndarray, np.ndarray]:
         """What the shards answered: each pair's count in training, and whether it is this batch's to seat."""
@@ -180,6 +185,17 @@ class Batch:
         found[self.dealt(shards)[2]] = coded
         return found >> 1, found & 1 == 1
 
+    def asked(self, total: np.ndarray, owned: np.ndarray) -> np.ndarray:
+        """Which entries a sweep over the pairs needs: those of owned pairs with customers to seat, and one of each word before."""
+        several = owned & (total > 1)
+        asked = np.bincount(self.entry[several], minlength=len(self.entries)) > 0
+        return asked | (per_word(self, np.bincount(self.before[several], minlength=len(self.names))) > 0)
+
+
+def by_shard(keys: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    shard = (keys % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.int64)
+    return shard, np.argsort(shard, kind="stable")
+
 
 MIX = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xBF58476D1CE4E5B9)]
 
@@ -290,9 +306,14 @@ def pair_totals(batches: DataFrame, shards: int) -> DataFrame:
     )
 
 
-def context_rows(batches: DataFrame, shards: int) -> DataFrame:
-    """Per batch and token in context: ``_n``, its count in training documents, also if 0, ``_m``, the pairs that send a
-    customer to it, and ``_t``, the tables of its word's own restaurant, once per word; both as with one table per owned pair."""
+def entry_rows(batches: DataFrame, shards: int) -> DataFrame:
+    """Per batch and shard: its words, each followed by a blank, and its entries, which are tokens in context in their order.
+
+    ``_values`` has four rows: the entry's word among those, its kind before and
+    whether it is asked for; its count in training; the pairs that send a customer
+    to it; and the tables of its word's own restaurant, once per word. Both as with
+    one table per owned pair.
+    """
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
@@ -300,24 +321,36 @@ def context_rows(batches: DataFrame, shards: int) -> DataFrame:
                 yield counted(place, batch, *batch.totals(part.column("_totals")[i].as_py(), shards))
 
     def counted(place: int, batch: Batch, total: np.ndarray, owned: np.ndarray) -> pa.RecordBatch:
-        tally, words = Tally(), len(batch.names)
-        tally.numbers.update(zip(batch.names, range(words), strict=True))
+        tally = Tally()
+        tally.numbers.update(zip(batch.names, range(len(batch.names)), strict=True))
         tally.count([batch.row[batch.trained], batch.row[~batch.trained]])
-        found = tally.batch(place, batch.lang)
         seated = owned & (total > 0)
         customers = np.bincount(batch.entry[seated], minlength=len(batch.entries))
-        tables = per_word(batch, np.bincount(batch.before[seated], minlength=words))
-        several = owned & (total > 1)
-        asked = np.bincount(batch.entry[several], minlength=len(batch.entries)) > 0
-        asked |= per_word(batch, np.bincount(batch.before[several], minlength=words)) > 0
+        tables = per_word(batch, np.bincount(batch.before[seated], minlength=len(batch.names)))
+        shard, order = batch.dealt_entries(shards)
+        word, kind = np.divmod(batch.entries[order], len(KINDS))
+        first = np.diff(word, prepend=-1) != 0
+        number = np.cumsum(first) - 1  # of the word among all, in the order of shards
+        sent = pc.binary_join_element_wise(pa.array(batch.names, pa.binary()).take(pa.array(word[first])), b"", b" ")
+        ends, data = np.frombuffer(sent.buffers()[1], "<i4"), memoryview(sent.buffers()[2])
+        edges = np.searchsorted(shard[order], np.arange(shards + 1)).tolist()
+        spans = [(s, a, b) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+        asked = batch.asked(total, owned)[order]
+        rest = np.stack([tally.trained[batch.entries], customers, tables])[:, order]
+        names, values = [], []
+        for _, a, b in spans:
+            names.append(squeezed(bytes(data[ends[number[a]] : ends[number[b - 1] + 1]])))
+            code = ((number[a:b] - number[a]) * len(KINDS) + kind[a:b]) * 2 + asked[a:b]
+            values.append(squeezed(np.concatenate([code[None], rest[:, a:b]]).astype("<i8").tobytes()))
         return pa.RecordBatch.from_arrays(
-            [*found.columns, pa.array(np.arange(len(batch.entries))), pa.array(customers), pa.array(tables), pa.array(asked)],
-            names=[*found.schema.names, "_at", "_m", "_t", "_asked"],
+            [
+                pa.array([place] * len(spans), pa.int64()), pa.array([s for s, _, _ in spans], pa.int64()),
+                pa.array([batch.lang] * len(spans), pa.string()), pa.array(names, pa.binary()), pa.array(values, pa.binary()),
+            ],
+            names=["_batch", "_shard", "_lang", "_words", "_values"],
         )
 
-    return batches.mapInArrow(
-        count, "_batch bigint, _lang string, _token binary, _n bigint, _at bigint, _m bigint, _t bigint, _asked boolean"
-    )
+    return batches.mapInArrow(count, "_batch bigint, _shard bigint, _lang string, _words binary, _values binary")
 
 
 def per_word(batch: Batch, values: np.ndarray) -> np.ndarray:
@@ -326,21 +359,63 @@ def per_word(batch: Batch, values: np.ndarray) -> np.ndarray:
     return np.where(np.diff(word, prepend=-1) != 0, values[word], 0)
 
 
-def word_rows(counts: DataFrame) -> DataFrame:
-    """One row per word with its leaves: language, kind before, customers ``_n``, count in training ``_seen``, and the
-    tables ``_seats`` of the restaurant after the word, ``_more`` of them beyond one per pair. A word has a leaf per language and kind at most."""
-    leaves = counts.groupBy("_lang", "_token").agg(
-        F.sum("_m").alias("_n"), F.sum("_n").alias("_seen"), F.sum("_t").alias("_seats"), F.sum("_more").alias("_more")
-    )
-    size = F.length("_token")
-    return (
-        leaves.select(
-            F.substring("_token", F.lit(1), size - 1).alias("_word"),
-            F.struct("_lang", F.substring("_token", size, F.lit(1)).alias("_kind"), "_n", "_seen", "_seats", "_more").alias("_leaf"),
+def numbers_in(data: bytes, rows: int) -> np.ndarray:
+    """Rows of numbers that were squeezed together."""
+    return np.frombuffer(restored(data), "<i8").reshape(rows, -1)
+
+
+def ended_words(data: bytes) -> pa.Array:
+    """Words that are each followed by a blank, with it."""
+    ends = np.flatnonzero(np.frombuffer(data, np.uint8) == ord(" ")) + 1
+    offsets = np.concatenate([[0], ends]).astype("<i4")
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+LEAF = ("word", "lang", "kind", "n", "seen", "seats", "more")
+SHARD_SCHEMA = (
+    "_shard bigint, _langs array<string>, _leaves binary, _batches array<bigint>, _at array<binary>, _tokens bigint, _types bigint"
+)
+
+
+def word_shards(entries: DataFrame) -> DataFrame:
+    """One row per shard. ``_leaves`` has the rows of ``LEAF``: number of the word, place of the language in ``_langs`` and of
+    the kind before, customers, count in training, and the tables of the restaurant after the word, with those beyond one
+    per pair. ``_at`` has, for each of ``_batches``, the leaf of each entry, twice, and one more if it is asked for. ``_tokens`` and
+    ``_types`` are the tokens in training and their different words. Words are compared as bytes and then numbers."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_batch")
+        names = [ended_words(restored(data)) for data in table.column("_words").to_pylist()]
+        starts = np.cumsum([0, *map(len, names)])
+        word = pa.concat_arrays(names).dictionary_encode().indices.to_numpy()
+        given = [numbers_in(data, 4) for data in table.column("_values").to_pylist()]
+        sizes = [g.shape[1] for g in given]
+        code, seen, customers, tables = np.concatenate(given, 1)
+        code, asked = np.divmod(code, 2)
+        at, kind = np.divmod(code, len(KINDS))
+        langs = sorted(set(table.column("_lang").to_pylist()))
+        lang = np.repeat([langs.index(x) for x in table.column("_lang").to_pylist()], sizes)
+        keys = (word[at + np.repeat(starts[:-1], sizes)].astype(np.int64) * len(langs) + lang) * len(KINDS) + kind
+        found, leaf = np.unique(keys, return_inverse=True)
+        summed = [np.bincount(leaf, values).astype(np.int64) for values in (customers, seen, tables)]
+        of, kind = np.divmod(found, len(KINDS))
+        of, lang = np.divmod(of, len(langs))
+        known = np.bincount(of, summed[1])
+        leaves = np.stack([of, lang, kind, *summed, np.zeros(len(found), np.int64)])
+        places = [squeezed(p.astype("<i8").tobytes()) for p in np.split(2 * leaf + asked, np.cumsum(sizes)[:-1])]
+        values = (
+            table.column("_shard")[0].as_py(), langs, squeezed(leaves.astype("<i8").tobytes()), table.column("_batch").to_pylist(),
+            places, int(known.sum()), int((known > 0).sum()),
         )
-        .groupBy("_word")
-        .agg(F.collect_list("_leaf").alias("_leaves"))
-    )
+        return shard_row(*values)
+
+    return entries.groupBy("_shard").applyInArrow(merge, SHARD_SCHEMA)
+
+
+def shard_row(*values) -> pa.Table:
+    kinds = (pa.int64(), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.binary()), pa.int64(), pa.int64())
+    names = [field.split()[0] for field in SHARD_SCHEMA.split(", ")]
+    return pa.Table.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
 
 def seat_table(discount: float, most: int = EXACT_SEATS) -> np.ndarray:
@@ -429,28 +504,31 @@ class Totals:
 class Seating:
     """The restaurants' rows of some words: leaves (language and kind), middles (language) and the top, per word."""
 
-    def __init__(self, batch: pa.RecordBatch) -> None:
-        leaves = batch.column("_leaves")
-        flat = leaves.flatten()
-        self.word = np.repeat(np.arange(len(leaves)), np.diff(leaves.offsets.to_numpy()))
-        self.langs, self.kinds = flat.field("_lang").to_pylist(), flat.field("_kind").to_pylist()
-        self.counts = flat.field("_n").to_numpy().astype(np.int64)
+    def __init__(self, langs: list[str], word, lang, kind, counts, seen=None, seats=None, more=None) -> None:
+        self.langs, self.word, self.lang, self.kind, self.counts = langs, word, lang, kind, counts
         # Customers that come from no restaurants of words are tokens.
-        own = {field.name for field in flat.type}
-        fields = ("_seen", "_seats", "_more")
-        self.seen, self.seats, self.more = (flat.field(n if n in own else "_n").to_numpy().astype(np.int64) for n in fields)
-        langs, lang = np.unique(np.array(self.langs, object).astype(str), return_inverse=True)
-        places, place = np.unique(np.array([f"{k.decode()}{x}" for x, k in zip(self.langs, self.kinds, strict=True)]), return_inverse=True)
-        self.lang_names, self.place_names, self.place = langs.tolist(), places.tolist(), place
-        pairs, self.middle = np.unique(self.word * len(langs) + lang, return_inverse=True)
+        self.seen, self.seats, self.more = (counts if v is None else v for v in (seen, seats, more))
+        self.place = lang * len(KINDS) + kind
+        self.place_names = [f"{k.decode()}{x}" for x in langs for k in KINDS]
+        pairs, self.middle = np.unique(word * len(langs) + lang, return_inverse=True)
         self.middle_lang, self.top = pairs % len(langs), pairs // len(langs)
-        self.words = len(leaves)
+        self.words = int(word[-1]) + 1
         self.leaf_tables = np.minimum(self.counts, 1)
         self._sum()
         self.middle_tables = np.minimum(self.middle_counts, 1)
         self._sum()
         self.top_tables = np.minimum(self.top_counts, 1)
 
+    @classmethod
+    def of_rows(cls, batch: pa.RecordBatch) -> Seating:
+        """That of a table with a row per word."""
+        leaves = batch.column("_leaves")
+        flat = leaves.flatten()
+        word = np.repeat(np.arange(len(leaves)), np.diff(leaves.offsets.to_numpy()))
+        langs, lang = np.unique(np.array(flat.field("_lang").to_pylist(), object).astype(str), return_inverse=True)
+        kind = np.array([KINDS.index(k) for k in flat.field("_kind").to_pylist()])
+        return cls(langs.tolist(), word, lang, kind, flat.field("_n").to_numpy().astype(np.int64))
+
     def _sum(self) -> None:
         self.middle_counts = np.bincount(self.middle, self.leaf_tables, len(self.top)).astype(np.int64)
         tables = getattr(self, "middle_tables", self.middle_counts)
@@ -478,7 +556,7 @@ class Seating:
         self.top_tables = draw_tables(self.top_counts, weight, d0, tables[0], rng)
 
     def _totals(self, totals: Totals) -> list:
-        top, middle = totals.of(0, [""]), totals.of(1, self.lang_names)
+        top, middle = totals.of(0, [""]), totals.of(1, self.langs)
         return [(top[0][0], top[1][0]), middle, totals.of(2, self.place_names)]
 
     def predictive(self, totals: Totals) -> np.ndarray:
@@ -498,7 +576,7 @@ class Seating:
         """What this batch adds to each restaurant's customers and tables, and how many words have one or two customers."""
         levels = [
             (0, [""], np.zeros(self.words, int), self.top_counts, self.top_tables),
-            (1, self.lang_names, self.middle_lang, self.middle_counts, self.middle_tables),
+            (1, self.langs, self.middle_lang, self.middle_counts, self.middle_tables),
             (2, self.place_names, self.place, self.counts, self.leaf_tables),
         ]
         rows: dict = defaultdict(list)
@@ -516,10 +594,23 @@ SUMMARY = pa.schema(
 )
 
 
-def _seeded(batch: pa.RecordBatch, step: int):
-    """Random numbers that are the same when a lost task is run again on the same rows."""
-    first = batch.column("_word")[0].as_py()
-    return np.random.default_rng([step, len(batch), *first[:64]])
+def seatings(rows: pa.RecordBatch, step: int) -> Iterator[tuple[Seating, np.random.Generator]]:
+    """The words of a table by row, or of each shard in blocks, with random numbers that are the same when a lost task is run again."""
+    if "_shard" not in rows.schema.names:
+        yield Seating.of_rows(rows), np.random.default_rng([step, len(rows), *rows.column("_word")[0].as_py()[:64]])
+        return
+    for i in range(rows.num_rows):
+        yield from blocks(rows, i, step)
+
+
+def blocks(rows: pa.RecordBatch, i: int, step: int) -> Iterator[tuple[Seating, np.random.Generator]]:
+    """Those of one shard, cut between words."""
+    leaves, langs = numbers_in(rows.column("_leaves")[i].as_py(), len(LEAF)), rows.column("_langs")[i].as_py()
+    first = np.flatnonzero(np.diff(leaves[0], prepend=-1))
+    edges = first[np.unique(np.searchsorted(first, np.arange(0, leaves.shape[1], BLOCK_LEAVES)).clip(max=len(first) - 1))]
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), leaves.shape[1]], strict=True):
+        word, *rest = leaves[:, a:b]
+        yield Seating(langs, word - word[0], *rest), np.random.default_rng([step, rows.column("_shard")[i].as_py(), a])
 
 
 def seating_totals(word_table: DataFrame, vocabulary: int, before: Totals | None) -> Totals:
@@ -529,10 +620,10 @@ def seating_totals(word_table: DataFrame, vocabulary: int, before: Totals | None
         seats = before and [seat_table(before.discounts[level]) for level in (0, 1, 2)]
         for batch in batches:
             if batch.num_rows:
-                seating, rng = Seating(batch), _seeded(batch, 1)
-                for _ in range(BURN_IN if before else 0):
-                    seating.sweep(before, seats, rng)
-                yield seating.summary()
+                for seating, rng in seatings(batch, 1):
+                    for _ in range(BURN_IN if before else 0):
+                        seating.sweep(before, seats, rng)
+                    yield seating.summary()
 
     summed = [F.sum(c).alias(c) for c in ("customers", "tables", "once", "twice")]
     schema = "level bigint, context string, customers bigint, tables bigint, once bigint, twice bigint"
@@ -540,108 +631,156 @@ def seating_totals(word_table: DataFrame, vocabulary: int, before: Totals | None
     return Totals(found.collect(), vocabulary)  # one row per context
 
 
-def predictive_rows(word_table: DataFrame, totals: Totals, samples: int = SAMPLES) -> DataFrame:
-    """Per language and token in context: ``_c``, the word's count in training, and ``_p``, averaged over ``samples`` seatings.
+def mean_chances(seating: Seating, rng: np.random.Generator, totals: Totals, samples: int) -> np.ndarray:
+    """What ``Seating.predictive`` says, averaged over ``samples`` seatings."""
+    seats = [seat_table(totals.discounts[level]) for level in (0, 1, 2)]
+    mean = np.zeros((2, len(seating.counts)))
+    for step in range(BURN_IN + samples):
+        seating.sweep(totals, seats, rng)
+        if step >= BURN_IN:
+            mean += seating.predictive(totals) / samples
+    return mean
 
-    ``_q`` is the same with one customer gone. ``_heads`` and ``_seats`` are the
-    customers and tables of the restaurant after the word, ``_more`` those of
-    its tables beyond one per pair.
-    """
+
+def predictive_rows(word_table: DataFrame, totals: Totals, samples: int = SAMPLES) -> DataFrame:
+    """For a table with a row per word: per language and token in context its averaged probability ``_p``, and ``_q``, that
+    with one customer gone."""
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seats = [seat_table(totals.discounts[level]) for level in (0, 1, 2)]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            seating, rng = Seating(batch), _seeded(batch, 2)
-            mean = np.zeros((2, len(seating.counts)))
-            for step in range(BURN_IN + samples):
-                seating.sweep(totals, seats, rng)
-                if step >= BURN_IN:
-                    mean += seating.predictive(totals) / samples
-            c = np.bincount(seating.word, seating.seen, seating.words).astype(np.int64)
-            after = [np.bincount(seating.middle, v).astype(np.int64)[seating.middle] for v in (seating.seen, seating.seats, seating.more)]
+            (seating, rng), = seatings(batch, 2)
+            mean = mean_chances(seating, rng, totals, samples)
             names = batch.column("_word").to_pylist()
-            tokens = [names[w] + k for w, k in zip(seating.word, seating.kinds, strict=True)]
+            tokens = [names[w] + KINDS[k] for w, k in zip(seating.word, seating.kind, strict=True)]
+            langs = [seating.langs[x] for x in seating.lang]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(seating.langs, pa.string()), pa.array(tokens, pa.binary()), *map(pa.array, (c[seating.word], *mean, *after))],
-                names=["_l", "_t", "_c", "_p", "_q", "_heads", "_seats", "_more"],
+                [pa.array(langs, pa.string()), pa.array(tokens, pa.binary()), *map(pa.array, mean)], names=["_l", "_t", "_p", "_q"]
             )
 
-    schema = "_l string, _t binary, _c bigint, _p double, _q double, _heads bigint, _seats bigint, _more bigint"
-    return word_table.mapInArrow(predict, schema)
-
+    return word_table.mapInArrow(predict, "_l string, _t binary, _p double, _q double")
 
-def looked_up(counts: DataFrame, model: DataFrame, *columns: str) -> DataFrame:
-    """What the model says of the tokens in context of each batch, by their place in the batch."""
-    needed = counts.select(F.col("_batch").alias("_of"), F.col("_at").cast("int").alias("_at"), "_lang", "_token")
-    found = needed.join(model, (F.col("_token") == F.col("_t")) & (F.col("_lang") == F.col("_l")))
-    chances = {"_p", "_q"}
-    return found.select("_of", "_at", *(F.col(c).cast("float").alias(c) if c in chances else F.col(c) for c in columns))
 
+def looked_up(words: DataFrame, totals: Totals, samples: int, shards: int, asked: bool) -> DataFrame:
+    """What the shards tell each batch, of all its entries or those asked for, by shard and in their order.
 
-def entry_values(batch: Batch, dictionary: pa.Table, *columns: str) -> list[np.ndarray]:
-    """Columns of ``looked_up`` by place in the batch, 0 where a place was not looked up."""
-    at = dictionary.column("_at").to_numpy()
-    values = []
-    for name in columns:
-        found = dictionary.column(name).to_numpy()
-        values.append(np.zeros(len(batch.entries), np.float64 if found.dtype == np.float32 else found.dtype))
-        values[-1][at] = found
-    return values
-
-
-def by_word(batch: Batch, values: np.ndarray) -> np.ndarray:
-    """The values of words that ``per_word`` put to their first entries."""
-    word = batch.entries // len(KINDS)
-    found = np.zeros(len(batch.names), values.dtype)
-    first = np.diff(word, prepend=-1) != 0
-    found[word[first]] = values[first]
-    return found
-
+    ``_chances`` has the averaged probabilities, and those with one customer gone.
+    ``_counts`` has, once per word, its count in training, and in the batch's language
+    customers and tables of the restaurant after it, and the tables beyond one per pair.
+    """
 
-def pair_chances(batch: Batch, total: np.ndarray, dictionary: pa.Table, discount: float) -> np.ndarray:
-    """The probability of each pair's word after the word before it, given how often the pair occurs in training."""
-    chance, less, heads, tables, more = entry_values(batch, dictionary, "_p", "_q", "_heads", "_seats", "_more")
-    heads, tables, more = (by_word(batch, v)[batch.before] for v in (heads, tables, more))
+    def answer(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in rows:
+            for i in range(part.num_rows):
+                chances, counts = [], []
+                for seating, rng in blocks(part, i, 2):
+                    chances.append(mean_chances(seating, rng, totals, samples))
+                    known = np.bincount(seating.word, seating.seen)[seating.word]
+                    after = (np.bincount(seating.middle, v)[seating.middle] for v in (seating.seen, seating.seats, seating.more))
+                    counts.append(np.stack([known, *after]).astype("<i8"))
+                word = numbers_in(part.column("_leaves")[i].as_py(), len(LEAF))[0]
+                yield told(part, i, word, np.concatenate(chances, 1).astype("<f4"), np.concatenate(counts, 1))
+
+    def told(part: pa.RecordBatch, i: int, word: np.ndarray, chances: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        found: list[tuple] = []
+        for place, data in zip(part.column("_batches")[i].as_py(), part.column("_at")[i].as_py(), strict=True):
+            leaf, wanted = np.divmod(numbers_in(data, 1)[0], 2)
+            leaf = leaf[wanted == 1] if asked else leaf
+            if len(leaf):
+                once = leaf[np.diff(word[leaf], prepend=-1) != 0]
+                found.append((place, squeezed(chances[:, leaf].tobytes()), squeezed(counts[:, once].tobytes())))
+        columns = [pa.array([f[n] for f in found], kind) for n, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))]
+        shard = pa.array([part.column("_shard")[i].as_py()] * len(found), pa.int64())
+        return pa.RecordBatch.from_arrays([shard, *columns], names=["_shard", "_of", "_chances", "_counts"])
+
+    told_rows = words.mapInArrow(answer, "_shard bigint, _of bigint, _chances binary, _counts binary")
+    listed = F.sort_array(F.collect_list(F.struct("_shard", "_chances", "_counts")))
+    return told_rows.groupBy("_of").agg(listed.alias("_answers")).withColumn("_shards", F.lit(shards))
+
+
+def entry_values(batch: Batch, answers: list[dict], shards: int, asked: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Chances by entry and counts by word as ``looked_up`` has them, 0 where nothing was looked up."""
+    _, order = batch.dealt_entries(shards)
+    order = order if asked is None else order[asked[order]]
+    chances, counts = np.zeros((2, len(batch.entries))), np.zeros((4, len(batch.names)), np.int64)
+    if answers:
+        chances[:, order] = np.concatenate([np.frombuffer(restored(a["_chances"]), "<f4").reshape(2, -1) for a in answers], 1)
+        word = batch.entries[order] // len(KINDS)
+        counts[:, word[np.diff(word, prepend=-1) != 0]] = np.concatenate([numbers_in(a["_counts"], 4) for a in answers], 1)
+    return chances, counts
+
+
+def pair_chances(batch: Batch, total: np.ndarray, dictionary: pa.RecordBatch | pa.Table, discount: float, i: int = 0) -> np.ndarray:
+    """The probability of each pair's word after the word before it, given how often the pair occurs in training, and
+    what row ``i`` of ``looked_up`` says."""
+    return chances_and_known(batch, total, dictionary, discount, i)[0]
+
+
+def chances_and_known(
+    batch: Batch, total: np.ndarray, dictionary: pa.RecordBatch | pa.Table, discount: float, i: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """These probabilities, and the count of each word in training."""
+    answers, shards = (dictionary.column(name)[i].as_py() for name in ("_answers", "_shards"))
+    (chance, less), (known, heads, tables, more) = entry_values(batch, answers, shards)
     # The mean is that of the sweep in which the tables were counted, so that probabilities add up to about 1.
-    weight = (THETA + discount * (tables - more)) * less[batch.entry]
+    weight = (THETA + discount * (tables - more))[batch.before] * less[batch.entry]
     own = total - discount * mean_tables(total, weight, discount, seat_table(discount))
-    return (own + (THETA + discount * tables) * chance[batch.entry]) / (THETA + heads)
+    return (own + (THETA + discount * tables)[batch.before] * chance[batch.entry]) / (THETA + heads)[batch.before], known
 
 
 def seated_pairs(batches: DataFrame, asked: DataFrame, discount: float, shards: int) -> DataFrame:
     """A sweep over the restaurants of words: each batch seats the customers of its pairs anew.
 
-    Per token in context ``_m``, how many customers more than one per pair are
-    sent to it, and ``_t``, how many tables more the restaurant after it has.
-    What others hold is that of the sweep before, in which each pair had a table.
+    Per batch and shard, of the entries asked for in their order: how many customers
+    more than one per pair are sent to each, and how many tables more the
+    restaurant after its word has. What others hold is that of the sweep before, in which each pair had a table.
     """
 
-    def seat(key: tuple, rows: pa.Table, dictionary: pa.Table) -> pa.Table:
-        found: list[pa.Table] = []
-        for i, (place, batch) in enumerate(opened(rows)):
-            total, owned = batch.totals(rows.column("_totals")[i].as_py(), shards)
-            chance, tables = entry_values(batch, dictionary, "_q", "_seats")
-            at = np.flatnonzero(owned & (total > 1))
-            weight = (THETA + discount * by_word(batch, tables)[batch.before[at]]) * chance[batch.entry[at]]
-            drawn = draw_tables(total[at], weight, discount, seat_table(discount), np.random.default_rng([3, place])) - 1
-            more = np.bincount(batch.entry[at], drawn, len(batch.entries)).astype(np.int64)
-            after = per_word(batch, np.bincount(batch.before[at], drawn, len(batch.names)).astype(np.int64))
-            kept = np.flatnonzero(more + after)
-            word, kind = np.divmod(batch.entries[kept], len(KINDS))
-            tokens = [batch.names[w] + KINDS[k] for w, k in zip(word.tolist(), kind.tolist(), strict=True)]
-            found.append(pa.table(
-                {
-                    "_lang": pa.array([batch.lang] * len(kept), pa.string()), "_token": pa.array(tokens, pa.binary()),
-                    "_m": pa.array(more[kept]), "_t": pa.array(after[kept]),
-                }
-            ))
-        empty = pa.schema([("_lang", pa.string()), ("_token", pa.binary()), ("_m", pa.int64()), ("_t", pa.int64())])
-        return pa.concat_tables(found) if found else empty.empty_table()
-
-    grouped = batches.groupBy("_batch").cogroup(asked.groupBy("_of"))
-    return grouped.applyInArrow(seat, "_lang string, _token binary, _m bigint, _t bigint")
+    def seat(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in rows:
+            for i, (place, batch) in enumerate(opened(part)):
+                totals, answers = (part.column(name)[i].as_py() for name in ("_totals", "_answers"))
+                yield seated(place, batch, *batch.totals(totals, shards), answers)
+
+    def seated(place: int, batch: Batch, total: np.ndarray, owned: np.ndarray, answers: list[dict]) -> pa.RecordBatch:
+        asked = batch.asked(total, owned)
+        (_, chance), (_, _, tables, _) = entry_values(batch, answers, shards, asked)
+        at = np.flatnonzero(owned & (total > 1))
+        weight = (THETA + discount * tables[batch.before[at]]) * chance[batch.entry[at]]
+        drawn = draw_tables(total[at], weight, discount, seat_table(discount), np.random.default_rng([3, place])) - 1
+        more = np.bincount(batch.entry[at], drawn, len(batch.entries)).astype(np.int64)
+        after = per_word(batch, np.bincount(batch.before[at], drawn, len(batch.names)).astype(np.int64))
+        shard, order = batch.dealt_entries(shards)
+        order = order[asked[order]]
+        found, first = np.unique(shard[order], return_index=True)
+        both = np.split(np.stack([more, after])[:, order].astype("<i8"), first[1:], 1)
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([place] * len(found), pa.int64()), pa.array(found.astype(np.int64)),
+                pa.array([squeezed(b.tobytes()) for b, _ in zip(both, found, strict=False)], pa.binary()),
+            ],
+            names=["_from", "_to", "_more"],
+        )
+
+    return batches.join(asked, F.col("_batch") == F.col("_of")).mapInArrow(seat, "_from bigint, _to bigint, _more binary")
+
+
+def seated_shards(words: DataFrame, more: DataFrame) -> DataFrame:
+    """``words`` with what ``seated_pairs`` sends them."""
+
+    def add(shard: pa.Table, sent: pa.Table) -> pa.Table:
+        row = shard.to_pylist()[0]
+        leaves = numbers_in(row["_leaves"], len(LEAF)).copy()
+        at = dict(zip(row["_batches"], row["_at"], strict=True))
+        for place, data in zip(sent.column("_from").to_pylist(), sent.column("_more").to_pylist(), strict=True):
+            leaf, wanted = np.divmod(numbers_in(at[place], 1)[0], 2)
+            customers, tables = numbers_in(data, 2)
+            for name, values in (("n", customers), ("seats", tables), ("more", tables)):
+                leaves[LEAF.index(name), leaf[wanted == 1]] += values  # a batch has a leaf once
+        return shard_row(*(row | {"_leaves": squeezed(leaves.tobytes())}).values())
+
+    return words.groupBy("_shard").cogroup(more.groupBy("_to")).applyInArrow(add, SHARD_SCHEMA)
 
 
 def score_documents(
@@ -656,10 +795,10 @@ def score_documents(
     by the checksum of the empty text; repeated rows count as often as they
     occur; a null language is one of its own; an empty table gives no rows.
 
-    Words travel as one row per batch of documents and context, and pairs of
-    words as hashes in arrays, to the model and back. No table of words or of
-    pairs is ever whole in one place, and no group holds more than a batch or a
-    shard. Pairs are told apart by 64 bits.
+    Words and the hashes of pairs travel as arrays, a row per batch of documents
+    and shard, to the model and back. No table of words or of pairs is ever whole in one
+    place, and no group holds more than a batch or a shard. Pairs are told apart by
+    64 bits, words by their bytes.
     """
     rows = prepared(docs, key, text, stratum)
     numbered = work_table(numbered_batches(rows), "batches", "zstd")
@@ -668,39 +807,29 @@ def score_documents(
     once, twice = answers.agg(F.sum("_once"), F.sum("_twice")).first()
     discount = discount_of(once or 0, twice or 0)
     batches = numbered.join(answers.select(F.col("_batch").alias("_b"), "_totals"), F.col("_batch") == F.col("_b")).drop("_b")
-    counts = work_table(context_rows(batches, shards), "counts", "zstd")
-    none = F.lit(0).cast("bigint")
-    word_table = work_table(word_rows(counts.withColumn("_more", none)), "word_rows", "zstd")
-    known = F.aggregate("_leaves", F.lit(0).cast("bigint"), lambda total, leaf: total + leaf["_seen"])
-    size = word_table.select(known.alias("_c")).agg(F.sum("_c").alias("tokens"), F.count_if(F.col("_c") > 0).alias("types"))
-    training, vocabulary = (n or 0 for n in size.first())
-
-    first = predictive_rows(word_table, seating_totals(word_table, vocabulary, None), 1)
-    asked = work_table(looked_up(counts.where("_asked"), first, "_q", "_seats"), "asked", "zstd")
-    more = seated_pairs(batches, asked, discount, shards).withColumns({"_n": none, "_more": F.col("_t")})
-    columns = ("_lang", "_token", "_n", "_m", "_t")
-    both = counts.select(*columns, none.alias("_more")).unionByName(more.select(*columns, "_more"))
-    word_table = work_table(word_rows(both), "seated_rows", "zstd")
+    word_table = work_table(word_shards(entry_rows(batches, shards)), "words")
+    training, vocabulary = (n or 0 for n in word_table.agg(F.sum("_tokens"), F.sum("_types")).first())
+
+    asked = work_table(looked_up(word_table, seating_totals(word_table, vocabulary, None), 1, shards, True), "asked")
+    word_table = work_table(seated_shards(word_table, seated_pairs(batches, asked, discount, shards)), "seated_words")
     totals = seating_totals(word_table, vocabulary, seating_totals(word_table, vocabulary, None))
-    values = looked_up(counts, predictive_rows(word_table, totals), "_c", "_p", "_q", "_heads", "_seats", "_more")
-    values = work_table(values, "looked_up", "zstd")
+    values = work_table(looked_up(word_table, totals, SAMPLES, shards, False), "looked_up")
     base_log = math.log10(training + vocabulary + 1)
 
-    def score(key: tuple, texts: pa.Table, dictionary: pa.Table) -> pa.Table:
-        with without_collector():
-            return pa.concat_tables(
-                scored(batch, texts.column("_ids")[i].as_py(), texts.column("_totals")[i].as_py(), dictionary)
-                for i, (_, batch) in enumerate(opened(texts))
-            )
-
-    def scored(batch: Batch, ids: bytes, answers: list[dict], dictionary: pa.Table) -> pa.Table:
-        total, _ = batch.totals(answers, shards)
-        found = np.log10(pair_chances(batch, total, dictionary, discount))
-        known = by_word(batch, entry_values(batch, dictionary, "_c")[0])
+    def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in rows:
+            for i, (_, batch) in enumerate(opened(part)):
+                with without_collector():
+                    yield scored(batch, part, i)
+
+    def scored(batch: Batch, part: pa.RecordBatch, i: int) -> pa.RecordBatch:
+        ids, answers = (part.column(name)[i].as_py() for name in ("_ids", "_totals"))
+        chances, known = chances_and_known(batch, batch.totals(answers, shards)[0], part, discount, i)
+        found = np.log10(chances)
         starts = np.concatenate([[0], batch.ends[:-1] + 1])
         of_token = found[np.searchsorted(batch.pairs, batch.paired)]
         base = np.log10(known + 1.0) - base_log
-        return pa.Table.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [
                 pa.array(np.frombuffer(ids, "<i8")),
                 pa.array(batch.trained[batch.ends]),
@@ -713,7 +842,7 @@ def score_documents(
         )
 
     schema = "_id bigint, _train boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    scored_rows = batches.groupBy("_batch").cogroup(values.groupBy("_of")).applyInArrow(score, schema)
+    scored_rows = batches.join(values, F.col("_batch") == F.col("_of")).mapInArrow(score, schema)
     return scored_rows.select(
         F.when(F.col("_id") != NO_ID, F.col("_id")).alias("doc_id"),
         (~F.col("_train")).alias("held_out"),

@@ -196,3 +196,90 @@ def test_probabilities_after_a_word_add_up_to_one(spark, monkeypatch):
     after = batch.before == batch.names.index(b"w000x")
     assert after.sum() == 152
     assert abs(chances[after].sum() - 1) < 0.03  # tables are counted as drawn, and scored by their mean
+
+
+def odd_rows(made):
+    rows = [(i, " ".join(made.choices(["a", "B", "of.", "b", "é", "longer"], k=made.randrange(9))), made.choice(["x", "y", None])) for i in range(200)]
+    return rows + [(1000 + i, f"hot pair once{i} " * 40, "x") for i in range(14)]
+
+
+def test_words_meet_in_shards_and_come_back_to_their_entries(spark, monkeypatch):
+    """Counts of leaves, and what each batch is told of its words, against plain counts; over many batches and shards."""
+    monkeypatch.setattr(scoring, "HELD_TOKENS", 7)
+    rows, shards = odd_rows(random.Random(9)), 5
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(6)
+    batches = scoring.numbered_batches(scoring.prepared(docs, "doc_id", "text", "lang")).localCheckpoint()
+    batches = batches.join(scoring.pair_totals(batches, shards), "_batch").localCheckpoint()
+    words = scoring.word_shards(scoring.entry_rows(batches, shards)).localCheckpoint()
+
+    def kind(word):
+        return 0 if word == "" else 1 if word[-1] in ".!?:;" else 2 if len(word.encode()) <= 3 else 3
+
+    seen, pairs, entries = Counter(), set(), set()
+    for key, text, lang in rows:
+        found = ["", *tokens(text)]
+        for before, word in zip(found, found[1:], strict=False):
+            entries.add((word, lang or "", kind(before)))
+            if not held_out(key):
+                seen[word, lang or "", kind(before)] += 1
+                pairs.add((before, word, lang or ""))
+    customers = Counter((word, lang, kind(before)) for before, word, lang in pairs)
+    table = words.toArrow().combine_chunks().to_batches()[0]
+    assert 1 < table.num_rows <= shards
+    leaves = Counter()
+    for i in range(table.num_rows):
+        langs = table.column("_langs")[i].as_py()
+        word, lang, of, n, count, _, more = scoring.numbers_in(table.column("_leaves")[i].as_py(), len(scoring.LEAF))
+        assert set(word) == set(range(word.max() + 1)) and not more.any()
+        leaves.update(zip([langs[x] for x in lang], of.tolist(), n.tolist(), count.tolist(), strict=True))
+    assert leaves == Counter((lang, k, customers[w, lang, k], seen[w, lang, k]) for w, lang, k in entries)
+    known, heads = Counter(), Counter()
+    for (word, lang, _), n in seen.items():
+        known[word] += n
+        heads[word, lang] += n
+    assert [sum(table.column(c).to_pylist()) for c in ("_tokens", "_types")] == [known.total(), len(known)]
+
+    totals = scoring.seating_totals(words, len(known), None)
+    asked = scoring.looked_up(words, totals, 1, shards, True).localCheckpoint()
+    seated = scoring.seated_shards(words, scoring.seated_pairs(batches, asked, 0.5, shards)).localCheckpoint()
+    after = seated.toArrow().combine_chunks().to_batches()[0]
+    sums = [
+        sum(scoring.numbers_in(data, len(scoring.LEAF)).sum(1) for data in t.column("_leaves").to_pylist()) for t in (table, after)
+    ]
+    n, seats, more = (scoring.LEAF.index(name) for name in ("n", "seats", "more"))
+    for found in sums:  # each table of a pair is a customer above, and one of the restaurant after the word before
+        assert found[n] == found[seats] == len(pairs) + found[more]
+    assert sums[1][more] > 0
+    told = scoring.looked_up(seated, scoring.seating_totals(seated, len(known), None), 1, shards, False)
+    joined = batches.join(told, batches["_batch"] == told["_of"]).collect()
+    assert len(joined) == batches.count() > 12
+    for row in joined:
+        batch = scoring.Batch(row._lang, bytes(row._names), bytes(row._row), bytes(row._train))
+        chances, (c, h, _, _) = scoring.entry_values(batch, [a.asDict() for a in row._answers], row._shards)
+        names = [name.decode() for name in batch.names]
+        assert c.tolist() == [known[name] for name in names]
+        assert h.tolist() == [heads[name, row._lang] for name in names]
+        assert (chances[0] > 0).all() and (chances[1] <= chances[0] + 1e-6).all()
+
+
+def test_no_table_has_a_row_per_word(spark, monkeypatch):
+    """Words go between batches and shards as arrays: rows follow their numbers, not the vocabulary."""
+    tables, written = {}, scoring.work_table
+    monkeypatch.setattr(scoring, "work_table", lambda df, name, *codec: tables.setdefault(name, written(df, name, *codec)))
+    rows = [(i, " ".join(f"word{i}x{j}" for j in range(40)), "x") for i in range(60)]
+    assert scoring.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(3)).count() == 60
+    assert tables["batches"].count() <= 3
+    assert {name: n for name, t in tables.items() if (n := t.count()) > 3} == {}
+
+
+def test_blocks_of_a_shard_are_cut_between_words(spark, monkeypatch):
+    docs = spark.createDataFrame(odd_rows(random.Random(4)), "doc_id bigint, text string, lang string")
+    batches = scoring.numbered_batches(scoring.prepared(docs, "doc_id", "text", "lang")).localCheckpoint()
+    words = scoring.word_shards(scoring.entry_rows(batches.join(scoring.pair_totals(batches, 1), "_batch"), 1)).toArrow().to_batches()[0]
+    (whole, _), = scoring.blocks(words, 0, 1)
+    for size in (1, 3, 7, 1000):
+        monkeypatch.setattr(scoring, "BLOCK_LEAVES", size)
+        parts = [part for part, _ in scoring.blocks(words, 0, 1)]
+        assert sum(part.words for part in parts) == whole.words
+        assert np.concatenate([part.counts for part in parts]).tolist() == whole.counts.tolist()
+        assert len(parts) > 1 or size == 1000
