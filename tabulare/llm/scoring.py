@@ -36,9 +36,9 @@ END = b""  # no word is empty
 KINDS = [b" ", b"\t", b"\n", b"\r"]  # of the token before: none, one that ends a sentence, a short one, another
 STOPS = (b".", b"!", b"?", b":", b";")
 SHORT = 3
-HELD_WORDS, HELD_TOKENS = 600_000, 4_000_000
-SHARD_TOKENS = 4_000_000
-BLOCK_LEAVES = 250_000
+HELD_WORDS, HELD_TOKENS, HELD_BYTES = 600_000, 4_000_000, 64_000_000
+SHARD_TOKENS, SHARD_BYTES = 4_000_000, 64_000_000
+BLOCK_LEAVES = BLOCK_PAIRS = 250_000
 THETA = 1.0
 BURN_IN, SAMPLES = 2, 4
 EXACT_SEATS = 24
@@ -126,10 +126,17 @@ def prepared(docs: DataFrame, key: str, text: str, stratum: str) -> DataFrame:
 def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different values in order, and how often each occurs."""
     ordered = np.sort(values)
-    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    first = np.flatnonzero(fresh(ordered))
     return ordered[first], np.diff(first, append=len(ordered))
 
 
+def fresh(ordered: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before."""
+    found = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=found[1:])
+    return found
+
+
 def squeezed(data: bytes) -> bytes:
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
@@ -185,6 +192,14 @@ class Batch:
         found[self.dealt(shards)[2]] = coded
         return found >> 1, found & 1 == 1
 
+    def by_token(self, values: np.ndarray) -> np.ndarray:
+        """The values of pairs for each token, in parts that are sorted first: that is quicker, and one part at a time is small."""
+        found = np.empty(len(self.paired))
+        for part, to in zip(*(np.split(v, range(BLOCK_PAIRS, len(v), BLOCK_PAIRS)) for v in (self.paired, found)), strict=True):
+            order = np.argsort(part)
+            to[order] = values[np.searchsorted(self.pairs, part[order])]
+        return found
+
     def asked(self, total: np.ndarray, owned: np.ndarray) -> np.ndarray:
         """Which entries a sweep over the pairs needs: those of owned pairs with customers to seat, and one of each word before."""
         several = owned & (total > 1)
@@ -201,25 +216,29 @@ MIX = [np.uint64(n) for n in (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xBF58476D
 
 
 def numbered_batches(rows: DataFrame) -> DataFrame:
-    """The texts as numbers: a row per batch, with its documents one after the other, its words, and how many tokens it has."""
+    """The texts as numbers: a row per batch, with its documents one after the other, its words, how many tokens it has, and
+    how many bytes its words."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = TaskContext.get().partitionId() << 32
         held: dict = {}
+        held_bytes = 0
 
         def taken() -> Iterator[pa.RecordBatch]:
-            nonlocal place
+            nonlocal place, held_bytes
             for lang, (numbers, ids, train, parts) in held.items():
                 row, flags = np.concatenate(parts).astype("<u4"), np.array(train, bool).tobytes()
-                blobs = squeezed(row.tobytes()), squeezed(b" ".join(numbers))
-                values = (place, lang, np.array(ids, "<i8").tobytes(), flags, *blobs, len(row))
+                names = b" ".join(numbers)
+                values = (place, lang, np.array(ids, "<i8").tobytes(), flags, squeezed(row.tobytes()), squeezed(names), len(row), len(names))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v], k) for v, k in zip(values, BATCH_KINDS, strict=True)], names=BATCH_NAMES
                 )
                 place += 1
             held.clear()
+            held_bytes = 0
 
         for part in slices(batches):
+            held_bytes += pc.sum(pc.binary_length(part.column("_text"))).as_py()
             texts: dict = defaultdict(lambda: ([], [], []))
             columns = (part.column(name).to_pylist() for name in ("_lang", "_id", "_train", "_text"))
             for lang, *fields in zip(*columns, strict=True):
@@ -232,23 +251,37 @@ def numbered_batches(rows: DataFrame) -> DataFrame:
                     all_ids += ids
                     all_train += train
             sizes = [(len(numbers), sum(map(len, parts))) for numbers, _, _, parts in held.values()]
-            if sum(n for n, _ in sizes) > HELD_WORDS or sum(n for _, n in sizes) > HELD_TOKENS:
+            if sum(n for n, _ in sizes) > HELD_WORDS or sum(n for _, n in sizes) > HELD_TOKENS or held_bytes > HELD_BYTES:
                 yield from taken()
         yield from taken()
 
     return rows.mapInArrow(number, BATCH_SCHEMA)
 
 
-BATCH_NAMES = ["_batch", "_lang", "_ids", "_train", "_row", "_names", "_tokens"]
-BATCH_KINDS = [pa.int64(), pa.string(), *[pa.binary()] * 4, pa.int64()]
-BATCH_SCHEMA = "_batch bigint, _lang string, _ids binary, _train binary, _row binary, _names binary, _tokens bigint"
+BATCH_NAMES = ["_batch", "_lang", "_ids", "_train", "_row", "_names", "_tokens", "_bytes"]
+BATCH_KINDS = [pa.int64(), pa.string(), *[pa.binary()] * 4, pa.int64(), pa.int64()]
+BATCH_SCHEMA = "_batch bigint, _lang string, _ids binary, _train binary, _row binary, _names binary, _tokens bigint, _bytes bigint"
 
 
-def opened(rows: pa.RecordBatch | pa.Table) -> Iterator[tuple[int, Batch]]:
-    """The number of each batch, and the batch."""
-    for i in range(rows.num_rows):
-        place, *fields = (rows.column(n)[i].as_py() for n in ("_batch", "_lang", "_names", "_row", "_train"))
-        yield place, Batch(*fields)
+def opened(rows: pa.RecordBatch, i: int) -> tuple[int, Batch]:
+    """The number of a batch, and the batch; to be handed on at once, so that no two are held."""
+    place, *fields = (rows.column(n)[i].as_py() for n in ("_batch", "_lang", "_names", "_row", "_train"))
+    return place, Batch(*fields)
+
+
+def coded_totals(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Twice the sum of the counts of each key, at all its places, and one more at its first. Keys are hashes, and are
+    taken in parts by their highest bits, so that little is held besides them."""
+    coded, high = np.empty(len(keys), np.int64), (keys >> np.uint64(61)).astype(np.uint8)
+    for part in range(8):
+        at = np.flatnonzero(high == part)
+        at = at[np.argsort(keys[at], kind="stable")]
+        if len(at):
+            first = np.flatnonzero(fresh(keys[at]))
+            total = np.add.reduceat(counts[at], first, dtype=np.int64)
+            coded[at] = np.repeat(2 * total, np.diff(first, append=len(at)))
+            coded[at[first]] += 1
+    return coded
 
 
 def pair_totals(batches: DataFrame, shards: int) -> DataFrame:
@@ -260,30 +293,28 @@ def pair_totals(batches: DataFrame, shards: int) -> DataFrame:
 
     def deal(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
-            for place, batch in opened(part):
-                keys, of, order = batch.dealt(shards)
-                counts = batch.own_counts().astype("<u4")
-                edges = np.searchsorted(of[order], np.arange(shards + 1)).tolist()
-                keys, counts = keys[order], counts[order]
-                found = [(s, keys[a:b].tobytes(), counts[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "_batch": pa.array([place] * len(found), pa.int64()),
-                        "_shard": pa.array([f[0] for f in found], pa.int64()),
-                        "_keys": pa.array([f[1] for f in found], pa.binary()),
-                        "_counts": pa.array([f[2] for f in found], pa.binary()),
-                    }
-                )
+            for i in range(part.num_rows):
+                yield dealt(*opened(part, i))
+
+    def dealt(place: int, batch: Batch) -> pa.RecordBatch:
+        keys, of, order = batch.dealt(shards)
+        counts = batch.own_counts().astype("<u4")
+        edges = np.searchsorted(of[order], np.arange(shards + 1)).tolist()
+        keys, counts = keys[order], counts[order]
+        spans = [(s, a, b) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if a < b]
+        return pa.RecordBatch.from_pydict(
+            {
+                "_batch": pa.array([place] * len(spans), pa.int64()),
+                "_shard": pa.array([s for s, _, _ in spans], pa.int64()),
+                "_keys": pa.array([keys[a:b].tobytes() for _, a, b in spans], pa.binary()),
+                "_counts": pa.array([counts[a:b].tobytes() for _, a, b in spans], pa.binary()),
+            }
+        )
 
     def count(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_batch")
-        parts = [np.frombuffer(keys, np.uint64) for keys in table.column("_keys").to_pylist()]
-        own = np.frombuffer(b"".join(table.column("_counts").to_pylist()), "<u4")
-        _, first, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
-        total = np.zeros(len(first), np.int64)
-        np.add.at(total, inverse, own)
-        coded = 2 * total[inverse]
-        coded[first] += 1
+        rows = np.argsort(table.column("_batch").to_numpy(), kind="stable").tolist()
+        parts, own = ([np.frombuffer(table.column(c)[i].as_buffer(), k) for i in rows] for c, k in (("_keys", np.uint64), ("_counts", "<u4")))
+        coded = coded_totals(np.concatenate(parts), np.concatenate(own))
         answers: list[list] = [[], [], [], []]
         for mine in np.split(coded, np.cumsum(list(map(len, parts)))[:-1]):
             values = squeezed(np.minimum(mine, 255).astype(np.uint8).tobytes()), mine[mine >= 255].astype("<i8").tobytes()
@@ -291,12 +322,12 @@ def pair_totals(batches: DataFrame, shards: int) -> DataFrame:
                 column.append(value)
         kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
         return pa.Table.from_arrays(
-            [table.column("_batch"), table.column("_shard"), *(pa.array(c, k) for c, k in zip(answers, kinds, strict=True))],
+            [*(table.column(c).take(pa.array(rows)) for c in ("_batch", "_shard")), *(pa.array(c, k) for c, k in zip(answers, kinds, strict=True))],
             names=["_batch", "_shard", "_small", "_large", "_once", "_twice"],
         )
 
-    dealt = batches.mapInArrow(deal, "_batch bigint, _shard bigint, _keys binary, _counts binary")
-    counted = dealt.groupBy("_shard").applyInArrow(
+    keyed = batches.mapInArrow(deal, "_batch bigint, _shard bigint, _keys binary, _counts binary")
+    counted = keyed.groupBy("_shard").applyInArrow(
         count, "_batch bigint, _shard bigint, _small binary, _large binary, _once bigint, _twice bigint"
     )
     return counted.groupBy("_batch").agg(
@@ -317,10 +348,11 @@ def entry_rows(batches: DataFrame, shards: int) -> DataFrame:
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
-            for i, (place, batch) in enumerate(opened(part)):
-                yield counted(place, batch, *batch.totals(part.column("_totals")[i].as_py(), shards))
+            for i in range(part.num_rows):
+                yield counted(*opened(part, i), part.column("_totals")[i].as_py())
 
-    def counted(place: int, batch: Batch, total: np.ndarray, owned: np.ndarray) -> pa.RecordBatch:
+    def counted(place: int, batch: Batch, totals: list[dict]) -> pa.RecordBatch:
+        total, owned = batch.totals(totals, shards)
         tally = Tally()
         tally.numbers.update(zip(batch.names, range(len(batch.names)), strict=True))
         tally.count([batch.row[batch.trained], batch.row[~batch.trained]])
@@ -723,10 +755,15 @@ def chances_and_known(
     """These probabilities, and the count of each word in training."""
     answers, shards = (dictionary.column(name)[i].as_py() for name in ("_answers", "_shards"))
     (chance, less), (known, heads, tables, more) = entry_values(batch, answers, shards)
-    # The mean is that of the sweep in which the tables were counted, so that probabilities add up to about 1.
-    weight = (THETA + discount * (tables - more))[batch.before] * less[batch.entry]
-    own = total - discount * mean_tables(total, weight, discount, seat_table(discount))
-    return (own + (THETA + discount * tables)[batch.before] * chance[batch.entry]) / (THETA + heads)[batch.before], known
+    seats, own = seat_table(discount), np.empty(len(batch.pairs))
+    for a in range(0, len(own), BLOCK_PAIRS):
+        here = slice(a, a + BLOCK_PAIRS)
+        n, before, entry = total[here], batch.before[here], batch.entry[here]
+        # The mean is that of the sweep in which the tables were counted, so that probabilities add up to about 1.
+        weight = (THETA + discount * (tables - more)[before]) * less[entry]
+        mean = mean_tables(n, weight, discount, seats)
+        own[here] = (n - discount * mean + (THETA + discount * tables[before]) * chance[entry]) / (THETA + heads[before])
+    return own, known
 
 
 def seated_pairs(batches: DataFrame, asked: DataFrame, discount: float, shards: int) -> DataFrame:
@@ -739,11 +776,11 @@ def seated_pairs(batches: DataFrame, asked: DataFrame, discount: float, shards:
 
     def seat(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
-            for i, (place, batch) in enumerate(opened(part)):
-                totals, answers = (part.column(name)[i].as_py() for name in ("_totals", "_answers"))
-                yield seated(place, batch, *batch.totals(totals, shards), answers)
+            for i in range(part.num_rows):
+                yield seated(*opened(part, i), *(part.column(name)[i].as_py() for name in ("_totals", "_answers")))
 
-    def seated(place: int, batch: Batch, total: np.ndarray, owned: np.ndarray, answers: list[dict]) -> pa.RecordBatch:
+    def seated(place: int, batch: Batch, totals: list[dict], answers: list[dict]) -> pa.RecordBatch:
+        total, owned = batch.totals(totals, shards)
         asked = batch.asked(total, owned)
         (_, chance), (_, _, tables, _) = entry_values(batch, answers, shards, asked)
         at = np.flatnonzero(owned & (total > 1))
@@ -802,11 +839,13 @@ def score_documents(
     """
     rows = prepared(docs, key, text, stratum)
     numbered = work_table(numbered_batches(rows), "batches", "zstd")
-    shards = 1 + (numbered.agg(F.sum("_tokens")).first()[0] or 0) // SHARD_TOKENS
+    tokens, sent, held = (n or 0 for n in numbered.agg(F.sum("_tokens"), F.sum("_bytes"), F.count("*")).first())
+    shards = 1 + max(tokens // SHARD_TOKENS, sent // SHARD_BYTES)
     answers = work_table(pair_totals(numbered, shards), "pair_totals")
     once, twice = answers.agg(F.sum("_once"), F.sum("_twice")).first()
     discount = discount_of(once or 0, twice or 0)
-    batches = numbered.join(answers.select(F.col("_batch").alias("_b"), "_totals"), F.col("_batch") == F.col("_b")).drop("_b")
+    # About one batch a task: all that a task has comes to Python at once.
+    batches = numbered.repartition(max(held, 1), "_batch").join(answers.select(F.col("_batch").alias("_b"), "_totals"), F.col("_batch") == F.col("_b")).drop("_b")
     word_table = work_table(word_shards(entry_rows(batches, shards)), "words")
     training, vocabulary = (n or 0 for n in word_table.agg(F.sum("_tokens"), F.sum("_types")).first())
 
@@ -818,16 +857,16 @@ def score_documents(
 
     def score(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in rows:
-            for i, (_, batch) in enumerate(opened(part)):
+            for i in range(part.num_rows):
                 with without_collector():
-                    yield scored(batch, part, i)
+                    yield scored(opened(part, i)[1], part, i)
 
     def scored(batch: Batch, part: pa.RecordBatch, i: int) -> pa.RecordBatch:
         ids, answers = (part.column(name)[i].as_py() for name in ("_ids", "_totals"))
         chances, known = chances_and_known(batch, batch.totals(answers, shards)[0], part, discount, i)
         found = np.log10(chances)
         starts = np.concatenate([[0], batch.ends[:-1] + 1])
-        of_token = found[np.searchsorted(batch.pairs, batch.paired)]
+        of_token = batch.by_token(found)
         base = np.log10(known + 1.0) - base_log
         return pa.RecordBatch.from_arrays(
             [

@@ -283,3 +283,16 @@ def test_blocks_of_a_shard_are_cut_between_words(spark, monkeypatch):
         assert sum(part.words for part in parts) == whole.words
         assert np.concatenate([part.counts for part in parts]).tolist() == whole.counts.tolist()
         assert len(parts) > 1 or size == 1000
+
+
+def test_long_words_do_not_swell_batches_and_shards(spark, monkeypatch):
+    """Both are cut by bytes too: few tokens may have many."""
+    tables, written = {}, scoring.work_table
+    monkeypatch.setattr(scoring, "work_table", lambda df, name, *codec: tables.setdefault(name, written(df, name, *codec)))
+    monkeypatch.setattr(scoring, "HELD_BYTES", 5_000_000, raising=False)
+    monkeypatch.setattr(scoring, "SHARD_BYTES", 3_000_000, raising=False)
+    rows = [(i, f"a {i}{'x' * 1_500_000} b", "x") for i in range(12)]
+    found = scoring.score_documents(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(1)).collect()
+    assert sorted((r.doc_id, r.n_tokens, r.n_known) for r in found) == [(key, counts[1], counts[2]) for key, counts, _ in base_rows([r[:2] for r in rows])]
+    assert tables["batches"].count() >= 3  # of the 18 MB
+    assert tables["words"].count() >= 3
