@@ -26,12 +26,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulare.llm.lexicon import Lexicon, compile_lexicon
-from tabulare.llm.rows import held_by_worker, id_and_bytes, slices, without_collector
+from tabulare.llm.rows import held_by_worker, id_and_bytes, let_go_by_worker, slices, without_collector
 from tabulare.session import run_folder, work_table
 
 LEXICON_WORDS = 65_536
 CLASSES = 8  # of counts, for each factor of two
 CACHE_ENTRIES, CACHE_LETTERS = 500_000, 32_000_000
+LEXICON_CACHE_ENTRIES = 200_000  # with a lexicon, which finds the frequent words again, fewer are kept
+ENCODED_BYTES = 2_000_000  # of text whose words are held at once where texts are decoded too
 MARKS = frozenset(".,;:!?")  # marks that begin no piece with letters
 NO_MERGE = 1 << 60
 ID_BITS, ID_MASK = 24, (1 << 24) - 1
@@ -207,20 +209,8 @@ def find_merges(keys: np.ndarray, values: np.ndarray, left: np.ndarray, right: n
     return np.where(keys[at] == wanted, values[at], NO_MERGE)
 
 
-class Decoded(dict):
-    """The tokens of a word with a blank between, by word; made when first asked for."""
-
-    def __init__(self, model: Model, ids: dict[str, bytes]) -> None:
-        super().__init__()
-        self.model, self.ids = model, ids
-
-    def __missing__(self, word: str) -> str:
-        self[word] = text = " ".join([self.model.tokens[i] for i in memoryview(self.ids[word]).cast("i")])
-        return text
-
-
 class Encoder:
-    """Ids and decoded text by word: looked up in the lexicon, and merged if a word is not there; kept in bounded memory.
+    """Ids by word: looked up in the lexicon, and merged if a word is not there; kept in bounded memory.
 
     The new words of several texts are looked up together. A special token is
     kept under its name after a blank, which no word holds.
@@ -233,7 +223,6 @@ class Encoder:
 
     def _forget(self) -> None:
         self.letters, self.ids = 0, {}
-        self.decoded = Decoded(self.model, self.ids)
 
     def words(self, text: str) -> list[str]:
         found: list[str] = []
@@ -250,7 +239,8 @@ class Encoder:
             self._learn(texts)
 
     def _learn(self, texts: list[list[str]]) -> None:
-        if len(self.ids) > CACHE_ENTRIES or self.letters > CACHE_LETTERS:  # what is dropped is looked up again
+        most = min(CACHE_ENTRIES, LEXICON_CACHE_ENTRIES) if self.lexicon else CACHE_ENTRIES
+        if len(self.ids) > most or self.letters > CACHE_LETTERS:  # what is dropped is looked up again
             self._forget()
         known, special = self.ids, self.model.special
         fresh = set().union(*texts).difference(known)
@@ -279,7 +269,11 @@ class Encoder:
 
     def decode(self, words: list[str]) -> str:
         """The tokens of the words with a blank between: the vocabulary file names no decoder."""
-        return " ".join(filter(None, map(self.decoded.__getitem__, words)))
+        return self.decode_ids(b"".join(map(self.ids.__getitem__, words)))
+
+    def decode_ids(self, ids: bytes) -> str:
+        """The same from the ids of a text; decoded words are not kept, as their tokens are all there."""
+        return " ".join(map(self.model.tokens.__getitem__, memoryview(ids).cast("i")))
 
 
 def shared_encoder(source: bytes, lexicon: str | None) -> Encoder:
@@ -294,6 +288,7 @@ def word_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str
     source = docs.sparkSession.sparkContext.broadcast(_read(vocabulary))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_by_worker("encoder")  # of another run; this one's lexicon is still to be made
         model, seen = Model(source.value), Counter()
 
         def counted() -> pa.RecordBatch:
@@ -373,15 +368,15 @@ def encode_decode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = shared_encoder(source.value, lexicon)
-        for part in slices(batches):
-            encoded, cut = encoder.encode([str(raw.as_buffer(), "utf-8") if raw.is_valid else "" for raw in part.column("_text")])
+        for part in slices(batches, most=ENCODED_BYTES):
+            encoded, _ = encoder.encode([str(raw.as_buffer(), "utf-8") if raw.is_valid else "" for raw in part.column("_text")])
             offsets = np.cumsum([0, *map(len, encoded)]) // 4
             flat = pa.array(np.frombuffer(b"".join(encoded), np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("_id"),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
-                    pa.array(list(map(encoder.decode, cut)), pa.string()),
+                    pa.array(list(map(encoder.decode_ids, encoded)), pa.string()),
                     *(part.column(f"_c{i}") for i in range(len(carried))),
                 ],
                 names=["doc_id", "ids", "decoded", *carried],

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulare.llm.components import components
-from tabulare.llm.rows import id_and_bytes, packed, slices, words
+from tabulare.llm.rows import id_and_bytes, let_go_by_worker, packed, slices, words
 from tabulare.session import work_table
 
 SHINGLE = 5
@@ -27,7 +27,8 @@ BASE, SCALE, TOP = 1.001, 20.0, 65_535
 MARGIN = 0.2
 BLOCK_SETS = 1_024
 BLOCK_BYTES = 32_000_000
-KNOWN_WORDS = 1_000_000
+KNOWN_WORDS = 100_000
+STRIP = 128  # sets of a block whose pairs are estimated at once
 NO_ID = -(1 << 63)
 MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
 
@@ -97,7 +98,16 @@ def similar_enough(mine: np.ndarray, theirs: np.ndarray, sizes: np.ndarray, othe
 
     The likelihood of how many registers are larger, smaller and equal has one
     maximum; it is at ``cut`` or above if its slope there is not negative.
+    Some rows are done at a time, as each pair takes many numbers on the way.
     """
+    found = np.zeros((len(mine), len(theirs)), bool)
+    for start in range(0, len(mine), STRIP):
+        rows = slice(start, start + STRIP)
+        found[rows] = _similar_strip(mine[rows], theirs, sizes[rows], other, cut)
+    return found
+
+
+def _similar_strip(mine: np.ndarray, theirs: np.ndarray, sizes: np.ndarray, other: np.ndarray, cut: float) -> np.ndarray:
     larger = np.zeros((len(mine), len(theirs)), np.int16)
     smaller = np.zeros_like(larger)
     for i in range(mine.shape[1]):
@@ -116,7 +126,7 @@ def similar_enough(mine: np.ndarray, theirs: np.ndarray, sizes: np.ndarray, othe
     return (slope >= 0) & (np.minimum(u, v) >= cut * np.maximum(u, v))
 
 
-def shared_counts(mine: list[np.ndarray], theirs: list[np.ndarray], columns: int = 8_192) -> np.ndarray:
+def shared_counts(mine: list[np.ndarray], theirs: list[np.ndarray], columns: int = 2_048) -> np.ndarray:
     """The exact size of every intersection, by products of 0/1 matrices over some columns at a time, summed as integers."""
     every, place = np.unique(np.concatenate([*mine, *theirs]), return_inverse=True)
     row = np.repeat(np.arange(len(mine) + len(theirs)), [len(s) for s in [*mine, *theirs]])
@@ -128,6 +138,7 @@ def shared_counts(mine: list[np.ndarray], theirs: list[np.ndarray], columns: int
         held = np.zeros((len(mine) + len(theirs), columns), np.float32)
         held[row[low:high], place[low:high] - start] = 1
         total += (held[: len(mine)] @ held[len(mine) :].T).astype(np.int64)
+        del held  # before the next one is made
     return total
 
 
@@ -173,6 +184,7 @@ def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """Per row: ``_id``, ``_n`` (size of its set), ``_set`` (a digest of the set) and ``_bands``, its band keys."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go_by_worker("encoder")  # the worker may have encoded before
         known = WordHashes()
         for part in slices(batches):
             sets = [text_set(raw.as_py(), known) for raw in part.column("_text")]

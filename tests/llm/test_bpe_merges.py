@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -60,3 +61,19 @@ def test_cache_is_dropped_and_filled_again(monkeypatch):
         for text, ids, words in zip(texts, encoded, cut, strict=True):
             expected = tokenizer.encode(text, add_special_tokens=False).ids
             assert list(memoryview(ids).cast("i")) == expected and encoder.decode(words) == tokenizer.decode(expected, skip_special_tokens=False)
+
+
+def test_decoding_keeps_nothing():
+    """What a worker holds between tasks are ids: the decoded words of a text go with it."""
+    encoder = bpe.Encoder(MODEL, None)
+    made = random.Random(8)
+    texts = [" ".join("".join(made.choices("abcdefgh", k=9)) for _ in range(500)) for _ in range(20)]
+    tracemalloc.start()
+    try:
+        _, cut = encoder.encode(texts)
+        before = tracemalloc.get_traced_memory()[0]
+        for words in cut:
+            encoder.decode(words)
+        assert tracemalloc.get_traced_memory()[0] - before < 100_000
+    finally:
+        tracemalloc.stop()

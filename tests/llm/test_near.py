@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -170,3 +171,26 @@ def test_template_pages_with_copies(spark, monkeypatch, limits):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(6)
     found = {r.doc_id: r.component_id for r in near.near_groups(docs).collect()}
     assert found == {i: i if i < 300 else i - 300 for i in range(360)}
+
+
+def test_blocks_are_compared_in_little_memory():
+    """Two full blocks of near copies, by registers and by sets; the same pairs as without strips."""
+    made = np.random.default_rng(5)
+    templates = made.integers(0, 1 << 62, (4, 300))
+    sets = [np.unique(np.append(templates[i % 4], made.integers(0, 1 << 62, 15)).astype(np.uint64)) for i in range(2 * near.BLOCK_SETS)]
+    values, sizes = near.registers(sets), np.array([len(s) for s in sets], np.float64)
+    mine, theirs = slice(0, near.BLOCK_SETS), slice(near.BLOCK_SETS, None)
+    tracemalloc.start()
+    try:
+        likely = near.similar_enough(values[mine], values[theirs], sizes[mine], sizes[theirs], 0.65)
+        by_registers = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        both = near.shared_counts(sets[mine], sets[theirs])
+        by_sets = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert by_registers < 24_000_000 and by_sets < 64_000_000
+    assert np.array_equal(likely[700], near._similar_strip(values[700:701], values[theirs], sizes[700:701], sizes[theirs], 0.65)[0])
+    assert np.array_equal(likely, np.arange(near.BLOCK_SETS)[:, None] % 4 == np.arange(near.BLOCK_SETS)[None, :] % 4)
+    for i, j in ((0, 0), (700, 1_000), (1_023, 5)):
+        assert both[i, j] == len(np.intersect1d(sets[i], sets[near.BLOCK_SETS + j]))
