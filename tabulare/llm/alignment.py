@@ -16,7 +16,6 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +27,55 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tabulare.llm.bpe import byte_symbols
-from tabulare.llm.rows import held_by_worker, id_and_bytes, slices
+from tabulare.llm.rows import held_by_worker, id_and_bytes, slices, without_collector
 from tabulare.session import work_table
 
-CUT = re.compile(r"(?<=\S) (?!\Z)")
+ASCII_SPACE = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])
+WIDE_SPACE = [chr(c).encode() for c in range(128, 1 << 16) if chr(c).isspace()]
 B_BITS = 20  # an id pair is one number
 BLOCK_POSTINGS = 2_000_000
 BLOCK_DOCS = 1 << 16  # places in a block have 16 bits
-KNOWN_PARTS, KNOWN_LETTERS = 100_000, 8_000_000
+KNOWN_PARTS, KNOWN_LETTERS = 200_000, 8_000_000
 PART_BYTES = 1 << 20
 JOINED = 256
 DENSE = 16
 
 
+def cut_places(data: np.ndarray) -> np.ndarray:
+    """Where UTF-8 bytes have a blank after other than white space."""
+    at = np.flatnonzero(data[1:] == 32) + 1
+    at = at[~ASCII_SPACE[data[at - 1]]]
+    wide = np.flatnonzero(data[at - 1] >= 128)
+    for char in WIDE_SPACE:
+        here = at[wide]
+        same = here >= len(char)
+        for back, byte in enumerate(reversed(char), 1):
+            same &= data[here - back] == byte
+        at[wide[same]] = -1
+        wide = wide[~same]
+    return at[at > 0]
+
+
+def cut_texts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The parts of all texts (binary), one after the other, and how many parts each text has; an empty text has none."""
+    texts = texts.cast(pa.large_binary())
+    _, offsets, values = texts.buffers()
+    edges = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(values or b"", np.uint8)[edges[0] : edges[-1]]
+    edges = edges - edges[0]
+    filled = np.flatnonzero(np.diff(edges))
+    at = cut_places(data)
+    of = np.searchsorted(edges, at, "right") - 1
+    at = at[(at > edges[of]) & (at < edges[of + 1] - 1)]  # neither first nor last of a text
+    kept = np.ones(len(data), bool)
+    kept[at] = False
+    begins = np.sort(np.concatenate([edges[filled], at + 1]))
+    sizes = np.diff(np.searchsorted(begins, edges))
+    ends = np.append(begins - np.searchsorted(at, begins), len(data) - len(at))
+    parts = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(data[kept]))
+    return parts, sizes
+
+
 class Sides:
     """Both tokenizers: ids of parts of texts, and the bytes of each id."""
 
@@ -61,25 +96,35 @@ class Sides:
             raise ValueError("a piece goes over a blank: texts can't be cut there")
         self.bytes = left, right
         self.sizes = tuple(np.array(list(map(len, side)), np.int64) for side in self.bytes)
+        self.table = tuple(pa.array(side, pa.large_binary()) for side in self.bytes)
+        self.written = tuple(pa.array(map(str, range(len(side))), pa.string()) for side in self.bytes)
 
     def encode(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """The ids of each part on either side, as after a blank: the right tokenizer adds it by itself."""
         left = [found.ids for found in self.left.encode_batch_fast([f" {part}" for part in parts], add_special_tokens=False)]
         return left, self.right.encode(parts, num_threads=1)
 
-    def encode_joined(self, parts: list[str]) -> tuple[list[str], list[list[int]], list[list[int]], list[np.ndarray], list[np.ndarray], list[str]]:
-        """Parts without white space, many as one text: those encoded, their ids and how many of them each part has, and the rest.
+    def encode_joined(self, parts: list[str]) -> tuple[list[str], list[np.ndarray], list[np.ndarray], list[np.ndarray], list[np.ndarray], list[str]]:
+        """Parts without white space at their ends, many as one text: those encoded, their ids and how many of them each part has, and the rest.
 
         The rest are the parts of texts that the tokens of either side don't
         give back, or which have a token over the end of a part.
         """
         done, ids, sizes, rest = [], ([], []), ([], []), []
         chunks = [parts[i : i + JOINED] for i in range(0, len(parts), JOINED)]
-        for chunk, *both in zip(chunks, *self.encode([" ".join(chunk) for chunk in chunks]), strict=True):
-            ends = np.cumsum([len(part.encode()) + 1 for part in chunk])
+        texts = [" ".join(chunk) for chunk in chunks]
+        for chunk, text, *both in zip(chunks, texts, *self.encode(texts), strict=True):
+            both = [np.array(side, np.int64) for side in both]
+            ends = np.cumsum([len(part) + 1 for part in (chunk if text.isascii() else map(str.encode, chunk))])
             reached = [np.cumsum(own[side]) for own, side in zip(self.sizes, both, strict=True)]
             until = [np.searchsorted(found, ends, "right") for found in reached]
-            if self.same_bytes(" ".join(chunk), *both) and all((found[n - 1] == ends).all() for found, n in zip(reached, until, strict=True)):
+            whole = f" {text}".encode()
+            taken = (own.take(pa.array(side)).buffers()[2] for own, side in zip(self.table, both, strict=True))
+            if (
+                all(len(found) and found[-1] == len(whole) for found in reached)
+                and all(found[: len(whole)].to_pybytes() == whole for found in taken)
+                and all((found[n - 1] == ends).all() for found, n in zip(reached, until, strict=True))
+            ):
                 done += chunk
                 for k in (0, 1):
                     ids[k].append(both[k])
@@ -96,7 +141,9 @@ class Sides:
 def align(left: np.ndarray, right: np.ndarray, sizes: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, ...]:
     """The group of each token on the left and on the right, and all linked pairs, group by group; bytes on both sides are the same."""
     ends = np.cumsum(sizes[0][left]), np.cumsum(sizes[1][right])
-    common = np.intersect1d(*ends)
+    marks = np.zeros((2, ends[0][-1] + 1), bool)
+    marks[0, ends[0]] = marks[1, ends[1]] = True
+    common = np.flatnonzero(marks[0] & marks[1])
     groups = [np.searchsorted(common, end) for end in ends]
     many, few = (np.bincount(group, minlength=len(common)) for group in groups)
     links = many * few
@@ -128,8 +175,9 @@ class Parts:
         for part in set().union(*cut):
             if part in self.known:
                 continue
-            if part in self.old:
-                self.known[part] = self.old[part]
+            found = self.old.get(part)
+            if found:
+                self.known[part] = found
                 self.letters += len(part)
                 continue
             fresh.append(part)
@@ -140,36 +188,72 @@ class Parts:
         if fresh:
             self._align(fresh)
 
+    def of_texts(self, texts: pa.Array) -> Iterator[tuple[tuple[int, ...], str, np.ndarray]]:
+        """Per text its four sizes, the digest of its groups, and its pairs; each different part is looked up once."""
+        parts, n_parts = cut_texts(texts)
+        if not len(parts):
+            yield from [((0, 0, 0, 0), "", np.zeros(0, np.int64))] * len(texts)
+            return
+        coded = parts.dictionary_encode()
+        names, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        self.learn([names])
+        written, counts, links = zip(*map(self.known.__getitem__, names), strict=True)
+        ends = np.concatenate([[0], np.cumsum(n_parts)])
+        lost = np.array([part is None for part in written])[codes]
+        lost = np.diff(np.concatenate([[0], np.cumsum(lost)])[ends]) > 0
+        groups = pa.array([f"{part};" for part in written], pa.large_string()).take(coded.indices)
+        _, offsets, letters = groups.buffers()
+        until = np.frombuffer(offsets, np.int64)[ends].tolist()
+        letters = memoryview(letters)
+        totals = np.zeros((len(parts) + 1, 4), np.int64)
+        np.cumsum(np.frombuffer(b"".join(counts), np.int32).reshape(-1, 4)[codes], 0, out=totals[1:])
+        totals = np.diff(totals[ends], axis=0).tolist()
+        size = np.array(list(map(len, links))) >> 3
+        first = np.cumsum(size) - size
+        pairs = np.frombuffer(b"".join(links), np.int64)
+        reach = np.concatenate([[0], np.cumsum(size[codes])])
+        for k, (begin, end) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+            if begin == end or lost[k]:
+                yield (0, 0, 0, 0), "", np.zeros(0, np.int64)
+                continue
+            own = codes[begin:end]
+            place = np.repeat(first[own] - reach[begin:end], size[own]) + np.arange(reach[begin], reach[end])
+            yield tuple(totals[k]), hashlib.sha256(letters[until[k] : until[k + 1] - 1]).hexdigest(), pairs[place]
+
     def _align(self, parts: list[str]) -> None:
         self.letters += sum(map(len, parts))
         plain, others = [], []
         for part in parts:
-            (plain if part.split() == [part] else others).append(part)
+            (others if part[-1:].isspace() else plain).append(part)
         kept, lefts, rights, n_left, n_right, rest = self.sides.encode_joined(plain)
         others += rest
         n_left, n_right = (list(map(int, np.concatenate(n))) if n else [] for n in (n_left, n_right))
         for part, left, right in zip(others, *self.sides.encode(others), strict=True):
             if self.sides.same_bytes(part, left, right):
                 kept.append(part)
-                lefts.append(left)
-                rights.append(right)
+                lefts.append(np.array(left, np.int64))
+                rights.append(np.array(right, np.int64))
                 n_left.append(len(left))
                 n_right.append(len(right))
             else:
                 self.known[part] = None, bytes(16), b""
         if not kept:
             return
-        left, right = (np.fromiter(chain.from_iterable(side), np.int64) for side in (lefts, rights))
+        left, right = np.concatenate(lefts), np.concatenate(rights)
         group_l, group_r, pairs, links = align(left, right, self.sides.sizes)
         last = group_l[np.cumsum(n_left) - 1]  # the group in which each part ends
         n_groups, ends = np.diff(last, prepend=-1), links[last]
         starts = np.concatenate([[0], ends[:-1]])
         counts = np.array([n_left, n_right, n_groups, ends - starts], np.int32).T.tobytes()
-        sides = (_joined(pa.array(ids).cast(pa.string()), np.bincount(groups), ",") for ids, groups in ((left, group_l), (right, group_r)))
-        written = _joined(pc.binary_join_element_wise(*sides, "|"), n_groups, ";").to_pylist()
-        data = pairs.tobytes()
+        sides = (
+            _joined(names.take(pa.array(ids)), np.bincount(groups), ",")
+            for names, ids, groups in zip(self.sides.written, (left, right), (group_l, group_r), strict=True)
+        )
+        written = _joined(pc.binary_join_element_wise(*sides, "|"), n_groups, ";").to_numpy(zero_copy_only=False)
+        data, same = pairs.tobytes(), {}  # few sizes differ: one object for those that are equal
         for k, (part, begin, end) in enumerate(zip(kept, (starts * 8).tolist(), (ends * 8).tolist(), strict=True)):
-            self.known[part] = written[k], counts[16 * k : 16 * k + 16], data[begin:end]
+            own = counts[16 * k : 16 * k + 16]
+            self.known[part] = written[k], same.setdefault(own, own), data[begin:end]
 
 
 def _joined(values: pa.Array, sizes: np.ndarray, between: str) -> pa.Array:
@@ -207,15 +291,25 @@ def union(planes: list[bytes]) -> np.ndarray:
 
 def inverted(pairs: np.ndarray, places: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, list[int], list[list[bytes]]]:
     """The lists of one block, a row per pair: the pair, its number of documents, and its multiplicity planes, lowest digit first."""
-    order = np.lexsort((places, pairs))
+    if not len(pairs):
+        return pairs, [], []
+    order = np.argsort(pairs << 16 | places)
     pairs, places, times = pairs[order], places[order], times[order]
-    edges = np.flatnonzero(np.diff(pairs, prepend=-1, append=-1)).tolist() if len(pairs) else [0]
+    edges = np.flatnonzero(np.diff(pairs, prepend=-1, append=-1))
+    begins, ends = edges[:-1], edges[1:]
+    docs = ends - begins  # all that the planes have together
+    digits = np.frexp(np.maximum.reduceat(times, begins))[1]
+    plain = (digits == 1) & (docs * DENSE < places[ends - 1])
+    flat = places.astype("<u2").tobytes()
     planes = []
-    for begin, end in zip(edges, edges[1:], strict=False):
+    for begin, end, last, simple in zip(begins.tolist(), ends.tolist(), digits.tolist(), plain.tolist(), strict=True):
+        if simple:  # as pack_bits has it
+            planes.append([flat[2 * begin : 2 * end]])
+            continue
         own, often = places[begin:end], times[begin:end]
-        layers = (own[often >> digit & 1 == 1] for digit in range(int(often.max()).bit_length()))
+        layers = (own[often >> digit & 1 == 1] for digit in range(last))
         planes.append([pack_bits(layer) if len(layer) else b"" for layer in layers])
-    return pairs[edges[:-1]], [len(union(own)) for own in planes], planes
+    return pairs[begins], docs.tolist(), planes
 
 
 def scores(planes: list[list[bytes]], counts: np.ndarray, best: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -286,18 +380,10 @@ def aligned_blocks(docs: DataFrame, byte_level: str, piece_model: str, key: str,
         task = TaskContext.get().partitionId() << 32
         block = Block(task)
         for batch in slices(batches):
-            texts = [str(raw.as_buffer(), "utf-8") for raw in batch.column("_text")]
-            cut = [CUT.split(found) if found else [] for found in texts]
-            parts.learn(cut)
-            for key_, own in zip(batch.column("_id").to_pylist(), cut, strict=True):
-                written, counts, links = zip(*[parts.known[part] for part in own], strict=True) if own else ((), (), ())
-                if not own or None in written:
-                    block.add(key_, (0, 0, 0, 0), "", np.zeros(0, np.int64))
-                else:
-                    sizes = np.frombuffer(b"".join(counts), np.int32).reshape(-1, 4).sum(0, np.int64)
-                    pairs = np.frombuffer(b"".join(links), np.int64)
-                    groups = hashlib.sha256(";".join(written).encode()).hexdigest()
-                    block.add(key_, tuple(sizes.tolist()), groups, pairs)
+            with without_collector():
+                aligned = list(parts.of_texts(batch.column("_text")))
+            for key_, own in zip(batch.column("_id").to_pylist(), aligned, strict=True):
+                block.add(key_, *own)
                 if block.full():
                     yield from block.batches()
                     block = Block(block.number + 1)

@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -134,3 +136,31 @@ def test_parts_encoded_together_and_kept_while_asked_for(sides, monkeypatch):
             assert hashlib.sha256((written or "").encode()).hexdigest() == (want[7] or hashlib.sha256(b"").hexdigest())
             assert (*np.frombuffer(counts, np.int32).tolist(),) == want[1:5] and len(pairs) == 8 * want[4]
     assert aligned.count("often") == 1
+
+
+def test_texts_are_cut_as_by_the_pattern():
+    made = random.Random(3)
+    alphabet = "ab  \n\t\x1c\x85\xa0   ​ 　à日🙂Å"
+    texts = [text or "" for text in ODD] + ["".join(made.choices(alphabet, k=made.randrange(12))) for _ in range(3000)]
+    for kind in (pa.binary(), pa.large_binary()):
+        column = pa.array([b"not this", *(text.encode() for text in texts)], kind).slice(1)
+        parts, sizes = alignment.cut_texts(column)
+        want = [re.split(r"(?<=\S) (?!\Z)", text) if text else [] for text in texts]
+        assert parts.to_pylist() == [part for own in want for part in own] and sizes.tolist() == list(map(len, want))
+    assert alignment.cut_texts(pa.array([], pa.binary()))[1].tolist() == []
+
+
+def test_parts_with_white_space_inside_go_together(sides, monkeypatch):
+    """Only a part that ends in white space goes through the tokenizers on its own; each different part is looked up once."""
+    with open(BYTE_LEVEL, "rb") as left, open(PIECES, "rb") as right:
+        parts = alignment.Parts(alignment.Sides(left.read(), right.read()))
+    sent, own_encode = [], parts.sides.encode
+    monkeypatch.setattr(parts.sides, "encode", lambda texts: (sent.extend(texts), own_encode(texts))[1])
+    made = random.Random(5)
+    words = ["".join(made.choices("abcé日.", k=5)) + made.choice(["\n", "\n\n ", "  ", "\xa0"]) + made.choice("xyzß") for _ in range(600)]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, 600, 50)] * 3 + ["", "end \n"]
+    found = list(parts.of_texts(pa.array([text.encode() for text in texts])))
+    want = sorted(expected(list(enumerate(texts)), sides)[0])
+    assert [(*sizes, groups) for sizes, groups, _ in found] == [(*row[1:5], row[7]) for row in want]
+    assert [len(pairs) for _, _, pairs in found] == [row[4] for row in want]
+    assert len(sent) <= 6, len(sent)
